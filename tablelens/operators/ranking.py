@@ -49,9 +49,10 @@ def leaderboard(metrics: DataFrame, context: DataFrame, run_cols=("run_id", "att
     )
     w = Window.partitionBy(*run_cols).orderBy(F.col("_k1").desc(), F.col("_k2").desc(), F.col("_k3").desc(),
                                               F.col("_cand"))
-    w2 = Window.partitionBy(*run_cols).orderBy(prim.desc(), F.col("f1_macro").desc(), F.col("_cand"))
+    # later sorts are stable over the leaderboard order, so their ties fall back to rank
+    w2 = Window.partitionBy(*run_cols).orderBy(prim.desc(), F.col("f1_macro").desc(), F.col("rank"))
     w3 = Window.partitionBy(*run_cols).orderBy(F.col("balanced_accuracy").desc(), F.col("f1_macro").desc(),
-                                               F.col("_cand"))
+                                               F.col("rank"))
     return (
         m.withColumn("rank", F.row_number().over(w).cast("long"))
         .withColumn("holdout_rank", F.row_number().over(w2).cast("long"))

@@ -226,14 +226,16 @@ def board_cte(metrics: str, groups: str = "run_id, attempt", name: str = "board"
   FROM {metrics} m LEFT JOIN ctx c ON m.run_id = c.run_id),
 b1_{name} AS (SELECT *, CASE WHEN primary_metric = 'balanced_accuracy' THEN balanced_accuracy ELSE accuracy END AS primary_value,
     coalesce(compare_on_cv, FALSE) AND cv_balanced_accuracy_mean IS NOT NULL AS use_cv FROM b0_{name}),
-{name} AS (SELECT *,
+b2_{name} AS (SELECT *,
     row_number() OVER (PARTITION BY {groups} ORDER BY
       CASE WHEN use_cv THEN cv_balanced_accuracy_mean ELSE primary_value END DESC,
       CASE WHEN use_cv THEN primary_value ELSE f1_macro END DESC,
-      CASE WHEN use_cv THEN f1_macro ELSE coalesce(cv_balanced_accuracy_mean, -1.0) END DESC, model) AS rank,
-    row_number() OVER (PARTITION BY {groups} ORDER BY primary_value DESC, f1_macro DESC, model) AS holdout_rank,
-    row_number() OVER (PARTITION BY {groups} ORDER BY balanced_accuracy DESC, f1_macro DESC, model) AS balanced_rank
-  FROM b1_{name})"""
+      CASE WHEN use_cv THEN f1_macro ELSE coalesce(cv_balanced_accuracy_mean, -1.0) END DESC, model) AS rank
+  FROM b1_{name}),
+{name} AS (SELECT *,
+    row_number() OVER (PARTITION BY {groups} ORDER BY primary_value DESC, f1_macro DESC, rank) AS holdout_rank,
+    row_number() OVER (PARTITION BY {groups} ORDER BY balanced_accuracy DESC, f1_macro DESC, rank) AS balanced_rank
+  FROM b2_{name})"""
 
 
 def _oracles():
