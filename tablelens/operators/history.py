@@ -179,7 +179,10 @@ def similar_records(queries: DataFrame, records: DataFrame, query_key: str, reco
     Output: (query_key, rank, record_key, similarity).
     """
     spark = queries.sparkSession
-    n_q = queries.count()
+    sig_cols0 = [f for f, _ in SIGNATURE_FIELDS]
+    # one bounded pass both checks the size and fetches the query side when it fits
+    head = queries.select(F.col(query_key).alias("_qid"), *sig_cols0).limit(MAX_BROADCAST_QUERIES + 1).toPandas()
+    n_q = len(head) if len(head) <= MAX_BROADCAST_QUERIES else queries.count()
     n_chunks = max(1, math.ceil(n_q / MAX_BROADCAST_QUERIES))
     sig_cols = [f for f, _ in SIGNATURE_FIELDS]
     rec = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *sig_cols)
@@ -191,9 +194,12 @@ def similar_records(queries: DataFrame, records: DataFrame, query_key: str, reco
     ])
     parts = []
     for chunk in range(n_chunks):
-        qdf = queries if n_chunks == 1 else queries.filter(F.pmod(F.xxhash64(query_key), F.lit(n_chunks)) == chunk)
-        # bounded by MAX_BROADCAST_QUERIES rows of 13 scalars
-        qpd = qdf.select(F.col(query_key).alias("_qid"), *sig_cols).toPandas()
+        if n_chunks == 1:
+            qpd = head
+        else:
+            qdf = queries.filter(F.pmod(F.xxhash64(query_key), F.lit(n_chunks)) == chunk)
+            # bounded by about MAX_BROADCAST_QUERIES rows of 13 scalars
+            qpd = qdf.select(F.col(query_key).alias("_qid"), *sig_cols).toPandas()
         bq = spark.sparkContext.broadcast(qpd)
 
         def score(batches, bq=bq):
@@ -236,7 +242,7 @@ def similar_records(queries: DataFrame, records: DataFrame, query_key: str, reco
 
 # ------------------------------------------------------------------ votes and hints
 def weighted_votes(matches: DataFrame, counters: DataFrame, query_key: str, record_key: str, name_col: str,
-                   count_col: str, k: int, n_matches: int = 3) -> DataFrame:
+                   count_col: str, k, n_matches: int = 3, kind_col: str | None = None) -> DataFrame:
     """H9: sum of similarity x count per name over the matched records; top ``k`` per query.
 
     The sum runs in match-rank order (at most ``n_matches`` terms), so it is the
@@ -245,7 +251,8 @@ def weighted_votes(matches: DataFrame, counters: DataFrame, query_key: str, reco
     """
     j = matches.join(counters.filter(F.col(count_col) > 0), on=record_key)
     term = F.col("similarity") * F.col(count_col)
-    agg = j.groupBy(query_key, F.col(name_col).alias("name")).agg(
+    keys = [query_key] + ([kind_col] if kind_col else [])
+    agg = j.groupBy(*keys, F.col(name_col).alias("name")).agg(
         *[F.max(F.when(F.col("rank") == i, term)).alias(f"_s{i}") for i in range(1, n_matches + 1)],
         F.min(F.struct("rank", "first_seen")).alias("_first"),
     )
@@ -254,8 +261,9 @@ def weighted_votes(matches: DataFrame, counters: DataFrame, query_key: str, reco
         score = score + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
     agg = agg.withColumn("score", score).drop(*[f"_s{i}" for i in range(1, n_matches + 1)])
     # one row per name: ties compared at 9 decimals, then by first appearance
-    w = Window.partitionBy(query_key).orderBy(F.round("score", 9).desc(), F.col("_first"))
-    return agg.withColumn("position", F.row_number().over(w).cast("long")).filter(F.col("position") <= k) \
+    w = Window.partitionBy(*keys).orderBy(F.round("score", 9).desc(), F.col("_first"))
+    limit = k if isinstance(k, Column) else F.lit(k)
+    return agg.withColumn("position", F.row_number().over(w).cast("long")).filter(F.col("position") <= limit) \
         .drop("_first")
 
 

@@ -104,9 +104,16 @@ F3_COLUMNS = [
 ]
 
 
+# Tables each fixture reads (only these are registered for it).
+FIXTURE_TABLES = {
+    "f1": ["documents", "labels"], "f2": ["orders", "customer"], "f3": ["lineitem"], "f4": ["embeddings"],
+    "f5": ["part"], "f6": ["lineitem"], "f7": ["lineitem"], "f8": ["orders"],
+}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Run fixture ``name`` ('f1'..'f8') over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
+    register_tables(spark, sf_dir, FIXTURE_TABLES[name])
     return spark.sql(FIXTURES[name])
 
 

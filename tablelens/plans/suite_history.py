@@ -147,20 +147,22 @@ def _counters(spark, sf):
 
 
 def q_history_votes(spark, sf):
+    """H9: all four vote kinds in one join and one aggregate (top 5/3/5/3 per kind)."""
     m = _matches(spark, sf)
     mo, so, rc = _counters(spark, sf)
-    kinds = [
-        ("preferred", mo.select("dataset_id", F.col("model").alias("name"), F.col("successful").alias("n"), "first_seen"), 5),
-        ("avoid", mo.select("dataset_id", F.col("model").alias("name"), F.col("failed").alias("n"), "first_seen"), 3),
-        ("strategy", so.select("dataset_id", F.col("strategy").alias("name"), F.col("successful").alias("n"), "first_seen"), 5),
-        ("cause", rc.select("dataset_id", F.col("cause").alias("name"), "n", "first_seen"), 3),
-    ]
-    out = None
-    for kind, counters, k in kinds:
-        v = H.weighted_votes(m, counters, "l_suppkey", "dataset_id", "name", "n", k)
-        v = v.select("l_suppkey", F.lit(kind).alias("kind"), "position", "name", r6(F.col("score")).alias("score"))
-        out = v if out is None else out.unionByName(v)
-    return out
+    counters = (
+        mo.select("dataset_id", F.lit("preferred").alias("kind"), F.col("model").alias("name"),
+                  F.col("successful").alias("n"), "first_seen")
+        .unionByName(mo.select("dataset_id", F.lit("avoid").alias("kind"), F.col("model").alias("name"),
+                               F.col("failed").alias("n"), "first_seen"))
+        .unionByName(so.select("dataset_id", F.lit("strategy").alias("kind"), F.col("strategy").alias("name"),
+                               F.col("successful").alias("n"), "first_seen"))
+        .unionByName(rc.select("dataset_id", F.lit("cause").alias("kind"), F.col("cause").alias("name"), "n",
+                               "first_seen"))
+    )
+    k = F.when(F.col("kind").isin("preferred", "strategy"), 5).otherwise(3)
+    v = H.weighted_votes(m, counters, "l_suppkey", "dataset_id", "name", "n", k, kind_col="kind")
+    return v.select("l_suppkey", "kind", "position", "name", r6(F.col("score")).alias("score"))
 
 
 def q_history_hint(spark, sf):

@@ -10,12 +10,30 @@ TABLES = (
 ).split()
 
 
+_READERS: dict = {}
+_REGISTERED: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The relation (file listing and footer schema) is resolved once per session
+    and reused by every query.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _READERS.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _READERS[key] = df
+    return df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
     """Register the tables as temp views (scans stay lazy until an action)."""
     for name in names or TABLES:
+        key = (id(spark), name)
+        src = sf_dir.rstrip("/")
+        if _REGISTERED.get(key) == src and spark.catalog.tableExists(name):
+            continue
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+        _REGISTERED[key] = src
