@@ -186,6 +186,10 @@ def similar_records(queries: DataFrame, records: DataFrame, query_key: str, reco
     n_chunks = max(1, math.ceil(n_q / MAX_BROADCAST_QUERIES))
     sig_cols = [f for f, _ in SIGNATURE_FIELDS]
     rec = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *sig_cols)
+    par = spark.sparkContext.defaultParallelism
+    if rec.rdd.getNumPartitions() < par:
+        # a small history file arrives as one partition: spread the scoring over all cores
+        rec = rec.repartition(par, "_rid")
     out_schema = T.StructType([
         T.StructField("_qid", queries.schema[query_key].dataType),
         T.StructField("_rid", records.schema[record_key].dataType),

@@ -1,12 +1,16 @@
 """Dataset profiling.
 
-One scan feeds everything: each row is unpivoted into ``(segment, column,
-value)`` entries, which a partial aggregate collapses per partition before the
-first shuffle.  From those value counts a second aggregate yields per-column
-rows, missing and distinct counts plus the class sizes of the target, and a
-third folds the columns into one profile row per segment.  No per-column
-``count_distinct`` (that would Expand every row once per column), nothing
-collected, and a hot segment is spread over its distinct values.
+Column statistics (``column_stats``) unpivot each row into ``(segment, column,
+value)`` entries that a partial aggregate collapses per partition before the
+first shuffle; a second aggregate yields missing and distinct counts.  No
+per-column ``count_distinct`` (that would Expand every row once per column),
+nothing collected, and a hot segment is spread over its distinct values.
+
+The profile row (``profile_dataset``) reads distinct counts only for
+categorical features and the target, so it takes missing counts for every
+column from one wide partial aggregate and sends only those few columns
+through the value shuffle; a last aggregate folds the columns into one row per
+segment.
 """
 
 from __future__ import annotations
@@ -114,6 +118,51 @@ def column_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     )
 
 
+def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_idx: int) -> DataFrame:
+    """Per (segment, column) stats for the profile row.
+
+    Missing counts for every column come from one wide partial aggregate.
+    Distinct values are only counted where the profile reads them (categorical
+    features for the high-cardinality rule, and the target), so numeric
+    columns never enter the (segment, column, value) shuffle.
+    """
+    def missing(f):
+        c = F.col(f.name)
+        return c.isNull() | F.isnan(c) if isinstance(f.dataType, FLOAT_TYPES) else c.isNull()
+
+    wide = df.groupBy(*segment_cols).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count(F.when(missing(f), 1)).alias(f"m{i}") for i, f in enumerate(fields)],
+    )
+    names = F.array(*[F.lit(f.name) for f in fields])
+    kinds = F.array(*[F.lit(feature_kind(f.dataType)) for f in fields])
+    per_col = wide.select(
+        *segment_cols, "n_rows",
+        F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(f"m{i}").alias("n_missing"))
+                            for i in range(len(fields))])).alias("e"),
+    ).select(*segment_cols, "n_rows", "e.ci", "e.n_missing")
+    counted = [i for i, f in enumerate(fields) if i == t_idx or feature_kind(f.dataType) == "categorical"]
+    vc = value_counts(df, [fields[i] for i in counted], segment_cols)
+    # value_counts numbers its columns 0..k-1; map them back to the profile ordinals
+    remap = F.array(*[F.lit(i) for i in counted])
+    present = F.col("lv").isNotNull() | F.col("dv").isNotNull() | F.col("sv").isNotNull()
+    distinct = vc.filter(present).groupBy(*segment_cols, F.element_at(remap, F.col("ci") + 1).alias("ci")).agg(
+        F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("max_value_count"), F.min("n").alias("min_value_count"),
+    )
+    stats = per_col.join(distinct, on=[*segment_cols, "ci"], how="left")
+    rate = F.col("n_missing") / F.col("n_rows")
+    return stats.select(
+        *segment_cols, "ci",
+        F.element_at(names, F.col("ci") + 1).alias("column_name"),
+        F.element_at(kinds, F.col("ci") + 1).alias("kind"),
+        "n_rows", "n_missing",
+        F.coalesce(F.col("n_unique"), F.lit(0)).alias("n_unique"),
+        "max_value_count", "min_value_count",
+        rate.alias("missing_rate"),
+        pyround(rate * 100, 2).alias("missing_pct"),
+    )
+
+
 def fingerprint_expr(n_rows: Column, fields: list[T.StructField], target: str) -> Column:
     """G16: 'fp_' + first 12 hex of md5('shape=RxC|target=T|cols|dtypes')."""
     cols = ",".join(f.name for f in fields)
@@ -144,7 +193,7 @@ def profile_dataset(
     n_cols = len(fields)
     feature_count = max(n_cols - 1, 1)
 
-    stats = column_stats(df, segment_cols, names)
+    stats = _profile_stats(df, fields, segment_cols, t_idx)
     is_t = F.col("ci") == t_idx
     high_card = (
         (F.col("kind") == "categorical")
