@@ -118,14 +118,8 @@ def column_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     )
 
 
-def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_idx: int) -> DataFrame:
-    """Per (segment, column) stats for the profile row.
-
-    Missing counts for every column come from one wide partial aggregate.
-    Distinct values are only counted where the profile reads them (categorical
-    features for the high-cardinality rule, and the target), so numeric
-    columns never enter the (segment, column, value) shuffle.
-    """
+def _missing_long(df: DataFrame, fields: list[T.StructField], segment_cols) -> DataFrame:
+    """(segments..., n_rows, ci, n_missing) from one wide partial aggregate (no value shuffle)."""
     def missing(f):
         c = F.col(f.name)
         return c.isNull() | F.isnan(c) if isinstance(f.dataType, FLOAT_TYPES) else c.isNull()
@@ -134,13 +128,35 @@ def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_i
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count(F.when(missing(f), 1)).alias(f"m{i}") for i, f in enumerate(fields)],
     )
-    names = F.array(*[F.lit(f.name) for f in fields])
-    kinds = F.array(*[F.lit(feature_kind(f.dataType)) for f in fields])
-    per_col = wide.select(
+    return wide.select(
         *segment_cols, "n_rows",
         F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(f"m{i}").alias("n_missing"))
                             for i in range(len(fields))])).alias("e"),
     ).select(*segment_cols, "n_rows", "e.ci", "e.n_missing")
+
+
+def missing_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
+    """Per (segments..., column): n_rows, n_missing, missing_rate, missing_pct (2 dp)."""
+    fields = profiled_fields(df, segment_cols, columns)
+    names = F.array(*[F.lit(f.name) for f in fields])
+    rate = F.col("n_missing") / F.col("n_rows")
+    return _missing_long(df, fields, list(segment_cols)).select(
+        *segment_cols, "ci", F.element_at(names, F.col("ci") + 1).alias("column_name"), "n_rows", "n_missing",
+        rate.alias("missing_rate"), pyround(rate * 100, 2).alias("missing_pct"),
+    )
+
+
+def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_idx: int) -> DataFrame:
+    """Per (segment, column) stats for the profile row.
+
+    Missing counts for every column come from one wide partial aggregate.
+    Distinct values are only counted where the profile reads them (categorical
+    features for the high-cardinality rule, and the target), so numeric
+    columns never enter the (segment, column, value) shuffle.
+    """
+    names = F.array(*[F.lit(f.name) for f in fields])
+    kinds = F.array(*[F.lit(feature_kind(f.dataType)) for f in fields])
+    per_col = _missing_long(df, fields, segment_cols)
     counted = [i for i, f in enumerate(fields) if i == t_idx or feature_kind(f.dataType) == "categorical"]
     vc = value_counts(df, [fields[i] for i in counted], segment_cols)
     # value_counts numbers its columns 0..k-1; map them back to the profile ordinals
@@ -312,12 +328,12 @@ def class_counts(df: DataFrame, target: str, segment_cols=()) -> DataFrame:
 
 def missing_by_column(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     """Missing percentage (2 decimals) of every column."""
-    return column_stats(df, segment_cols, columns).select(*segment_cols, "column_name", "missing_pct")
+    return missing_stats(df, segment_cols, columns).select(*segment_cols, "column_name", "missing_pct")
 
 
 def missingness_summary(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     """Overall (mean of column rates, 3 dp), max of rounded rates, severity."""
-    stats = column_stats(df, segment_cols, columns)
+    stats = missing_stats(df, segment_cols, columns)
     agg = stats.groupBy(*segment_cols).agg(
         (F.avg("missing_rate") * 100).alias("overall_raw"), F.max("missing_pct").alias("max_pct")
     )

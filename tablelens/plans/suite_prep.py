@@ -130,7 +130,29 @@ def q_regression_metrics(spark, sf):
     return E.regression_metrics(fixture(spark, sf, "f1"), "label", "score", ["lang"])
 
 
+def q_scan_csv_typed(spark, sf):
+    """F2 written as header CSV to the shared scratch folder, read back with type inference."""
+    import uuid
+
+    from tablelens.session import checkpoint_dir
+    from tablelens.sources.csv import read_csv_typed
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    fixture(spark, sf, "f2").write.option("header", True).csv(path)
+    return read_csv_typed(spark, path)
+
+
+def q_normalise_missing_tokens(spark, sf):
+    """F3's 'NA' and '' return flags become NULL."""
+    from tablelens.sources.csv import normalise_missing_tokens
+
+    f3 = fixture(spark, sf, "f3")
+    return normalise_missing_tokens(f3, ["l_returnflag"]).select("l_orderkey", "l_linenumber", "l_returnflag", "l_tax")
+
+
 QUERIES = {
+    "scan_csv_typed": q_scan_csv_typed,
+    "normalise_missing_tokens": q_normalise_missing_tokens,
     "split_stratified": q_split_stratified,
     "split_plain": q_split_plain,
     "split_validation": q_split_validation,
@@ -187,7 +209,13 @@ filled AS (SELECT l_orderkey, l_linenumber, {filled} FROM f3, fl)"""
 
 
 def _oracles():
+    from tablelens.sources.csv import MISSING_TOKENS
     o = {}
+    o["scan_csv_typed"] = with_fixtures("SELECT * FROM f2", "f2")
+    tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
+    o["normalise_missing_tokens"] = with_fixtures(
+        f"SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag IN ({tokens}) THEN NULL ELSE l_returnflag END AS l_returnflag, "
+        "CASE WHEN isnan(l_tax) THEN NULL ELSE l_tax END AS l_tax FROM f3", "f3")
     o["split_stratified"] = with_fixtures(f"{_F2_SPLIT}\nSELECT row_key, label, split FROM sp", "f2")
     o["split_plain"] = with_fixtures(
         f"SELECT row_key, CASE WHEN row_number() OVER (ORDER BY md5(concat('{SEED}', ':', CAST(row_key AS VARCHAR))), row_key)"

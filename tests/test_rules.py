@@ -102,3 +102,16 @@ def test_order_candidates_without_history_is_alphabetical(spark):
     c = spark.createDataFrame([(1, m) for m in ["RandomForest", "KNN", "DummyMostFrequent"]], "dataset_id long, model string")
     got = [r["model"] for r in RK.order_candidates(c).orderBy("candidate_order").collect()]
     assert got == ["DummyMostFrequent", "KNN", "RandomForest"]
+
+
+def test_csv_tokens_and_inference(spark):
+    from tablelens.sources.csv import infer_types, normalise_missing_tokens
+
+    df = spark.createDataFrame(
+        [("1", "1", "x", "true", "2.5"), ("2", "NA", "n/a", "False", ""), ("3", "3", "y", "true", "4")],
+        "a string, b string, c string, d string, e string",
+    )
+    out = infer_types(normalise_missing_tokens(df))
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types == {"a": "bigint", "b": "double", "c": "string", "d": "boolean", "e": "double"}
+    assert [r["c"] for r in out.orderBy("a").collect()] == ["x", None, "y"]
