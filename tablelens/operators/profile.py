@@ -315,6 +315,15 @@ def flatten_profile(df: DataFrame, sep: str = "|") -> DataFrame:
     return df.select(*cols)
 
 
+def n_unique_approx(df: DataFrame, segment_cols=(), columns=None, rsd: float = 0.05) -> DataFrame:
+    """G5 (approximate): HyperLogLog distinct counts of every column in one partial aggregate."""
+    fields = profiled_fields(df, segment_cols, columns)
+    agg = df.groupBy(*segment_cols).agg(*[F.approx_count_distinct(f.name, rsd).alias(f"u{i}") for i, f in enumerate(fields)])
+    return agg.select(*segment_cols, F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"u{i}").alias("n_unique_approx")) for i, f in enumerate(fields)
+    ])).alias("e")).select(*segment_cols, "e.*")
+
+
 def class_counts(df: DataFrame, target: str, segment_cols=()) -> DataFrame:
     """Rows per class, missing included under the key 'nan'."""
     dtype = df.schema[target].dataType

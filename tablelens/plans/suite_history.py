@@ -213,6 +213,22 @@ def q_order_candidates(spark, sf):
     return w_ds.withColumn("candidate_order", F.row_number().over(w).cast("long"))
 
 
+def q_resolved_hint(spark, sf):
+    """The exact record's hint when the profile's fingerprint is in the history, else the similar one."""
+    prof = P.profile_dataset(fixture(spark, sf, "f3"), "label", segment_cols=["l_suppkey"]).select(
+        "l_suppkey", F.col("profile_id").alias("fingerprint"))
+    latest = H.latest_per_dataset(_runs(spark, sf), ["best_model"]).select("fingerprint", F.col("best_model").alias("exact_best"))
+    similar = q_history_hint(spark, sf).select("l_suppkey", F.col("best_model").alias("similar_best"), "similarity")
+    j = prof.join(latest, on="fingerprint", how="left").join(similar, on="l_suppkey", how="left")
+    exact = F.col("exact_best").isNotNull()
+    return j.select(
+        "l_suppkey",
+        F.when(exact, "exact_fingerprint").when(F.col("similar_best").isNotNull() | F.col("similarity").isNotNull(),
+                                                 "similar_dataset").alias("source"),
+        F.when(exact, F.col("exact_best")).otherwise(F.col("similar_best")).alias("best_model"),
+    )
+
+
 def q_flags_from_history(spark, sf):
     """Strategies preferred by the exact hint switch their flags on."""
     p = f5_planned(spark, sf).withColumn("fingerprint", F.concat(F.lit("fp_"), (F.col("dataset_id") % N_FP).cast("string")))
@@ -255,6 +271,7 @@ QUERIES = {
     "exact_hint": q_exact_hint,
     "order_candidates": q_order_candidates,
     "flags_from_history": q_flags_from_history,
+    "resolved_hint": q_resolved_hint,
     "profile_as_json": q_profile_as_json,
 }
 
@@ -403,6 +420,16 @@ j AS (SELECT fr.*, coalesce(vt.voted, []::VARCHAR[]) AS voted FROM fr
       LEFT JOIN vt ON vt.fingerprint = concat('fp_', CAST(fr.dataset_id % {N_FP} AS VARCHAR)))
 SELECT dataset_id, """ + ", ".join(f"({f} OR list_contains(voted, '{f}')) AS {f}" for f in FLAG_NAMES) + " FROM j",
         "f5", "f8")
+    o["resolved_hint"] = _sim(
+        """,
+hh AS (SELECT t.l_suppkey, max(CASE WHEN t.rank = 1 THEN lt.best_model END) AS best_model,
+              max(CASE WHEN t.rank = 1 THEN t.similarity END) AS similarity
+       FROM top3 t LEFT JOIN lt ON lt.fingerprint = t.fingerprint GROUP BY t.l_suppkey)
+SELECT qp.l_suppkey,
+  CASE WHEN le.best_model IS NOT NULL THEN 'exact_fingerprint'
+       WHEN hh.best_model IS NOT NULL OR hh.similarity IS NOT NULL THEN 'similar_dataset' END AS source,
+  CASE WHEN le.best_model IS NOT NULL THEN le.best_model ELSE hh.best_model END AS best_model
+FROM qp LEFT JOIN lt le ON le.fingerprint = qp.profile_id LEFT JOIN hh ON hh.l_suppkey = qp.l_suppkey""")
     segp = _profile_sql("f3", F3_SEG_COLS, "label", "l_suppkey")
     o["profile_as_json"] = f"SELECT l_suppkey, n_rows, missing_severity, size_bucket, profile_id FROM ({segp}) q"
     return o

@@ -76,6 +76,20 @@ def q_model_linear_svc_multiclass(spark, sf):
     return pr.select("row_key", MD.label_of(labels, F.col("prediction")).alias("prediction"))
 
 
+def q_assembled_features(spark, sf):
+    """Numeric block then one-hot block in one vector; size and non-zeros per test row."""
+    from pyspark.ml.functions import vector_to_array
+
+    f2 = fixture(spark, sf, "f2")
+    split = D.stratified_split(f2, "label", "row_key", 0.2, SEED)
+    train, test = split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
+    prep = MD.fit_preparation(train, ["o_totalprice", "c_acctbal"], ["o_orderpriority", "c_mktsegment"], 0.0, False,
+                              f2.count())
+    arr = vector_to_array(F.col("features"))
+    return prep.transform(test).select("row_key", F.size(arr).alias("n_features"),
+                                       F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
+
+
 def _attempt(spark, sf):
     f1 = fixture(spark, sf, "f1")
     # CV refits every candidate three more times; the registered check runs the holdout path only
@@ -106,6 +120,7 @@ QUERIES = {
     "model_rff_svm": _model_query("SVC_RBF"),
     "model_calibrated_svm": _model_query("SVC_LinearProb"),
     "model_linear_svc_multiclass": q_model_linear_svc_multiclass,
+    "assembled_features": q_assembled_features,
     "pool_results": q_pool_results,
     "classification_attempt": q_classification_attempt,
 }

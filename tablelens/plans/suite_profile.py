@@ -265,7 +265,12 @@ def q_project_features(spark, sf):
     return P.project_features(fixture(spark, sf, "f2"), "label")
 
 
+def q_n_unique_approx(spark, sf):
+    return P.n_unique_approx(fixture(spark, sf, "f3"))
+
+
 QUERIES = {
+    "n_unique_approx": q_n_unique_approx,
     "profile_table": q_profile_table,
     "profile_by_segment": q_profile_by_segment,
     "missing_pct_by_column": q_missing_pct_by_column,
