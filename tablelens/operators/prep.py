@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelens.functions.columns import FLOAT_TYPES, nan_to_null, r6
+from tablelens.functions.ranking import top_k
 
 INFREQUENT = "__infrequent__"
 # Categories per column up to which the fitted table is broadcast to the scan side.
@@ -144,23 +145,29 @@ def rare_category_table(df: DataFrame, cols: list[str], profile_rows: int, n_tra
 
     Infrequent: n < 0.01 * n_train when the profile has >= 1000 rows, else n < 2.
     Cap: when frequent levels + 1 exceed ``max_categories``, only the
-    ``max_categories - 1`` most frequent stay (ties keep the later name).
+    ``max_categories - 1`` most frequent stay (ties keep the later name).  The
+    kept levels come from a two-stage top-k, so a column with millions of
+    levels is never ranked inside one task.
     """
     counts = category_counts(df, cols)
     if n_train is None:
         n_train = df.count()
     cut = 0.01 * n_train if profile_rows >= 1000 else 2
     freq = F.col("n") >= F.lit(cut)
-    w = Window.partitionBy("column_name")
-    order = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("category").desc())
-    t = counts.withColumn("_n_freq", F.sum(F.when(freq, 1).otherwise(0)).over(w)).withColumn(
-        "_pos", F.row_number().over(order)
-    )
-    keep = freq
-    if max_categories is not None:
+    if max_categories is None:
+        keep = freq
+        out = counts
+    else:
+        n_freq = counts.groupBy("column_name").agg(F.count(F.when(freq, 1)).alias("_n_freq"))
+        top = top_k(counts.filter(freq), ["column_name"], [F.col("n").desc(), F.col("category").desc()],
+                    max_categories - 1, salt_key=F.xxhash64("category")).select("column_name", "category",
+                                                                                 F.lit(True).alias("_top"))
+        # n_freq has one row per column; top has at most (max_categories - 1) rows per column
+        out = counts.join(F.broadcast(n_freq), on="column_name").join(F.broadcast(top), on=["column_name", "category"],
+                                                                        how="left")
         capped = (F.col("_n_freq") + 1) > max_categories
-        keep = F.when(capped, freq & (F.col("_pos") <= max_categories - 1)).otherwise(freq)
-    return t.select(
+        keep = F.when(capped, freq & F.coalesce(F.col("_top"), F.lit(False))).otherwise(freq)
+    return out.select(
         "column_name", "category", "n", F.when(keep, F.col("category")).otherwise(F.lit(INFREQUENT)).alias("encoded")
     )
 
@@ -189,11 +196,17 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
-    """Attach the balanced weight to every row through a window count per class."""
-    per_class = F.count(F.lit(1)).over(Window.partitionBy(label))
-    total = df.count()
-    k = df.select(label).distinct().count()
-    return df.withColumn(col, F.lit(float(total)) / (F.lit(float(k)) * per_class))
+    """Attach the balanced weight n / (k * n_c) to every row.
+
+    Class sizes come from a partial aggregate, never a window over the label (a
+    dominant class would sit in one task); the per-class table is broadcast only
+    under a checked class count.
+    """
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_nc").alias("n")).first()  # one row
+    weights = counts.select(label, (F.lit(float(stats["n"])) / (F.lit(float(stats["k"])) * F.col("_nc"))).alias(col))
+    table = F.broadcast(weights) if stats["k"] <= BROADCAST_CATEGORY_ROWS else weights
+    return df.join(table, on=label, how="left")
 
 
 # ----------------------------------------------------------------- announced extras

@@ -23,6 +23,7 @@ from tablelens.operators import ranking as RK
 from tablelens.operators import split as D
 from tablelens.operators import steps as L
 from tablelens.operators.profile_rules import FLAG_NAMES
+from tablelens.session import checkpoint_dir
 
 
 @dataclass
@@ -85,13 +86,15 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
     if rt["use_class_weight"] or imb >= 3.0:
         tr = E.with_class_weight(tr, "label_idx", "weight")
         weight_col = "weight"
-    tr, te = tr.cache(), te.cache()
+    # every candidate refits on these frames: cut their lineage in the shared checkpoint folder
+    checkpoint_dir(spark)
+    tr, te = tr.checkpoint(), te.checkpoint()
     n_classes = len(labels)
 
     if with_cv is None:
         with_cv = bool(rt["enable_cv"]) or rows < 4000
     min_train_class = tr.groupBy("label_idx").count().agg(F.min("count")).first()[0] if n_classes > 1 else 0
-    folds = D.stratified_folds(tr, "label_idx", key, 3, seed).cache() if with_cv and min_train_class >= 3 else None
+    folds = D.stratified_folds(tr, "label_idx", key, 3, seed).checkpoint() if with_cv and min_train_class >= 3 else None
 
     def predictor(name):
         """(fit_part, [eval parts]) -> [DataFrame(key, prediction, score)] with one fit per call."""
