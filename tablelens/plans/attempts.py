@@ -201,5 +201,5 @@ def run(df: DataFrame, target: str, key: str, run_id: str = "run", max_replans:
                                     "f struct<" + ",".join(f"{k}:boolean" for k in FLAG_NAMES) +
                                     ",replan_count:int>, c array<string>, p array<string>")
         new_flags = X.replan_flags(F.col("f"), F.col("c"), F.lit(a.profile["num_classes"]))
-        out = row.select(new_flags.alias("nf")).withColumn("np", X.replan_steps(F.col("nf"), F.col("p"))).first()
+        out = row.select(new_flags.alias("nf"), "p").withColumn("np", X.replan_steps(F.col("nf"), F.col("p"))).first()
         flags, plan = out["nf"].asDict(), list(out["np"])

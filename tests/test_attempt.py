@@ -22,3 +22,13 @@ def test_attempt_with_cv(spark):
     assert d["status"] in ("ok", "needs_attention")
     per_model = a.predictions.filter(F.col("split") == "test").groupBy("model").count().collect()
     assert len({r["count"] for r in per_model}) == 1 and len(per_model) == 3
+
+
+def test_reattempt_loop_extends_plan(spark):
+    f2 = fixture(spark, "/root/testdata/sf0.001", "f2")
+    atts = Z.run(f2, "label", "row_key", run_id="z2", max_replans=1, tree_cap=5, with_cv=False,
+                 candidates=["DummyMostFrequent", "LogisticRegression"])
+    assert 1 <= len(atts) <= 2
+    if len(atts) == 2:
+        assert atts[1].plan[:3] == ["apply_replanned_strategy", "rebuild_preprocessor", "reselect_models"]
+        assert atts[1].flags["replan_count"] == 1
