@@ -59,7 +59,7 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
         plan = p.select(L.plan_steps(p).alias("plan")).first()["plan"]
     plan_arr = F.array(*[F.lit(s) for s in plan])
     rt = p.select(L.runtime_flags(F.col("strategy_flags"), plan_arr).alias("rt")).first()["rt"].asDict()
-    rows, fc = prof["n_rows"], prof["feature_count"]
+    rows = prof["n_rows"]
     if candidates is None:
         pool_col = PL.candidate_pool(F.col("n_rows"), F.col("feature_count"), F.col("dominant_feature_type"),
                                      F.col("high_dimensional"), F.col("high_cardinality_count"), F.col("num_classes"),
@@ -177,7 +177,7 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
     worst = summary.select("run_id", "attempt", F.col("best_model").alias("model")).join(
         worst, on=["run_id", "attempt", "model"]).select("run_id", "attempt", "worst_class_recall")
     diag = X.diagnose(summary, ctx.drop("compare_on_cv"), worst)
-    info = {"train_rows": None, "test_rows": None, "stratified": stratified}
+    info = D.split_info(split, stratified).first().asDict()  # one row: train rows, test rows, stratified
     return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info)
 
 
