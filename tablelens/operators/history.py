@@ -182,7 +182,15 @@ def similar_records(queries: DataFrame, records: DataFrame, query_key: str, reco
     sig_cols0 = [f for f, _ in SIGNATURE_FIELDS]
     # one bounded pass both checks the size and fetches the query side when it fits
     head = queries.select(F.col(query_key).alias("_qid"), *sig_cols0).limit(MAX_BROADCAST_QUERIES + 1).toPandas()
-    n_q = len(head) if len(head) <= MAX_BROADCAST_QUERIES else queries.count()
+    if len(head) <= MAX_BROADCAST_QUERIES:
+        n_q = len(head)
+    else:
+        # many query profiles: materialise them once in the shared checkpoint folder, then go chunk by chunk
+        from tablelens.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        queries = queries.checkpoint()
+        n_q = queries.count()
     n_chunks = max(1, math.ceil(n_q / MAX_BROADCAST_QUERIES))
     sig_cols = [f for f, _ in SIGNATURE_FIELDS]
     rec = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *sig_cols)

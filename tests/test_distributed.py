@@ -42,3 +42,21 @@ def test_exact_order_stats_with_bracketing(spark):
     got = exact_order_stats(df, "v", ranks, n, accuracy=1000, collect_limit=500)
     for k in ranks:
         assert got[k] == vals[k]
+
+
+def test_similarity_chunked_equals_single_pass(spark, monkeypatch):
+    from tablelens.operators import history as H
+
+    q = spark.range(30).select(
+        F.col("id").alias("qid"), F.lit("small").alias("size_bucket"), F.lit(100).cast("bigint").alias("rows"),
+        F.lit(5).cast("bigint").alias("cols"), (F.col("id") % 10 / 10).alias("numeric_ratio"),
+        F.lit(0.5).alias("categorical_ratio"), F.lit("low").alias("missing_severity"), F.lit(0.0).alias("overall_missing"),
+        (F.col("id") % 7 + 1.0).alias("imbalance_ratio"), F.lit(2).cast("bigint").alias("num_classes"),
+        F.lit(False).alias("high_dimensional"), (F.col("id") % 3).alias("high_cardinality_count"),
+        F.lit("mixed").alias("dominant_feature_type"), F.lit(False).alias("weak_signal_risk"))
+    r = q.withColumnRenamed("qid", "rid").withColumn("imbalance_ratio", F.col("imbalance_ratio") * 0.9)
+    one = H.similar_records(q, r, "qid", "rid", "rid").collect()
+    monkeypatch.setattr(H, "MAX_BROADCAST_QUERIES", 7)
+    many = H.similar_records(q, r, "qid", "rid", "rid").collect()
+    key = lambda rows: sorted((x["qid"], x["rank"], x["rid"], round(x["similarity"], 12)) for x in rows)
+    assert key(one) == key(many) and len(one) == 90
