@@ -145,7 +145,7 @@ def make_estimator(name: str, settings: dict, n_classes: int, weight_col: str |
     cap = (lambda n: min(n, tree_cap)) if tree_cap else (lambda n: n)
     common = dict(featuresCol="features", labelCol="label_idx")
     if name == "LogisticRegression":
-        # sklearn's C=1 L2 penalty over summed losses equals regParam = 1 / sum(weights)
+        # a C=1 L2 penalty over summed losses equals regParam = 1 / sum(weights)
         return LogisticRegression(maxIter=2500, regParam=1.0 / max(weight_sum, 1.0), elasticNetParam=0.0,
                                   standardization=False, weightCol=weight_col or "", **common) if weight_col else \
             LogisticRegression(maxIter=2500, regParam=1.0 / max(weight_sum, 1.0), standardization=False, **common)
