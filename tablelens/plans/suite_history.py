@@ -12,7 +12,7 @@ from tablelens.operators import pool as M
 from tablelens.operators import profile as P
 from tablelens.operators import ranking as RK
 from tablelens.operators import steps as L
-from tablelens.operators.profile_rules import FLAG_NAMES
+from tablelens.operators.profile_rules import FLAG_NAMES, facts_rules
 from tablelens.plans.fixtures import fixture, with_fixtures
 from tablelens.plans.suite_diagnose import FR_CTES, PLAN_CTE, RT_CTE, f5_planned
 from tablelens.plans.suite_profile import F3_SEG_COLS, _profile_sql
@@ -28,8 +28,14 @@ def _runs(spark, sf):
 
 
 def _records(spark, sf):
-    """History records: F5 profiles with their fingerprint; insertion order = dataset_id."""
-    p = f5_planned(spark, sf).withColumn("n_cols", F.col("feature_count") + 1)
+    """History records: F5 profiles with their fingerprint; insertion order = dataset_id.
+
+    Signatures need only the profile rules, not the step list.
+    """
+    f5 = facts_rules(fixture(spark, sf, "f5"))
+    p = f5.withColumn("imbalance_ratio", F.when(F.col("is_classification"), F.col("imbalance_ratio"))) \
+        .withColumn("num_classes", F.when(F.col("is_classification"), F.col("num_classes")).otherwise(F.lit(0))) \
+        .withColumn("n_cols", F.col("feature_count") + 1)
     sig = H.profile_signature(p, "dataset_id")
     return sig.withColumn("fingerprint", F.concat(F.lit("fp_"), (F.col("dataset_id") % N_FP).cast("string")))
 
