@@ -30,36 +30,41 @@ def exact_order_stats(df: DataFrame, col: str, ranks: list[int], n: int, accurac
                       collect_limit: int = 200_000) -> dict[int, float]:
     """Values at 0-based ``ranks`` of the non-missing ``col`` (exact, distributed).
 
-    ``percentile_approx`` brackets each rank within +-2/accuracy of n; rows
-    below the bracket are counted, rows inside are narrowed again until at most
-    ``collect_limit`` remain, and only that bracket is ordered by a window.
+    Each round brackets the wanted rank with ``percentile_approx`` (two data
+    values lo <= hi) and counts, in one aggregate, the rows below, at and
+    between them.  If the rank falls on lo's or hi's run of equal values that
+    value is the answer; otherwise only the rows below lo, between lo and hi, or
+    above hi are kept.  Every round therefore ends or drops at least one row (the
+    bracket values are data values).  Once at most ``collect_limit`` rows remain,
+    they are ordered by one window.
     """
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    v = F.col("v")
     out = {}
     for k in ranks:
-        lo_v, hi_v, below, sub = None, None, 0, values
-        size = n
-        while size > collect_limit:
-            p = (k - below) / max(size - 1, 1)
+        below, sub, size, found = 0, values, n, None
+        while size > collect_limit and found is None:
+            r = k - below  # rank inside ``sub``
+            p = r / max(size - 1, 1)
             eps = 2.0 / accuracy
-            lo_p, hi_p = max(p - eps, 0.0), min(p + eps, 1.0)
-            q = sub.agg(F.percentile_approx("v", [lo_p, hi_p], accuracy).alias("q")).first()["q"]
-            lo_v, hi_v = q[0], q[1]
-            stats = sub.agg(
-                F.count(F.when(F.col("v") < lo_v, 1)).alias("below"),
-                F.count(F.when((F.col("v") >= lo_v) & (F.col("v") <= hi_v), 1)).alias("inside"),
+            q = sub.agg(F.percentile_approx("v", [max(p - eps, 0.0), min(p + eps, 1.0)], accuracy).alias("q")).first()["q"]
+            lo, hi = float(q[0]), float(q[1])
+            c = sub.agg(
+                F.count(F.when(v < lo, 1)).alias("lt_lo"), F.count(F.when(v <= lo, 1)).alias("le_lo"),
+                F.count(F.when(v < hi, 1)).alias("lt_hi"), F.count(F.when(v <= hi, 1)).alias("le_hi"),
             ).first()
-            new_size = stats["inside"]
-            if new_size >= size:  # no progress (heavy ties): the bracket is one value
-                if lo_v == hi_v:
-                    break
-            below += stats["below"]
-            sub = sub.filter((F.col("v") >= lo_v) & (F.col("v") <= hi_v))
-            size = new_size
-            if lo_v == hi_v:
-                break
-        if lo_v is not None and lo_v == hi_v and size > collect_limit:
-            out[k] = float(lo_v)
+            if c["lt_lo"] <= r < c["le_lo"]:
+                found = lo
+            elif c["lt_hi"] <= r < c["le_hi"]:
+                found = hi
+            elif r < c["lt_lo"]:
+                sub, size = sub.filter(v < lo), c["lt_lo"]
+            elif r >= c["le_hi"]:
+                sub, size, below = sub.filter(v > hi), size - c["le_hi"], below + c["le_hi"]
+            else:
+                sub, size, below = sub.filter((v > lo) & (v < hi)), c["lt_hi"] - c["le_lo"], below + c["le_lo"]
+        if found is not None:
+            out[k] = found
             continue
         w = Window.orderBy("v")  # at most collect_limit rows reach this single-partition window
         row = sub.withColumn("_r", F.row_number().over(w) - 1 + F.lit(below)).filter(F.col("_r") == k).first()

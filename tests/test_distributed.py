@@ -60,3 +60,15 @@ def test_similarity_chunked_equals_single_pass(spark, monkeypatch):
     many = H.similar_records(q, r, "qid", "rid", "rid").collect()
     key = lambda rows: sorted((x["qid"], x["rank"], x["rid"], round(x["similarity"], 12)) for x in rows)
     assert key(one) == key(many) and len(one) == 90
+
+
+def test_exact_order_stats_heavy_ties(spark):
+    # 80 % of the values are the same number: the bracket collapses onto it
+    df = spark.range(20000).select(F.when(F.col("id") % 5 != 0, F.lit(3.0))
+                                   .otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("v"))
+    vals = np.sort(np.array([r[0] for r in df.collect()]))
+    n = len(vals)
+    ranks = [(n - 1) // 2, n // 2, 5, n - 2]
+    got = exact_order_stats(df, "v", ranks, n, accuracy=1000, collect_limit=500)
+    for k in ranks:
+        assert got[k] == vals[k]
