@@ -115,3 +115,22 @@ def test_csv_tokens_and_inference(spark):
     types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
     assert types == {"a": "bigint", "b": "double", "c": "string", "d": "boolean", "e": "double"}
     assert [r["c"] for r in out.orderBy("a").collect()] == ["x", None, "y"]
+
+
+def test_guards_and_split_fallback(spark):
+    import math
+
+    from tablelens.operators import profile as P
+    from tablelens.operators import split as D
+    from tablelens.operators import target as TG
+
+    df = spark.createDataFrame([(i, "a" if i < 39 else "b", float(i)) for i in range(40)], "k long, y string, x double")
+    with pytest.raises(ValueError):
+        P.profile_dataset(df, "missing_target")
+    with pytest.raises(ValueError):
+        TG.resolve_target(df, "nope")
+    assert TG.resolve_target(df, " AUTO ")[0] in df.columns
+    # class 'b' has one row: the holdout is not stratified and takes ceil(n * f) test rows
+    out, stratified = D.holdout_split(df, "y", "k", 0.2, 42)
+    assert stratified is False
+    assert out.filter(F.col("split") == "test").count() == math.ceil(40 * 0.2)
