@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, merkle, mixing
+from tablelens.llm import chat, decontam, merkle, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document against the whole benchmark."""
+    return decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1 (repeating) by source, at most three epochs of any."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return chat.render(_table(spark, sf_dir, "conversations"))
@@ -27,11 +37,14 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
+    "op5_simhash": op5_simhash,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle": op9_merkle,
 }
 ORACLES = {
+    "op1_decontamination": decontam.ORACLE,
     "op2_mixing": mixing.ORACLE.format(docs="documents"),
     "op8_chat_formatting": chat.ORACLE,
     "op9_merkle": merkle.ORACLE,
