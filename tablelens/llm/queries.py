@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, decontam, merkle, mixing, simhash
+from tablelens.llm import chat, decontam, merkle, mixing, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat as part of 200-byte strings, and the digest of the rest."""
+    return substring.digests(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -39,6 +44,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
+    "op4_substring": op4_substring,
     "op5_simhash": op5_simhash,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle": op9_merkle,
