@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, decontam, merkle, mixing, simhash, substring
+from tablelens.llm import chat, decontam, merkle, mixing, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by its nearest labelled examples."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
@@ -48,6 +53,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle": op9_merkle,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
