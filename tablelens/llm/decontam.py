@@ -155,6 +155,17 @@ def _common(a: Column, b: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (merged hit spans: first word, word after the last)."""
+    return _judged(with_uid(docs.select("doc_id", "text")), benchmark).drop("_uid")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that share no window with any item."""
+    numbered = with_uid(docs)
+    hit = _judged(numbered.select("_uid", "doc_id", "text"), benchmark).filter("contaminated").select("_uid")
+    return numbered.join(hit, "_uid", "left_anti").drop("_uid")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = _fingerprinted(benchmark.select("item_id", "text"), ["item_id"], [], None)
     prints = materialise(items.select("item_id", F.explode("cands").alias("c")).select("item_id", "c.*"), "items")
@@ -163,7 +174,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # one row for each distinct fingerprint and surroundings
     sides = prints.groupBy("n", "h", "gram", "back", "on").agg(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("ids"))
     sides = sides.select("n", "h", F.col("gram").alias("_gram"), F.col("back").alias("_back"), F.col("on").alias("_on"), "ids")
-    base = materialise(_fingerprinted(with_uid(docs.select("doc_id", "text")), ["_uid", "doc_id"], lengths, bitmap), "winnowed")
+    base = materialise(_fingerprinted(docs, ["_uid", "doc_id"], lengths, bitmap), "winnowed")
     cand = base.select("_uid", F.explode("cands").alias("c")).select("_uid", "c.*")
     back, on = _common(F.col("back"), F.col("_back")), _common(F.col("on"), F.col("_on"))
     hits = cand.join(sides, ["n", "h"]).filter("gram = _gram").withColumn("_l", back).withColumn("_r", on)
@@ -181,7 +192,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return (
         base.select("_uid", "doc_id", "n_words").join(per, "_uid", "left")
         .select(
-            "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce(F.size("ids").cast("long"), none).alias("n_items"),
+            "_uid", "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce(F.size("ids").cast("long"), none).alias("n_items"),
             F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
             F.col("n_hit").isNotNull().alias("contaminated"), "spans",
         )

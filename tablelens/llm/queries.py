@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, decontam, merkle, mixing, simhash, substring, toxicity
+from tablelens.llm import chat, decontam, langid, merkle, mixing, quality, simhash, substring, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels.quality."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat as part of 200-byte strings, and the digest of the rest."""
     return substring.digests(_table(spark, sf_dir, "documents"))
@@ -31,6 +36,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and the spans of each language."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived as a WARC record and read back; equal payloads as revisits."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return chat.render(_table(spark, sf_dir, "conversations"))
@@ -49,8 +64,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op4_substring": op4_substring,
     "op5_simhash": op5_simhash,
+    "op6_language": op6_language,
+    "op7_warc": op7_warc,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle": op9_merkle,
     "op10_toxicity": op10_toxicity,
@@ -58,6 +76,7 @@ QUERIES = {
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
     "op2_mixing": mixing.ORACLE.format(docs="documents"),
+    "op7_warc": warc.ORACLE,
     "op8_chat_formatting": chat.ORACLE,
     "op9_merkle": merkle.ORACLE,
 }

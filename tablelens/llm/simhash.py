@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import connected_components, materialise
+from tablelens.llm.common import connected_components, materialise, with_uid
 
 SHINGLE = 3
 RADIUS = 2
@@ -54,16 +54,17 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` and fp (the fingerprint as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             fps = np.array([simhash(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64), pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(fps.view(np.int64), pa.int64())], [*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    types = dict(docs.dtypes)
+    return docs.select(*keep, "text").mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in keep) + ", fp long")
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -92,13 +93,29 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return star.select(least.alias("b"), F.explode("m").alias("a")).filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
-    base = materialise(fingerprints(docs, shingle), "simhash")
+def _components(base: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of every distinct fingerprint, and the same with the least doc_id of each fingerprint."""
     distinct = materialise(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = materialise(links(distinct.select("fp"), radius), "links")
     comp = connected_components(found, "stars").withColumnRenamed("node", "fp")
     named = materialise(distinct.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "named")
+    return named.select("fp", "component"), named
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
+    base = materialise(fingerprints(docs, shingle), "simhash")
+    _, named = _components(base, radius)
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.select("fp", "component").join(ids, "component").select("fp", "component_id")
     return base.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, with all columns: that with the smallest doc_id (nulls last, then the first in the scan)."""
+    numbered = with_uid(docs)
+    base = materialise(fingerprints(numbered, shingle, ("_uid", "doc_id")), "simhash")
+    of, _ = _components(base, radius)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_uid"))
+    kept = base.join(of, "fp").groupBy("component").agg(first.alias("k")).select("k._uid")
+    return numbered.join(kept, "_uid", "left_semi").drop("_uid")

@@ -258,3 +258,15 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus:
     """Per document: doc_id, held_out, score, predicted, evidence."""
     scored = score(docs, fit(docs, labels, label, modulus, held_out))
     return scored.select("doc_id", (fold(F.col("doc_id"), modulus) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
+
+
+def keep_clean(docs: DataFrame, index: Index, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is under the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _known(batch.column(batch.schema.get_field_index("text")), shared.value.vocabulary)
+            yield batch.filter(pa.array([shared.value.score(t, c)[0] < threshold for _, t, c in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
