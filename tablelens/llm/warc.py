@@ -257,7 +257,7 @@ class _Reader(DataSourceReader):
         out = []
         for path, size in _files(self.uri):
             store, _ = _open(self.uri)
-            head = store.open_input_stream(path).read(64) if size > SPLIT else b""
+            head = store.open_input_file(path).read(64) if size > SPLIT else b""
             step = SPLIT if head[:2] == b"\x1f\x8b" and _skip_lengths(head) else max(size, 1)
             out += [_Range(path, at, min(at + step, size)) for at in range(0, size, step)]
         return out or [_Range("", 0, 0)]
