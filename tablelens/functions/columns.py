@@ -66,7 +66,7 @@ def r6(c: Column) -> Column:
 def seeded_md5(seed, key: Column | str) -> Column:
     """Deterministic, partition-independent hex hash of ``'<seed>:<key>'``."""
     col = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), col.cast("string")))
+    return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.coalesce(col.cast("string"), F.lit(""))))
 
 
 def hash_unit(md5_hex: Column) -> Column:

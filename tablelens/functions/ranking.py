@@ -29,7 +29,7 @@ def hash_rank(
 ) -> DataFrame:
     """Add ``rank_col`` = row_number over (partition by group order by md5(seed:key), key).
 
-    Also adds ``group_n`` (rows in the group) when ``with_group_size``.
+    A NULL key hashes as the empty text.  Also adds ``group_n`` (rows in the group) when ``with_group_size``.
     """
     h = df.withColumn("_h", seeded_md5(seed, key_col)).withColumn(
         "_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast("int")
@@ -45,7 +45,13 @@ def hash_rank(
     )
     if not with_group_size:
         offsets = offsets.drop("group_n")
-    joined = h.join(offsets, on=[*group_cols, "_b"], how="inner")
+    # null-safe: rows whose group value is NULL form a group of their own
+    right = offsets.select(F.col("_b").alias("_b2"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_off",
+                           *(["group_n"] if with_group_size else []))
+    cond = F.col("_b") == F.col("_b2")
+    for i, c in enumerate(group_cols):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = h.join(right, cond, "inner").drop("_b2", *[f"_g{i}" for i in range(len(group_cols))])
     inner = Window.partitionBy(*group_cols, "_b").orderBy("_h", key_col)
     return joined.withColumn(rank_col, (F.col("_off") + F.row_number().over(inner)).cast("long")).drop(
         "_h", "_b", "_off"

@@ -5,7 +5,11 @@ candidate (the reference refits them per candidate).  Candidates without an
 MLlib counterpart are re-aimed and named for what they are:
 ``full_sample_forest`` (random forest without bootstrap, for extra trees),
 ``rff_svm`` (random Fourier features + calibrated linear SVM, for RBF SVC),
-``knn_vote`` (exact k nearest neighbours against a gated, broadcast train set).
+``knn_vote`` (exact k nearest neighbours over blocks of the training rows).
+
+Fixed settings where the re-aim has no counterpart to copy: ``RFF_COMPONENTS``
+random features, ``SVC_MAX_ITER`` optimiser iterations, ``CALIBRATION_FOLDS``
+folds for held-out margins.
 """
 
 from __future__ import annotations
@@ -20,16 +24,21 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelens.functions.blocked import block_pairs
 from tablelens.operators import prep as E
 from tablelens.operators.metrics import sigmoid
+from tablelens.session import checkpoint_dir
 
-# Reference gate for nearest neighbours: it only enters the pool up to this many rows.
-KNN_MAX_TRAIN_ROWS = 6000
-MLLIB_MAX_DEPTH = 30
+MLLIB_MAX_DEPTH = 30  # MLlib grows no deeper tree; the rule's "no limit" becomes this
+RFF_COMPONENTS = 100
+SVC_MAX_ITER = 200
+CALIBRATION_FOLDS = 3
+MAX_CLASSES = 10_000  # more distinct targets are no classification problem (they would reach the driver)
+UNKNOWN = "__unknown__"  # never fitted, so the encoder gives it zeros
 
 
 # ------------------------------------------------------------------ settings as column rules
@@ -57,34 +66,41 @@ class Prepared:
         self.numeric, self.categorical = numeric, categorical
         self.fills, self.scaler, self.modes, self.rare, self.encoder = fills, scaler, modes, rare, encoder
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def encode(self, df: DataFrame) -> DataFrame:
+        """Fill, scale, and map categories; a level that was not seen in fitting stays apart from the rare ones."""
         out = E.apply_scaler(E.apply_fill(df, self.fills), self.scaler) if self.numeric else df
         for c in self.categorical:
             out = out.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c))))
         if self.rare is not None:
             for c in self.categorical:
                 m = self.rare.filter(F.col("column_name") == c).select(F.col("category").alias(c), F.col("encoded").alias("_enc"))
-                out = out.join(F.broadcast(m), on=c, how="left").withColumn(
-                    c, F.coalesce(F.col("_enc"), F.lit(E.INFREQUENT))).drop("_enc")
-        return self.encoder.transform(out)
+                out = out.join(m, on=c, how="left").withColumn(c, F.coalesce(F.col("_enc"), F.lit(UNKNOWN))).drop("_enc")
+        return out
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.encoder.transform(self.encode(df))
 
 
 def fit_preparation(train: DataFrame, numeric: list[str], categorical: list[str], max_missing_pct: float,
                     group_rare: bool, profile_rows: int) -> Prepared:
-    """Impute (mean/median by profile), scale, mode-fill, rare-group/cap, one-hot, assemble."""
+    """Impute (mean/median by profile), scale, mode-fill, rare-group/cap, one-hot, assemble.
+
+    A numeric column without any present value is dropped.
+    """
     fills = E.fit_imputer(train, numeric, max_missing_pct) if numeric else {}
+    numeric = [c for c in numeric if fills[c] is not None]
+    fills = {c: fills[c] for c in numeric}
     filled = E.apply_fill(train, fills)
     scaler = E.fit_scaler(filled, numeric) if numeric else {}
     modes = {r["column_name"]: r["mode"] for r in E.fit_modes(train, categorical).collect()} if categorical else {}
-    cat_filled = filled
-    for c in categorical:
-        cat_filled = cat_filled.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(modes.get(c))))
     rare = None
     if group_rare and categorical:
+        cat_filled = filled
+        for c in categorical:
+            cat_filled = cat_filled.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(modes.get(c))))
         rare = E.rare_category_table(cat_filled, categorical, profile_rows=profile_rows)
-        rare = rare.cache()
-        if rare.count() > E.BROADCAST_CATEGORY_ROWS:
-            raise ValueError("category table above the broadcast bound; group before training")
+        checkpoint_dir(train.sparkSession)
+        rare = rare.checkpoint()
     stages = []
     idx = [f"{c}__idx" for c in categorical]
     ohe = [f"{c}__ohe" for c in categorical]
@@ -94,15 +110,7 @@ def fit_preparation(train: DataFrame, numeric: list[str], categorical: list[str]
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
     stages.append(VectorAssembler(inputCols=numeric + ohe, outputCol="features", handleInvalid="keep"))
     prepared = Prepared(numeric, categorical, fills, scaler, modes, rare, None)
-    pre = E.apply_scaler(filled, scaler) if numeric else filled
-    for c in categorical:
-        pre = pre.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(modes.get(c))))
-    if rare is not None:
-        for c in categorical:
-            m = rare.filter(F.col("column_name") == c).select(F.col("category").alias(c), F.col("encoded").alias("_enc"))
-            pre = pre.join(F.broadcast(m), on=c, how="left").withColumn(
-                c, F.coalesce(F.col("_enc"), F.lit(E.INFREQUENT))).drop("_enc")
-    prepared.encoder = Pipeline(stages=stages).fit(pre)
+    prepared.encoder = Pipeline(stages=stages).fit(prepared.encode(train))
     return prepared
 
 
@@ -119,18 +127,14 @@ ROWS_PER_PARTITION = 100_000
 
 
 def _sized(train: DataFrame) -> DataFrame:
-    """Give the training rows about ROWS_PER_PARTITION rows per partition before an iterative fit.
+    """Merge small partitions up to about ROWS_PER_PARTITION rows before an iterative fit.
 
     Every optimiser iteration is one Spark job over all partitions; a few
     hundred rows spread over many partitions pay scheduling per task on every
-    iteration, while large inputs keep (up to 4x) the cluster's parallelism.
+    iteration.  The partition count grows with the rows, without a limit.
     """
-    n = train.count()
-    par = train.sparkSession.sparkContext.defaultParallelism
-    target = max(1, min(par * 4, math.ceil(n / ROWS_PER_PARTITION)))
-    if train.rdd.getNumPartitions() > target:
-        train = train.coalesce(target)
-    return train
+    target = max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    return train.coalesce(target)
 
 
 def _weight_sum(df: DataFrame, weight_col: str | None) -> float:
@@ -140,9 +144,8 @@ def _weight_sum(df: DataFrame, weight_col: str | None) -> float:
 
 
 def make_estimator(name: str, settings: dict, n_classes: int, weight_col: str | None, weight_sum: float,
-                   seed: int = 42, tree_cap: int | None = None):
+                   seed: int = 42):
     """MLlib estimator for a pool name (label column 'label_idx', features 'features')."""
-    cap = (lambda n: min(n, tree_cap)) if tree_cap else (lambda n: n)
     common = dict(featuresCol="features", labelCol="label_idx")
     if name == "LogisticRegression":
         # a C=1 L2 penalty over summed losses equals regParam = 1 / sum(weights)
@@ -150,26 +153,28 @@ def make_estimator(name: str, settings: dict, n_classes: int, weight_col: str |
                                   standardization=False, weightCol=weight_col or "", **common) if weight_col else \
             LogisticRegression(maxIter=2500, regParam=1.0 / max(weight_sum, 1.0), standardization=False, **common)
     if name == "RandomForest":
-        kw = dict(numTrees=cap(settings["forest_trees"]), maxDepth=settings["forest_max_depth"] or MLLIB_MAX_DEPTH,
+        kw = dict(numTrees=settings["forest_trees"], maxDepth=settings["forest_max_depth"] or MLLIB_MAX_DEPTH,
                   minInstancesPerNode=settings["forest_min_leaf"], seed=seed, **common)
         return RandomForestClassifier(weightCol=weight_col, **kw) if weight_col else RandomForestClassifier(**kw)
     if name == "ExtraTrees":
-        kw = dict(numTrees=cap(settings["full_sample_trees"]), bootstrap=False, featureSubsetStrategy="sqrt",
+        kw = dict(numTrees=settings["full_sample_trees"], bootstrap=False, featureSubsetStrategy="sqrt",
                   maxDepth=settings["full_sample_max_depth"] or MLLIB_MAX_DEPTH, seed=seed, **common)
         return RandomForestClassifier(weightCol=weight_col, **kw) if weight_col else RandomForestClassifier(**kw)
     if name == "GradientBoosting":
-        gbt = GBTClassifier(stepSize=settings["gbt_step"], maxIter=cap(settings["gbt_rounds"]),
+        gbt = GBTClassifier(stepSize=settings["gbt_step"], maxIter=settings["gbt_rounds"],
                             maxDepth=settings["gbt_depth"], seed=seed, **common)
         return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, **common)
     if name in ("LinearSVC", "SVC_RBF", "SVC_LinearProb"):
         c = {"LinearSVC": settings["svc_c"], "SVC_RBF": 1.0, "SVC_LinearProb": 0.8}[name]
-        kw = dict(regParam=1.0 / (c * max(weight_sum, 1.0)), maxIter=100, standardization=False, **common)
+        kw = dict(regParam=1.0 / (c * max(weight_sum, 1.0)), maxIter=SVC_MAX_ITER, standardization=False, **common)
         svc = LinearSVC(weightCol=weight_col, **kw) if weight_col else LinearSVC(**kw)
-        return svc if n_classes <= 2 else OneVsRest(classifier=svc, **common)
+        if n_classes <= 2:
+            return svc
+        return OneVsRest(classifier=svc, weightCol=weight_col, **common) if weight_col else OneVsRest(classifier=svc, **common)
     raise ValueError(f"no MLlib estimator for {name}")
 
 
-def rff_features(df: DataFrame, dim: int, n_components: int = 64, gamma: float | None = None, seed: int = 42,
+def rff_features(df: DataFrame, dim: int, n_components: int = RFF_COMPONENTS, gamma: float | None = None, seed: int = 42,
                  var: float = 1.0) -> DataFrame:
     """M8 re-aim: random Fourier features sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma) (Rahimi & Recht, 2007).
 
@@ -189,47 +194,78 @@ def rff_features(df: DataFrame, dim: int, n_components: int = 64, gamma: float |
     return df.withColumn("features", array_to_vector(F.array(*comps)))
 
 
-def knn_vote(train: DataFrame, test: DataFrame, key: str, vec: str, label: str, k: int) -> DataFrame:
+def feature_variance(df: DataFrame, vec: str = "features") -> float:
+    """Variance over all entries of a vector column (one aggregate)."""
+    x = vector_to_array(F.col(vec))
+    total = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+    square = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
+    r = df.agg(F.sum(total).alias("s"), F.sum(square).alias("q"), F.sum(F.size(x)).alias("n")).first()
+    return max(r["q"] / r["n"] - (r["s"] / r["n"]) ** 2, 0.0) if r["n"] else 0.0
+
+
+def knn_vote(train: DataFrame, test: DataFrame, key: str, vec: str, label: str, k: int,
+             positive=None, block_rows: int | None = None) -> DataFrame:
     """M7: exact k nearest neighbours (squared L2, ties by key) and majority vote (ties to the smallest label).
 
-    The train side is broadcast only under the reference's own gate
-    (<= 6000 rows); each task scores its test rows against it with numpy.
+    Blocks of test rows meet blocks of training rows, each pair keeps its k
+    nearest per test row, and those are ranked per test row: exact at any size.
+    With ``positive`` a ``score`` column gives that label's share of the votes.
     """
-    n_train = train.count()
-    if n_train > KNN_MAX_TRAIN_ROWS:
-        raise ValueError(f"nearest neighbours are gated at {KNN_MAX_TRAIN_ROWS} training rows, got {n_train}")
-    tp = train.select(key, vec, label).toPandas()  # bounded by the gate above
-    xs = np.array([np.asarray(v, dtype=np.float64) for v in tp[vec]])
-    bc = train.sparkSession.sparkContext.broadcast((tp[key].to_numpy(), xs, tp[label].to_numpy()))
-    label_type = train.schema[label].dataType
-
-    def score(batches):
-        keys, xt, yt = bc.value
-        order_keys = np.argsort(keys, kind="stable")
-        keys_s, xt_s, yt_s = keys[order_keys], xt[order_keys], yt[order_keys]
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            xq = np.array([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
-            d = np.zeros((len(xq), len(xt_s)))
-            for j in range(xq.shape[1]):  # sequential over dimensions, vectorised over pairs
-                diff = xq[:, j][:, None] - xt_s[:, j][None, :]
-                d += diff * diff
-            # stable sort on distance keeps the smaller key first among equal distances
-            nn = np.argsort(d, axis=1, kind="stable")[:, :k]
-            preds = []
-            for row in yt_s[nn]:
-                vals, counts = np.unique(row, return_counts=True)
-                preds.append(vals[np.argmax(counts)])
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "prediction": np.array(preds)})
-
-    schema = T.StructType([T.StructField(key, test.schema[key].dataType), T.StructField("prediction", label_type)])
-    return test.select(key, vec).mapInPandas(score, schema)
-
-
-def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: int,
-                weight_col: str | None, seed: int = 42, tree_cap: int | None = None,
-                threshold: float | None = None):
+    names = ["_q", "_k", "_label", "_d"]
+
+    def nearest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or t.empty:
+            return pd.DataFrame({n: [] for n in names})
+        t = t.sort_values("_k", kind="stable")
+        xq = np.array([np.asarray(v, dtype=np.float64) for v in q["_v"]])
+        xt = np.array([np.asarray(v, dtype=np.float64) for v in t["_v"]])
+        d = np.zeros((len(xq), len(xt)))
+        for j in range(xq.shape[1]):  # sequential over dimensions, vectorised over pairs
+            diff = xq[:, j][:, None] - xt[:, j][None, :]
+            d += diff * diff
+        # stable sort on distance keeps the smaller key first among equal distances
+        nn = np.argsort(d, axis=1, kind="stable")[:, :k]
+        rows = np.repeat(np.arange(len(xq)), nn.shape[1])
+        at = nn.reshape(-1)
+        return pd.DataFrame({"_q": q["_q"].to_numpy()[rows], "_k": t["_k"].to_numpy()[at], "_label": t["_label"].to_numpy()[at], "_d": d[rows, at]})
+
+    schema = T.StructType([
+        T.StructField("_q", test.schema[key].dataType), T.StructField("_k", train.schema[key].dataType),
+        T.StructField("_label", train.schema[label].dataType), T.StructField("_d", T.DoubleType()),
+    ])
+    rows = {"rows": block_rows} if block_rows else {}
+    cand = block_pairs(test.select(F.col(key).alias("_q"), F.col(vec).alias("_v")),
+                       train.select(F.col(key).alias("_k"), F.col(vec).alias("_v"), F.col(label).alias("_label")), "_q", "_k", nearest, schema, **rows)
+    w = Window.partitionBy("_q").orderBy("_d", "_k")  # k candidates per block of training rows
+    top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    votes = top.groupBy("_q", "_label").agg(F.count(F.lit(1)).alias("_c"))
+    out = [F.min_by("_label", F.struct((-F.col("_c")).alias("n"), F.col("_label"))).alias("prediction")]
+    if positive is not None:
+        out.append((F.sum(F.when(F.col("_label") == F.lit(positive), F.col("_c")).otherwise(0)) / F.sum("_c")).alias("score"))
+    return votes.groupBy(F.col("_q").alias(key)).agg(*out)
+
+
+def _margin(df: DataFrame) -> DataFrame:
+    return df.withColumn("features", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
+
+
+def fit_platt(estimator, train: DataFrame, key: str):
+    """Logistic regression on SVM margins of held-out rows: each fold's margins come from a model of the other folds."""
+    fold = F.pmod(F.xxhash64(F.lit("calibrate"), F.col(key)), F.lit(CALIBRATION_FOLDS))
+    margins = None
+    for f in range(CALIBRATION_FOLDS):
+        rest, held = train.filter(fold != f), train.filter(fold == f)
+        if rest.select("label_idx").distinct().count() < 2:
+            continue
+        got = _margin(estimator.fit(rest).transform(held)).select("features", "label_idx")
+        margins = got if margins is None else margins.unionByName(got)
+    if margins is None:
+        margins = _margin(estimator.fit(train).transform(train)).select("features", "label_idx")
+    return LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=100).fit(margins)
+
+
+def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: int, key: str,
+                weight_col: str | None, seed: int = 42, threshold: float | None = None):
     """Fit one MLlib candidate once; score ``test`` (a DataFrame or a list of them).
 
     Binary candidates get a positive-class ``score``; with ``threshold`` the
@@ -239,22 +275,18 @@ def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: in
     train = _sized(train)
     w_sum = _weight_sum(train, weight_col)
     if name == "SVC_RBF":
-        dim = len(train.select("features").first()[0])
-        train = rff_features(train, dim, seed=seed)
-        tests = [rff_features(t, dim, seed=seed) for t in tests]
-    est = make_estimator(name, settings, n_classes, weight_col, w_sum, seed, tree_cap)
+        dim, var = len(train.select("features").first()[0]), feature_variance(train)
+        checkpoint_dir(train.sparkSession)
+        train = rff_features(train, dim, seed=seed, var=var).checkpoint()  # the optimiser reads it every iteration
+        tests = [rff_features(t, dim, seed=seed, var=var) for t in tests]
+    est = make_estimator(name, settings, n_classes, weight_col, w_sum, seed)
     model = est.fit(train)
-    platt = None
-    margin = lambda df: df.withColumn("features", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
-    if name in ("SVC_LinearProb", "SVC_RBF") and n_classes <= 2:
-        # Platt scaling: logistic regression on the SVM margin of the training rows
-        tr = margin(model.transform(train).drop("prediction", "probability")).drop("rawPrediction")
-        platt = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=100).fit(tr)
+    platt = fit_platt(est, train, key) if name in ("SVC_LinearProb", "SVC_RBF") and n_classes <= 2 else None
     outs = []
     for t in tests:
         pred = model.transform(t)
         if platt is not None:
-            pred = platt.transform(margin(pred.drop("prediction", "probability")).drop("rawPrediction"))
+            pred = platt.transform(_margin(pred.drop("prediction", "probability")).drop("rawPrediction"))
         if n_classes <= 2:
             if "probability" in pred.columns:
                 score = vector_to_array("probability")[1]
@@ -269,11 +301,18 @@ def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: in
     return outs if isinstance(test, list) else outs[0]
 
 
-def index_labels(df: DataFrame, label: str) -> tuple[DataFrame, list]:
-    """Q1 fix: labels indexed alphabetically (index 1 is the positive class for scores/thresholds)."""
-    labels = sorted(r[0] for r in df.select(label).distinct().collect() if r[0] is not None)  # bounded by classes
+def label_values(df: DataFrame, label: str) -> list:
+    """The target's distinct values in order; index 1 is the positive class for scores and thresholds."""
+    found = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"over {MAX_CLASSES} distinct targets: not a classification problem")
+    return sorted(r[0] for r in found)
+
+
+def index_labels(df: DataFrame, label: str, labels: list) -> DataFrame:
+    """Q1 fix: ``label_idx`` by one list of values for every part of the data (see ``label_values``)."""
     mapping = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(float(i)))])
-    return df.withColumn("label_idx", mapping[F.col(label)]), labels
+    return df.withColumn("label_idx", mapping[F.col(label)])
 
 
 def label_of(labels: list, idx: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelens.functions.columns import FLOAT_TYPES, nan_to_null, r6
 from tablelens.functions.ranking import top_k
@@ -19,9 +20,15 @@ BROADCAST_CATEGORY_ROWS = 200_000
 
 
 # ----------------------------------------------------------------- numeric statistics
+def _numbers(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Booleans among ``cols`` as 0/1; other columns as they are."""
+    flags = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)} & set(cols)
+    return df.withColumns({c: F.col(c).cast("int") for c in flags}) if flags else df
+
+
 def fit_means(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Training mean of every column (NaN counts as missing)."""
-    clean = nan_to_null(df.select(*cols))
+    clean = nan_to_null(_numbers(df.select(*cols), cols))
     row = clean.agg(*[F.avg(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
@@ -104,21 +111,25 @@ def apply_fill(df: DataFrame, fills: dict) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         if f.name in fills:
+            if isinstance(f.dataType, T.BooleanType):
+                c = c.cast("int")
             if isinstance(f.dataType, FLOAT_TYPES):
                 c = F.when(F.isnan(c), F.lit(None)).otherwise(c)
-            c = F.coalesce(c, F.lit(fills[f.name]))
+            c = F.coalesce(c, F.lit(fills[f.name])) if fills[f.name] is not None else c
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population std; a constant column scales by 1."""
+    df = _numbers(df, cols)
     row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
         s = row[f"s_{i}"]
-        out[c] = (row[f"m_{i}"], s if s not in (None, 0.0) else 1.0)
+        mean = row[f"m_{i}"]
+        out[c] = (0.0 if mean is None else mean, s if s not in (None, 0.0) else 1.0)
     return out
 
 
@@ -250,11 +261,19 @@ def leaky_columns(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
 
 def correlation_ranking(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     """A4: features ranked by |Pearson correlation| with a numeric label (one aggregate pass)."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in cols])
+    def corr(c):
+        """Pearson over rows where both are present; a constant side has none."""
+        x, y = F.col(c).cast("double"), F.col(label).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+        return F.when(spread, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))).alias(c)
+
+    row = df.agg(*[corr(c) for c in cols])
     stacked = row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.abs(F.col(c)).alias("abs_corr")) for c in cols
     ])).alias("e")).select("e.*")
-    w = Window.orderBy(F.col("abs_corr").desc(), F.col("column_name"))  # one row per feature
+    w = Window.orderBy(F.col("abs_corr").desc_nulls_last(), F.col("column_name"))  # one row per feature
     return stacked.select("column_name", r6(F.col("abs_corr")).alias("abs_corr"),
                           F.row_number().over(w).cast("long").alias("rank"))
 

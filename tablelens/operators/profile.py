@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelens.functions.columns import FLOAT_TYPES, INTEGRAL_TYPES, NUMERIC_TYPES, feature_kind, is_object_like, pyround
+from tablelens.functions.columns import FLOAT_TYPES, INTEGRAL_TYPES, NUMERIC_TYPES, feature_kind, is_object_like, nan_to_null, pyround
 from tablelens.operators import profile_rules as R
 
 
@@ -101,7 +101,7 @@ def column_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     names = F.array(*[F.lit(f.name) for f in fields])
     kinds = F.array(*[F.lit(feature_kind(f.dataType)) for f in fields])
     dtypes = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
-    rate = F.col("n_missing") / F.col("n_rows")
+    rate = F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows").cast("double"))
     return stats.select(
         *segment_cols,
         "ci",
@@ -139,7 +139,7 @@ def missing_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     """Per (segments..., column): n_rows, n_missing, missing_rate, missing_pct (2 dp)."""
     fields = profiled_fields(df, segment_cols, columns)
     names = F.array(*[F.lit(f.name) for f in fields])
-    rate = F.col("n_missing") / F.col("n_rows")
+    rate = F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows").cast("double"))
     return _missing_long(df, fields, list(segment_cols)).select(
         *segment_cols, "ci", F.element_at(names, F.col("ci") + 1).alias("column_name"), "n_rows", "n_missing",
         rate.alias("missing_rate"), pyround(rate * 100, 2).alias("missing_pct"),
@@ -165,8 +165,14 @@ def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_i
     distinct = vc.filter(present).groupBy(*segment_cols, F.element_at(remap, F.col("ci") + 1).alias("ci")).agg(
         F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("max_value_count"), F.min("n").alias("min_value_count"),
     )
-    stats = per_col.join(distinct, on=[*segment_cols, "ci"], how="left")
-    rate = F.col("n_missing") / F.col("n_rows")
+    # null-safe: rows with a NULL segment value are a segment of their own
+    right = distinct.select(F.col("ci").alias("_ci"), *[F.col(c).alias(f"_s{i}") for i, c in enumerate(segment_cols)],
+                            "n_unique", "max_value_count", "min_value_count")
+    cond = F.col("ci") == F.col("_ci")
+    for i, c in enumerate(segment_cols):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    stats = per_col.join(right, cond, "left")
+    rate = F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows").cast("double"))
     return stats.select(
         *segment_cols, "ci",
         F.element_at(names, F.col("ci") + 1).alias("column_name"),
@@ -201,7 +207,7 @@ def profile_dataset(
     fields = profiled_fields(df, segment_cols, columns)
     names = [f.name for f in fields]
     if target not in names:
-        raise ValueError(f"Target column '{target}' not found in dataset columns.")
+        raise ValueError(f"no column {target!r} to profile against")
     t_idx = names.index(target)
     t_type = df.schema[target].dataType
     n_numeric = sum(1 for f in fields if f.name != target and feature_kind(f.dataType) == "numeric")
@@ -318,7 +324,8 @@ def flatten_profile(df: DataFrame, sep: str = "|") -> DataFrame:
 def n_unique_approx(df: DataFrame, segment_cols=(), columns=None, rsd: float = 0.05) -> DataFrame:
     """G5 (approximate): HyperLogLog distinct counts of every column in one partial aggregate."""
     fields = profiled_fields(df, segment_cols, columns)
-    agg = df.groupBy(*segment_cols).agg(*[F.approx_count_distinct(f.name, rsd).alias(f"u{i}") for i, f in enumerate(fields)])
+    clean = nan_to_null(df)  # NaN counts as missing, as in the exact count
+    agg = clean.groupBy(*segment_cols).agg(*[F.approx_count_distinct(f.name, rsd).alias(f"u{i}") for i, f in enumerate(fields)])
     return agg.select(*segment_cols, F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"u{i}").alias("n_unique_approx")) for i, f in enumerate(fields)
     ])).alias("e")).select(*segment_cols, "e.*")

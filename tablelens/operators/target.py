@@ -27,11 +27,11 @@ def resolve_target(df: DataFrame, target: str) -> tuple[str, str]:
     """P3/P5: 'auto' (trimmed, any case) infers; otherwise the named column with confidence 'high'."""
     if target.strip().lower() != "auto":
         if target not in df.columns:
-            raise ValueError(f"Target column '{target}' not found in dataset columns.")
+            raise ValueError(f"the table has no column {target!r}")
         return target, "high"
     row = infer_target(df, "dataset").first()
     if row is None or row["target"] is None:
-        raise ValueError("Could not infer target column. Please provide a target name.")
+        raise ValueError("no column qualifies as the target; name one")
     return row["target"], row["confidence"]
 
 

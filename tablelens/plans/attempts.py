@@ -8,8 +8,11 @@ driver; predictions, metrics and diagnoses stay DataFrames.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,8 @@ from tablelens.operators import steps as L
 from tablelens.operators.profile_rules import FLAG_NAMES
 from tablelens.session import checkpoint_dir
 
+ROW_KEY = "_row_key"
+
 
 @dataclass
 class Attempt:
@@ -40,23 +45,44 @@ class Attempt:
     split_info: dict = field(default_factory=dict)
 
 
-def _profile_row(df: DataFrame, target: str, confidence: str) -> tuple[DataFrame, dict]:
-    prof = P.profile_dataset(df, target, target_confidence=confidence)
+def _profile_row(df: DataFrame, target: str, confidence: str, columns) -> tuple[DataFrame, dict]:
+    prof = P.profile_dataset(df, target, target_confidence=confidence, columns=columns)
     return prof, prof.first().asDict(recursive=True)  # one row
 
 
-def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attempt: int = 0, flags: dict | None = None,
+def with_row_key(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
+    """The table and a unique, non-NULL key column: the named one if it is that, else row numbers fixed by a checkpoint."""
+    if key is not None:
+        c = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("present"), F.count_distinct(key).alias("d")).first()
+        if c["n"] == c["present"] == c["d"]:
+            return df, key
+    checkpoint_dir(df.sparkSession)
+    return df.withColumn(ROW_KEY, F.monotonically_increasing_id()).checkpoint(), ROW_KEY
+
+
+def run_attempt(df: DataFrame, target: str, key: str | None = None, run_id: str = "run", attempt: int = 0, flags: dict | None = None,
                 plan: list | None = None, confidence: str = "high", seed: int = 42, test_size: float = 0.2,
-                tree_cap: int | None = None, with_cv: bool | None = None, candidates: list | None = None) -> Attempt:
-    """Flags -> preparation -> pool -> train -> evaluate -> diagnose."""
+                with_cv: bool | None = None, candidates: list | None = None, preferred: list | None = None,
+                avoid: list | None = None, best_model: str | None = None, has_performance: bool = False,
+                parallelism: int = 8) -> Attempt:
+    """Flags -> preparation -> pool -> train -> evaluate -> diagnose.
+
+    ``preferred``/``avoid``/``best_model`` come from the history and order the
+    candidates.  Independent fits run side by side (``parallelism`` at a time):
+    on small tables a fit waits for the scheduler more than it computes.
+    """
     spark = df.sparkSession
-    prof_df, prof = _profile_row(df, target, confidence)
+    checkpoint_dir(spark)
+    names = [c for c in df.columns if c not in (key, ROW_KEY)]  # the key is no feature
+    df, key = with_row_key(df, key)
+    prof_df, prof = _profile_row(df, target, confidence, names)
     base_flags = flags or prof["strategy_flags"]
     flags_col = F.struct(*[F.lit(base_flags[k]).alias(k) for k in FLAG_NAMES],
                          F.lit(int(base_flags.get("replan_count", 0))).alias("replan_count"))
     p = L.plan_inputs(prof_df.withColumn("strategy_flags", flags_col))
+    strings = lambda xs: F.array(*[F.lit(x) for x in xs or []]).cast("array<string>")
     if plan is None:
-        plan = p.select(L.plan_steps(p).alias("plan")).first()["plan"]
+        plan = p.select(L.plan_steps(p, strings(preferred), strings(avoid), F.lit(has_performance)).alias("plan")).first()["plan"]
     plan_arr = F.array(*[F.lit(s) for s in plan])
     rt = p.select(L.runtime_flags(F.col("strategy_flags"), plan_arr).alias("rt")).first()["rt"].asDict()
     rows = prof["n_rows"]
@@ -65,83 +91,96 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
                                      F.col("high_dimensional"), F.col("high_cardinality_count"), F.col("num_classes"),
                                      F.col("size_bucket"), F.struct(*[F.lit(v).alias(k) for k, v in rt.items()]))
         candidates = p.select(pool_col.alias("pool")).first()["pool"]
+    ranks = {m: i for i, m in enumerate(dict.fromkeys([*([best_model] if best_model else []), *(preferred or [])]))}
+    candidates = sorted(candidates, key=lambda m: (m in (avoid or []), ranks.get(m, len(ranks) + 10), m))
     settings = PL.model_settings(rows, bool(rt["prefer_simple_models"]))
 
     labelled = P.filter_labelled_rows(df, target)
+    labels = MD.label_values(labelled, target)
+    if len(labels) < 2:
+        raise ValueError(f"classification needs two classes at least; {target!r} has {len(labels)}")
+    n_classes = len(labels)
     split, stratified = D.holdout_split(labelled, target, key, test_size, seed)
-    split = split.cache()
+    split = split.checkpoint()
     train, test = split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
-    kinds = P.feature_kinds(df, target)
-    numeric = [c for c, k in kinds if k == "numeric" and c != key]
-    categorical = [c for c, k in kinds if k == "categorical" and c != key]
+    kinds = [(c, k) for c, k in P.feature_kinds(df, target) if c != key]
+    numeric = [c for c, k in kinds if k == "numeric"]
+    categorical = [c for c, k in kinds if k == "categorical"]
     group_rare = bool(rt["group_rare_categories"]) or prof["high_cardinality_count"] > 0
     prepared = MD.fit_preparation(train, numeric, categorical, prof["max_missing"], group_rare, rows)
-    tr = prepared.transform(train)
-    te = prepared.transform(test)
-    tr, labels = MD.index_labels(tr, target)
-    te, _ = MD.index_labels(te, target)
-    te = te.withColumn("label_idx", F.coalesce("label_idx", F.lit(-1.0)))
+    tr = MD.index_labels(prepared.transform(train), target, labels)
+    te = MD.index_labels(prepared.transform(test), target, labels)
     weight_col = None
     imb = prof["imbalance_ratio"] or 1.0
     if rt["use_class_weight"] or imb >= 3.0:
         tr = E.with_class_weight(tr, "label_idx", "weight")
         weight_col = "weight"
     # every candidate refits on these frames: cut their lineage in the shared checkpoint folder
-    checkpoint_dir(spark)
-    tr, te = tr.checkpoint(), te.checkpoint()
-    n_classes = len(labels)
+    keep = [key, "features", "label_idx"]
+    tr, te = tr.select(*keep, *([weight_col] if weight_col else [])).checkpoint(), te.select(*keep).checkpoint()
 
     if with_cv is None:
         with_cv = bool(rt["enable_cv"]) or rows < 4000
-    min_train_class = tr.groupBy("label_idx").count().agg(F.min("count")).first()[0] if n_classes > 1 else 0
+    min_train_class = tr.groupBy("label_idx").count().agg(F.min("count")).first()[0]
     folds = D.stratified_folds(tr, "label_idx", key, 3, seed).checkpoint() if with_cv and min_train_class >= 3 else None
-
-    def predictor(name):
-        """(fit_part, [eval parts]) -> [DataFrame(key, prediction, score)] with one fit per call."""
-        def plain(pred):
-            return pred.select(key, F.col("prediction").cast("double").alias("prediction"),
-                               F.lit(None).cast("double").alias("score"))
-        if name == "DummyMostFrequent":
-            return lambda fit_part, evs, tune: [plain(MD.predict_majority(fit_part, ev, "label_idx")) for ev in evs]
-        if name == "KNN":
-            from pyspark.ml.functions import vector_to_array
-
-            def knn(fit_part, evs, tune):
-                vt = fit_part.withColumn("vec", vector_to_array("features"))
-                return [plain(MD.knn_vote(vt, ev.withColumn("vec", vector_to_array("features")), key, "vec",
-                                          "label_idx", settings["knn_k"])) for ev in evs]
-            return knn
-
-        def mllib(fit_part, evs, tune):
-            threshold = None
-            if tune and rt["tune_decision_threshold"] and n_classes == 2:
-                vsplit = D.validation_split(fit_part, "label_idx", key, seed).cache()
-                sub = vsplit.filter(F.col("split") == "fit").drop("split")
-                valid = vsplit.filter(F.col("split") == "valid").drop("split")
-                vp = MD.fit_predict(name, sub, valid, settings, n_classes, weight_col, seed, tree_cap)
-                best = K.best_threshold(K.threshold_sweep(vp, "label_idx", "score")).first()
-                threshold = float(best["threshold"]) if best else 0.5
-            prs = MD.fit_predict(name, fit_part, evs, settings, n_classes, weight_col, seed, tree_cap, threshold)
-            return [pr.select(key, F.col("prediction").cast("double").alias("prediction"), "score") for pr in prs]
-        return mllib
-
-    preds, fold_preds, failures = [], [], []
-    for name in candidates:
+    binary = n_classes == 2
+    scored = [key, "label_idx", "prediction", "score"]
+
+    def knn(fit_part, evs, threshold):
+        vt = fit_part.withColumn("vec", vector_to_array("features"))
+        outs = []
+        for ev in evs:
+            got = MD.knn_vote(vt, ev.withColumn("vec", vector_to_array("features")), key, "vec", "label_idx", settings["knn_k"],
+                              positive=1.0 if binary else None)
+            if not binary:
+                got = got.withColumn("score", F.lit(None).cast("double"))
+            if threshold is not None:
+                got = got.withColumn("prediction", (F.col("score") >= F.lit(threshold)).cast("double"))
+            outs.append(ev.select(key, "label_idx").join(got, on=key).select(*scored))
+        return outs
+
+    def majority(fit_part, evs, threshold):
+        return [MD.predict_majority(fit_part, ev, "label_idx").withColumn("score", F.lit(None).cast("double")).select(*scored) for ev in evs]
+
+    def fitted(name, fit_part, evs, tune):
+        """One fit, all evaluation parts, written before the candidate counts as done; the threshold if one was tuned."""
+        predict = {"DummyMostFrequent": majority, "KNN": knn}.get(name) or (
+            lambda fit_part, evs, threshold: [x.select(*scored) for x in MD.fit_predict(name, fit_part, evs, settings, n_classes, key, weight_col, seed, threshold)])
+        threshold = None
+        if tune and rt["tune_decision_threshold"] and binary and name != "DummyMostFrequent":
+            vsplit = D.validation_split(fit_part, "label_idx", key, seed).checkpoint()
+            sub = vsplit.filter(F.col("split") == "fit").drop("split")
+            valid = vsplit.filter(F.col("split") == "valid").drop("split")
+            best = K.best_threshold(K.threshold_sweep(predict(sub, [valid], None)[0], "label_idx", "score")).first()
+            threshold = float(best["threshold"]) if best else 0.5
+        return [x.checkpoint() for x in predict(fit_part, evs, threshold)], threshold
+
+    jobs = [(name, None) for name in candidates] + ([(name, k) for name in candidates for k in range(3)] if folds is not None else [])
+
+    def work(job):
+        name, k = job
         try:
-            fn = predictor(name)
-            for split_name, part, pr in zip(("train", "test"), (tr, te), fn(tr, [tr, te], True)):
-                pr = pr.join(part.select(key, "label_idx"), on=key)
-                preds.append(pr.withColumn("split", F.lit(split_name)).withColumn("model", F.lit(name)))
-            if folds is not None:
-                for k in range(3):
-                    held = folds.filter(F.col("fold") == k).drop("fold")
-                    (pr,) = fn(folds.filter(F.col("fold") != k).drop("fold"), [held], False)
-                    pr = pr.join(held.select(key, "label_idx"), on=key)
-                    fold_preds.append(pr.withColumn("fold", F.lit(k)).withColumn("model", F.lit(name)))
+            if k is None:
+                return job, fitted(name, tr, [tr, te], True), None
+            return job, fitted(name, folds.filter(F.col("fold") != k).drop("fold"), [folds.filter(F.col("fold") == k).drop("fold")], False), None
         except Exception as exc:  # noqa: BLE001 - a failing candidate is recorded, the rest go on
-            failures.append({"model": name, "error": str(exc)[:500]})
-    if not preds:
-        raise RuntimeError(f"All models failed. Errors: {failures}")
+            return job, None, f"{type(exc).__name__}: {exc}"
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(work), jobs))
+    failed = {name: error for (name, _), _, error in reversed(done) if error}
+    failures = [{"model": m, "error": failed[m]} for m in candidates if m in failed]
+    if len(failed) == len(candidates):
+        raise RuntimeError(f"no candidate could be fitted: {failures}")
+    preds, fold_preds, thresholds = [], [], {}
+    for (name, k), got, _ in done:
+        if name in failed:
+            continue
+        if k is None:
+            thresholds[name] = got[1]
+            preds += [x.withColumn("split", F.lit(part)).withColumn("model", F.lit(name)) for part, x in zip(("train", "test"), got[0], strict=True)]
+        else:
+            fold_preds.append(got[0][0].withColumn("fold", F.lit(k)).withColumn("model", F.lit(name)))
 
     def union(parts):
         out = parts[0]
@@ -161,6 +200,8 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
         metrics = metrics.withColumn("cv_balanced_accuracy_mean", F.lit(None).cast("double")) \
             .withColumn("cv_balanced_accuracy_std", F.lit(None).cast("double")) \
             .withColumn("cv_balanced_accuracy_scores", F.lit(None).cast("array<double>"))
+    tuned = F.create_map(*[F.lit(x) for m, t in thresholds.items() if t is not None for x in (m, t)]) if any(t is not None for t in thresholds.values()) else None
+    metrics = metrics.withColumn("decision_threshold", (tuned[F.col("model")] if tuned is not None else F.lit(None)).cast("double")).checkpoint()
     ctx = spark.createDataFrame(
         [(run_id, float(prof["imbalance_ratio"]) if prof["imbalance_ratio"] is not None else None,
           bool(rt["compare_on_cv"]), int(rows), prof["missing_severity"], float(prof["overall_missing"]),
@@ -168,7 +209,8 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
         "run_id string, imbalance_ratio double, compare_on_cv boolean, n_rows long, missing_severity string, "
         "overall_missing double, high_cardinality_count long, weak_signal_risk boolean, num_classes long",
     )  # one row of run context
-    board = RK.leaderboard(metrics, ctx.select("run_id", "imbalance_ratio", "compare_on_cv"))
+    place = F.array_position(F.array(*[F.lit(m) for m in candidates]), F.col("model"))
+    board = RK.leaderboard(metrics, ctx.select("run_id", "imbalance_ratio", "compare_on_cv"), candidate_order=place).checkpoint()
     summary = X.run_summary(board)
     test_pred = pred.filter(F.col("split") == "test")
     worst = K.class_stats(K.confusion_counts(test_pred, group_cols=["run_id", "attempt", "model"]),
@@ -176,15 +218,17 @@ def run_attempt(df: DataFrame, target: str, key: str, run_id: str = "run", attem
         .agg(F.min("recall").alias("worst_class_recall"))
     worst = summary.select("run_id", "attempt", F.col("best_model").alias("model")).join(
         worst, on=["run_id", "attempt", "model"]).select("run_id", "attempt", "worst_class_recall")
-    diag = X.diagnose(summary, ctx.drop("compare_on_cv"), worst)
+    diag = X.diagnose(summary, ctx.drop("compare_on_cv"), worst).checkpoint()
     info = D.split_info(split, stratified).first().asDict()  # one row: train rows, test rows, stratified
     return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info)
 
 
-def run(df: DataFrame, target: str, key: str, run_id: str = "run", max_replans: int = 1, **kw) -> list[Attempt]:
+def run(df: DataFrame, target: str, key: str | None = None, run_id: str = "run", max_replans: int = 1, **kw) -> list[Attempt]:
     """Attempts until the diagnosis says stop; the step list grows, flags follow the causes."""
     attempts: list[Attempt] = []
-    flags, plan = None, None
+    flags, plan = kw.pop("flags", None), None
+    if key is None:
+        df, key = with_row_key(df, None)  # the same keys, so the same split, in every attempt
     while True:
         a = run_attempt(df, target, key, run_id, len(attempts), flags=flags, plan=plan, **kw)
         attempts.append(a)

@@ -1,4 +1,4 @@
-"""Fixtures F1-F8: inputs built from the test-data tables.
+"""Fixtures F1-F11: inputs built from the test-data tables.
 
 Each fixture is one SQL text that Spark SQL and DuckDB both run unchanged, so
 the Spark side of a query and its DuckDB oracle start from identical rows.
@@ -95,7 +95,37 @@ SELECT o_orderkey AS run_id, concat('fp_', CAST(o_custkey % 50 AS STRING)) AS fi
 FROM orders
 """
 
-FIXTURES = {"f1": F1, "f2": F2, "f3": F3, "f4": F4, "f5": F5, "f6": F6, "f7": F7, "f8": F8}
+# Two classes far apart in every numeric column: any sound candidate must return the label.
+F9 = """
+SELECT c_custkey AS row_key, c_custkey % 3 = 0 AS vip,
+       CASE WHEN c_custkey % 3 = 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 10 AS DOUBLE) / 10 AS x1,
+       CASE WHEN c_custkey % 3 = 0 THEN -8.0 ELSE 0.0 END + CAST(c_custkey % 7 AS DOUBLE) / 7 AS x2,
+       CAST(c_custkey % 5 AS DOUBLE) / 5 AS x3, CAST(NULL AS DOUBLE) AS x4, 7 AS x5, c_mktsegment AS segment,
+       CASE WHEN c_custkey % 3 = 0 THEN 'yes' ELSE 'no' END AS label
+FROM customer
+"""
+
+# Three classes, each apart from the other two; one has two rows, so none of it is held out.
+F10 = """
+SELECT c_custkey AS row_key,
+       CASE WHEN c_custkey > 2 AND c_custkey % 4 = 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 10 AS DOUBLE) / 10 AS x1,
+       CASE WHEN c_custkey <= 2 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 7 AS DOUBLE) / 7 AS x2,
+       CASE WHEN c_custkey > 2 AND c_custkey % 4 > 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 3 AS DOUBLE) / 3 AS x3,
+       CASE WHEN c_custkey <= 2 THEN 'B' WHEN c_custkey % 4 = 0 THEN 'A' ELSE 'C' END AS label
+FROM customer
+"""
+
+# NULL and repeated segments, NULL keys, boolean, constant and all-missing columns.
+F11 = """
+SELECT CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderkey END AS row_key,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 5 END AS seg,
+       CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS flag, 3.5 AS constant, CAST(NULL AS DOUBLE) AS nothing,
+       CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_totalprice END AS price,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS label
+FROM orders
+"""
+
+FIXTURES = {"f9": F9, "f10": F10, "f11": F11, "f1": F1, "f2": F2, "f3": F3, "f4": F4, "f5": F5, "f6": F6, "f7": F7, "f8": F8}
 
 # Column order of each fixture (used where an operator needs the schema order).
 F3_COLUMNS = [
@@ -107,12 +137,12 @@ F3_COLUMNS = [
 # Tables each fixture reads (only these are registered for it).
 FIXTURE_TABLES = {
     "f1": ["documents", "labels"], "f2": ["orders", "customer"], "f3": ["lineitem"], "f4": ["embeddings"],
-    "f5": ["part"], "f6": ["lineitem"], "f7": ["lineitem"], "f8": ["orders"],
+    "f5": ["part"], "f6": ["lineitem"], "f7": ["lineitem"], "f8": ["orders"], "f9": ["customer"], "f10": ["customer"], "f11": ["orders"],
 }
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Run fixture ``name`` ('f1'..'f8') over the tables in ``sf_dir``."""
+    """Run fixture ``name`` ('f1'..'f11') over the tables in ``sf_dir``."""
     register_tables(spark, sf_dir, FIXTURE_TABLES[name])
     return spark.sql(FIXTURES[name])
 

@@ -7,8 +7,8 @@ checkpoint directory, AQE) always win.
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -47,14 +47,23 @@ def get_spark(master: str | None = None, app: str = "tablelens", shuffle_partiti
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session leaves it unset (local tests) a scratch folder is
-    created; on a cluster the configured shared folder is always used.
+    Where the session leaves it unset (local tests) a folder inside the SQL
+    warehouse is used: like the warehouse, every executor can reach it.  It is
+    deleted with everything in it when the driver ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tablelens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{spark.sparkContext.applicationId}"
+        spark.conf.set("spark.checkpoint.dir", configured)
+        atexit.register(_delete, spark, configured)
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of ours through Hadoop's file system (nothing to do once the JVM is gone)."""
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - at interpreter exit
+        return
