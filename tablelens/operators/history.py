@@ -2,15 +2,14 @@
 
 History is an append-only table of runs ``(run_id, fingerprint, ts,
 best_model, best_score, <flag booleans>, causes...)``.  Per-dataset counters
-are aggregates over it, never stored state.  Similarity search scores query
-profiles against history signatures: the query side is broadcast only below a
-checked row count (larger query sets are processed in chunks of that size),
-each task keeps its own top-k per query, and only those survivors are ranked.
+are aggregates over it, never stored state.  Similarity search compares distinct
+query signatures with distinct history signatures in pairs of bounded blocks;
+each pair of blocks keeps its top-k per query, and only those are ranked.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -18,11 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelens.functions.blocked import BLOCK_ROWS, block_pairs
 from tablelens.functions.ranking import top_k
 
 SUCCESS_SCORE = 0.70
-# Query profiles held in memory by each similarity task (checked before broadcasting).
-MAX_BROADCAST_QUERIES = 50_000
 
 SIGNATURE_FIELDS = [
     ("size_bucket", "string"), ("rows", "bigint"), ("cols", "bigint"), ("numeric_ratio", "double"),
@@ -83,13 +81,16 @@ def latest_per_dataset(runs: DataFrame, cols: list[str], key: str = "fingerprint
     return runs.groupBy(key).agg(latest, F.count(F.lit(1)).alias("n_runs")).select(key, "latest.*", "n_runs")
 
 
-def append_runs(runs: DataFrame, path: str) -> None:
-    """Append runs to the history table, partitioned by month (no rewrite of older files).
+def append_runs(runs: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append runs to the history table, partitioned by batch and month (no rewrite of older files).
 
-    Rows are clustered by the partition value first so each task writes few files.
+    Writing the same ``batch`` again replaces it, so a replayed batch counts
+    once.  Rows are rebalanced by month: each task writes few files, and a month
+    that holds most rows is split over several tasks.
     """
-    month = runs.withColumn("run_month", F.date_format("ts", "yyyy-MM"))
-    month.repartition("run_month").write.mode("append").partitionBy("run_month").parquet(path)
+    out = runs.withColumns({"run_batch": F.lit(batch or uuid.uuid4().hex), "run_month": F.date_format("ts", "yyyy-MM")})
+    out.hint("rebalance", "run_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run_batch", "run_month").parquet(path)
 
 
 def read_history(spark, path: str, legacy_path: str | None = None) -> DataFrame:
@@ -170,86 +171,52 @@ def similarity_matrix(q: pd.DataFrame, r: pd.DataFrame) -> np.ndarray:
     return s / 12.0
 
 
+COMPARED = ["size_bucket", "numeric_ratio", "missing_severity", "imbalance_ratio", "num_classes", "high_dimensional",
+            "high_cardinality_count", "dominant_feature_type", "weak_signal_risk"]
+
+
 def similar_records(queries: DataFrame, records: DataFrame, query_key: str, record_key: str,
-                    order_col: str, min_similarity: float = 0.45, k: int = 3) -> DataFrame:
+                    order_col: str, min_similarity: float = 0.45, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """H8: top-``k`` history records per query profile with similarity >= ``min_similarity``.
 
     ``queries``/``records`` are signature tables (``profile_signature``);
     records also carry ``order_col`` (insertion order, the tie-breaker).
+    Queries with equal compared fields are scored once; of records with equal
+    ones only the first ``k`` can be among the best.
     Output: (query_key, rank, record_key, similarity).
     """
-    spark = queries.sparkSession
-    sig_cols0 = [f for f, _ in SIGNATURE_FIELDS]
-    # one bounded pass both checks the size and fetches the query side when it fits
-    head = queries.select(F.col(query_key).alias("_qid"), *sig_cols0).limit(MAX_BROADCAST_QUERIES + 1).toPandas()
-    if len(head) <= MAX_BROADCAST_QUERIES:
-        n_q = len(head)
-    else:
-        # many query profiles: materialise them once in the shared checkpoint folder, then go chunk by chunk
-        from tablelens.session import checkpoint_dir
-
-        checkpoint_dir(spark)
-        queries = queries.checkpoint()
-        n_q = queries.count()
-    n_chunks = max(1, math.ceil(n_q / MAX_BROADCAST_QUERIES))
-    sig_cols = [f for f, _ in SIGNATURE_FIELDS]
-    rec = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *sig_cols)
-    par = spark.sparkContext.defaultParallelism
-    if rec.rdd.getNumPartitions() < par:
-        # a small history file arrives as one partition: spread the scoring over all cores
-        rec = rec.repartition(par, "_rid")
-    out_schema = T.StructType([
-        T.StructField("_qid", queries.schema[query_key].dataType),
-        T.StructField("_rid", records.schema[record_key].dataType),
-        T.StructField("_ord", records.schema[order_col].dataType),
-        T.StructField("similarity", T.DoubleType()),
+    q = queries.select(F.col(query_key).alias("_qid"), *COMPARED)
+    distinct = q.groupBy(*COMPARED).agg(F.min("_qid").alias("_rep"))
+    r = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *COMPARED)
+    r = top_k(r, COMPARED, [F.col("_ord"), F.col("_rid")], k, salt_key=F.xxhash64("_rid")).drop("rank")
+
+    def best(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or rs.empty:
+            return pd.DataFrame({"_rep": [], "_rid": [], "_ord": [], "similarity": []})
+        s = similarity_matrix(qs, rs)
+        s = np.where(s >= min_similarity, s, -np.inf)
+        kk = min(k, s.shape[1])
+        # ties: lower insertion order first
+        order = np.lexsort((np.broadcast_to(rs["_ord"].to_numpy(), s.shape), -s), axis=1)[:, :kk]
+        qi, ri = np.repeat(np.arange(len(qs)), kk), order.reshape(-1)
+        keep = np.isfinite(s[qi, ri])
+        qi, ri = qi[keep], ri[keep]
+        return pd.DataFrame({"_rep": qs["_rep"].to_numpy()[qi], "_rid": rs["_rid"].to_numpy()[ri],
+                             "_ord": rs["_ord"].to_numpy()[ri], "similarity": s[qi, ri]})
+
+    schema = T.StructType([
+        T.StructField("_rep", queries.schema[query_key].dataType), T.StructField("_rid", records.schema[record_key].dataType),
+        T.StructField("_ord", records.schema[order_col].dataType), T.StructField("similarity", T.DoubleType()),
     ])
-    parts = []
-    for chunk in range(n_chunks):
-        if n_chunks == 1:
-            qpd = head
-        else:
-            qdf = queries.filter(F.pmod(F.xxhash64(query_key), F.lit(n_chunks)) == chunk)
-            # bounded by about MAX_BROADCAST_QUERIES rows of 13 scalars
-            qpd = qdf.select(F.col(query_key).alias("_qid"), *sig_cols).toPandas()
-        bq = spark.sparkContext.broadcast(qpd)
-
-        def score(batches, bq=bq):
-            q = bq.value
-            # cap the in-memory score block at ~2M cells per step
-            step = max(1, 2_000_000 // max(len(q), 1))
-            for batch in batches:
-                for start in range(0, len(batch), step):
-                    r = batch.iloc[start:start + step]
-                    if len(r) == 0 or len(q) == 0:
-                        continue
-                    yield _top_block(q, r)
-
-        def _top_block(q, r):
-                s = similarity_matrix(q, r)
-                s = np.where(s >= min_similarity, s, -np.inf)
-                kk = min(k, s.shape[1])
-                # per query keep the k best of this batch (ties: lower insertion order first)
-                order = np.lexsort((np.broadcast_to(r["_ord"].to_numpy(), s.shape), -s), axis=1)[:, :kk]
-                qi = np.repeat(np.arange(len(q)), kk)
-                ri = order.reshape(-1)
-                sv = s[qi, ri]
-                keep = np.isfinite(sv)
-                return pd.DataFrame({
-                    "_qid": q["_qid"].to_numpy()[qi[keep]],
-                    "_rid": r["_rid"].to_numpy()[ri[keep]],
-                    "_ord": r["_ord"].to_numpy()[ri[keep]],
-                    "similarity": sv[keep],
-                })
-
-        parts.append(rec.mapInPandas(score, out_schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # survivors: at most k per (query, batch); rank them per query
-    w = Window.partitionBy("_qid").orderBy(F.col("similarity").desc(), F.col("_ord"))
-    ranked = cand.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
-    return ranked.select(F.col("_qid").alias(query_key), "rank", F.col("_rid").alias(record_key), "similarity")
+    cand = block_pairs(distinct, r, "_rep", "_rid", best, schema, block_rows)
+    w = Window.partitionBy("_rep").orderBy(F.col("similarity").desc(), F.col("_ord"))  # at most k per block of records
+    ranked = cand.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).drop("_ord")
+    named = distinct.select("_rep", *[F.col(c).alias(f"_c_{c}") for c in COMPARED])
+    cond = F.lit(True)
+    for c in COMPARED:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+    return q.join(named, cond).select("_qid", "_rep").join(ranked, on="_rep").select(
+        F.col("_qid").alias(query_key), "rank", F.col("_rid").alias(record_key), "similarity")
 
 
 # ------------------------------------------------------------------ votes and hints

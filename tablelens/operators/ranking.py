@@ -96,21 +96,22 @@ def selection_rationale(board: DataFrame, run_cols=("run_id", "attempt")) -> Dat
 
 
 def order_candidates(candidates: DataFrame, preferred: DataFrame | None = None, avoid: DataFrame | None = None,
-                     group_cols=("dataset_id",)) -> DataFrame:
+                     group_cols=("dataset_id",), on=None) -> DataFrame:
     """order = (in avoid list, rank among preferred, name); no history gives alphabetical order.
 
     ``preferred`` rows: (group..., model, pref_rank) with ``best_model`` already
-    put first; ``avoid`` rows: (group..., model).  Both are left-joined on the
-    group and model, never cross-joined.
+    put first; ``avoid`` rows: (group..., model).  Both are left-joined on ``on``
+    (default: the group) and model; ranks are inside the group.
     """
     c = candidates
     g = list(group_cols)
+    keys = list(on or g)
     if preferred is not None:
-        c = c.join(preferred.select(*g, "model", "pref_rank"), on=[*g, "model"], how="left")
+        c = c.join(preferred.select(*keys, "model", "pref_rank"), on=[*keys, "model"], how="left")
     else:
         c = c.withColumn("pref_rank", F.lit(None).cast("long"))
     if avoid is not None:
-        c = c.join(avoid.select(*g, "model").withColumn("_avoid", F.lit(1)), on=[*g, "model"], how="left")
+        c = c.join(avoid.select(*keys, "model").withColumn("_avoid", F.lit(1)), on=[*keys, "model"], how="left")
     else:
         c = c.withColumn("_avoid", F.lit(None).cast("int"))
     n_pref = F.count("pref_rank").over(Window.partitionBy(*g))

@@ -211,12 +211,8 @@ def q_order_candidates(spark, sf):
         .select("fingerprint", F.col("best_model").alias("model"), F.lit(0).cast("long").alias("pref_rank"))
     pref = pref.unionByName(extra)
     avoid = hint.filter(F.col("kind") == "avoid").select("fingerprint", F.col("name").alias("model"))
-    ordered = RK.order_candidates(cands, pref, avoid, group_cols=("fingerprint",))
-    w_ds = ordered.select("dataset_id", "model", "candidate_order")
-    # candidate_order is per fingerprint group; rank again per dataset (same relative order)
-    from pyspark.sql import Window
-    w = Window.partitionBy("dataset_id").orderBy("candidate_order")
-    return w_ds.withColumn("candidate_order", F.row_number().over(w).cast("long"))
+    ordered = RK.order_candidates(cands, pref, avoid, group_cols=("dataset_id",), on=("fingerprint",))
+    return ordered.select("dataset_id", "model", "candidate_order")
 
 
 def q_resolved_hint(spark, sf):

@@ -53,9 +53,12 @@ def infer_types(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         c = f.name
-        if c not in text or row[f"{c}__n"] == 0:
+        if c not in text:
             out.append(F.col(c))
             continue
+        if row[f"{c}__n"] == 0:  # nothing but missing values: a number column
+            out.append(F.lit(None).cast("double").alias(c))
+            continue
         if row[f"{c}__l"] == 0 and row[f"{c}__m"] == 0:
             out.append(F.expr(f"try_cast(`{c}` AS BIGINT)").alias(c))
         elif row[f"{c}__d"] == 0:
@@ -67,10 +70,17 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Header CSV; an explicit schema wins, else text + S2 + one-pass inference."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if schema is not None:
-        return normalise_missing_tokens(reader.schema(schema).csv(path))
-    raw = reader.option("inferSchema", False).csv(path)
-    return infer_types(normalise_missing_tokens(raw))
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = True) -> DataFrame:
+    """Header CSV; an explicit schema wins, else one-pass inference.
+
+    Doubled quotes and newlines inside quotes are read as part of the value;
+    ``multiline=False`` lets Spark split files whose values hold no newline.
+    Missing tokens count as missing under an explicit schema too; any other text
+    that does not fit its type fails the read.
+    """
+    raw = spark.read.options(header=True, mode="FAILFAST", inferSchema=False, escape='"', multiLine=multiline).csv(path)
+    clean = normalise_missing_tokens(raw)
+    if schema is None:
+        return infer_types(clean)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return clean.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])

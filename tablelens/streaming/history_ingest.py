@@ -1,9 +1,9 @@
 """S4 as a stream: finished runs arrive as files and are appended to the history table.
 
 Each micro-batch is written with the same month-partitioned append as the batch
-path (``history.append_runs``); the stream's progress lives in a checkpoint
-under the shared ``spark.checkpoint.dir``, so a restarted job neither loses nor
-repeats a batch.  Counters and latest values stay aggregates over the table.
+path (``history.append_runs``), named by the stream and the batch number, so a
+batch that is replayed after a crash replaces its first copy; the stream's
+progress lives in a checkpoint under the shared ``spark.checkpoint.dir``.  Counters and latest values stay aggregates over the table.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ def ingest_runs(spark: SparkSession, source_dir: str, schema: T.StructType | str
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_runs(batch, history_path)
+        append_runs(batch, history_path, f"{name}-{batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

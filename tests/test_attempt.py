@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_attempt_with_cv(spark):
     f1 = fixture(spark, SF, "f1")
-    a = Z.run_attempt(f1, "label", "row_key", run_id="t", tree_cap=5, with_cv=True,
+    a = Z.run_attempt(f1, "label", "row_key", run_id="t", with_cv=True,
                       candidates=["DummyMostFrequent", "LogisticRegression", "KNN"])
     m = {r["model"]: r for r in a.metrics.collect()}
     assert set(m) == {"DummyMostFrequent", "LogisticRegression", "KNN"}
@@ -29,7 +29,7 @@ def test_attempt_with_cv(spark):
 
 def test_reattempt_loop_extends_plan(spark):
     f2 = fixture(spark, "/root/testdata/sf0.001", "f2")
-    atts = Z.run(f2, "label", "row_key", run_id="z2", max_replans=1, tree_cap=5, with_cv=False,
+    atts = Z.run(f2, "label", "row_key", run_id="z2", max_replans=1, with_cv=False,
                  candidates=["DummyMostFrequent", "LogisticRegression"])
     assert 1 <= len(atts) <= 2
     if len(atts) == 2:

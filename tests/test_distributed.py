@@ -44,7 +44,7 @@ def test_exact_order_stats_with_bracketing(spark):
         assert got[k] == vals[k]
 
 
-def test_similarity_chunked_equals_single_pass(spark, monkeypatch):
+def test_similarity_in_blocks_equals_all_pairs(spark):
     from tablelens.operators import history as H
 
     q = spark.range(30).select(
@@ -56,10 +56,15 @@ def test_similarity_chunked_equals_single_pass(spark, monkeypatch):
         F.lit("mixed").alias("dominant_feature_type"), F.lit(False).alias("weak_signal_risk"))
     r = q.withColumnRenamed("qid", "rid").withColumn("imbalance_ratio", F.col("imbalance_ratio") * 0.9)
     one = H.similar_records(q, r, "qid", "rid", "rid").collect()
-    monkeypatch.setattr(H, "MAX_BROADCAST_QUERIES", 7)
-    many = H.similar_records(q, r, "qid", "rid", "rid").collect()
+    many = H.similar_records(q, r, "qid", "rid", "rid", block_rows=7).collect()
     key = lambda rows: sorted((x["qid"], x["rank"], x["rid"], round(x["similarity"], 12)) for x in rows)
     assert key(one) == key(many) and len(one) == 90
+    pairs = q.crossJoin(r.select(*[F.col(c).alias(f"r_{c}") for c in r.columns])).select(
+        "qid", F.col("r_rid").alias("rid"), F.struct(*H.COMPARED).alias("a"), F.struct(*[F.col(f"r_{c}").alias(c) for c in H.COMPARED]).alias("b"))
+    exact = pairs.withColumn("s", H.similarity_expr("a", "b")).filter("s >= 0.45")
+    w = Window.partitionBy("qid").orderBy(F.col("s").desc(), "rid")
+    exact = exact.withColumn("rank", F.row_number().over(w)).filter("rank <= 3").collect()
+    assert key(one) == sorted((x["qid"], x["rank"], x["rid"], round(x["s"], 12)) for x in exact)
 
 
 def test_exact_order_stats_heavy_ties(spark):
