@@ -6,10 +6,10 @@ examples apart (log-odds z-score of at least ``MIN_Z``, in at least
 ``MIN_EXAMPLES`` examples; at most ``MAX_TERMS`` by z).  Their document
 frequencies are counted over all documents.
 
-Scoring: a text's query visits the index's blocks of examples in the order of
-their upper bounds (sum over terms of query weight times the block's greatest
-weight) and stops when no block can beat the ``NEIGHBOURS``-th best, so the
-neighbours are exact; all examples tied with the last one count.  Votes weigh
+Scoring: a block of examples has an upper bound for a text (sum over terms of
+query weight times the block's greatest weight).  The blocks with the greatest
+bounds are visited first, the others only if their bound reaches the
+``NEIGHBOURS``-th best found there, so the neighbours are exact; all examples tied with the last one count.  Votes weigh
 1 / (distance + ``SOFTEN``); leave-one-out votes of the examples calibrate them
 (isotonic regression), and the neighbours' ids are the evidence.
 
@@ -38,6 +38,8 @@ MAX_TERMS = 20_000
 NEIGHBOURS = 15
 SOFTEN = 0.1
 BLOCK = 32
+FIRST = 8  # blocks visited before the others are held against the best found
+CELLS = 1_000_000  # similarity sums held at a time
 THRESHOLD = 0.5
 
 
@@ -84,6 +86,7 @@ class Index:
         # similar vectors side by side: by their heaviest term, then the next
         rows = sorted(groups.values(), key=lambda g: (tuple(g[0][np.argsort(-g[1], kind="stable")][:3].tolist()), g[0].tolist(), g[1].tolist()))
         self.votes = np.array([[g[2], g[3]] for g in rows], dtype=np.float64).reshape(-1, 2)
+        self.count = self.votes.sum(axis=1).astype(np.int64)
         self.ids = [sorted(g[4])[:NEIGHBOURS] for g in rows]
         self.vectors = [(g[0], g[5]) for g in rows]
         term = np.concatenate([g[0] for g in rows]) if rows else np.empty(0, np.int64)
@@ -109,42 +112,60 @@ class Index:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / np.sqrt((w * w).sum())
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, less: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, most similar first, with all ties of the last; one copy of row ``less`` left out."""
-        q = self.weigh(terms, counts)
-        bound = np.zeros(self.n_blocks)
-        spans = [(w, self.run_at[t], self.run_at[t + 1]) for t, w in zip(terms.tolist(), q.tolist(), strict=True)]
-        for w, lo, hi in spans:
-            bound[self.run_block[lo:hi]] += w * self.run_most[lo:hi]
-        rows, sims, kth = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or bound[b] < kth - 1e-9:
-                break
-            s = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for w, lo, hi in spans:
-                j = lo + np.searchsorted(self.run_block[lo:hi], b)
-                if j < hi and self.run_block[j] == b:
-                    x, y = self.run[j], self.run[j + 1]
-                    s[self.row[x:y] - b * BLOCK] += w * self.weight[x:y]
-            hit = np.flatnonzero(s > 0)
-            rows, sims = np.concatenate([rows, hit + b * BLOCK]), np.concatenate([sims, s[hit]])
-            order = np.lexsort((rows, -sims))
-            rows, sims = rows[order], sims[order]
-            n = np.cumsum(self.votes[rows].sum(axis=1) - (rows == less))
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, less: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms, counts; at least one term): rows and cosines of the k nearest examples, most similar
+        first, with all ties of the last; one copy of row ``less[i]`` is left out.
+
+        Queries go together, as many as fit ``CELLS`` sums: bounds of all blocks, the ``FIRST`` blocks with
+        the greatest bounds, then whatever block's bound reaches the k-th best found there.
+        """
+        size = max(1, CELLS // max(1, len(self.ids)))
+        for at in range(0, len(queries), size):
+            yield from self._nearest(queries[at : at + size], k, less[at : at + size] if less else None)
+
+    def _nearest(self, queries, k: int, less) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        d, g, b = len(queries), len(self.ids), self.n_blocks
+        terms = np.concatenate([t for t, _ in queries])
+        weight = np.concatenate([self.weigh(t, c) for t, c in queries])
+        doc = np.repeat(np.arange(d), [len(t) for t, _ in queries])
+        pair, run = _ranges(self.run_at[terms], self.run_at[terms + 1])
+        block, of = self.run_block[run], doc[pair]
+        cell = of * b + block
+        bound = np.bincount(cell, weights=weight[pair] * self.run_most[run], minlength=d * b).reshape(d, b)
+        sums = np.zeros(d * g)
+
+        def visit(chosen: np.ndarray) -> None:
+            hit = chosen.reshape(-1)[cell]
+            r, p = run[hit], pair[hit]
+            which, post = _ranges(self.run[r], self.run[r + 1])
+            np.add(sums, np.bincount(of[hit][which] * g + self.row[post], weights=weight[p][which] * self.weight[post], minlength=d * g), out=sums)
+
+        chosen = bound > 0
+        if b > FIRST:
+            chosen &= bound >= np.partition(bound, b - FIRST, axis=1)[:, b - FIRST][:, None]
+        visit(chosen)
+        sims = sums.reshape(d, g)
+        # every row is an example at least, so the k-th row bounds the k-th example; one more as one may be left out
+        kth = np.partition(sims, g - k - 1, axis=1)[:, g - k - 1] if g > k else np.zeros(d)
+        visit((bound > 0) & ~chosen & (bound >= kth[:, None] - 1e-9))
+        for i in range(d):
+            rows = np.flatnonzero(sims[i])
+            order = np.lexsort((rows, -sims[i, rows]))
+            rows = rows[order]
+            s = sims[i, rows]
+            n = np.cumsum(self.count[rows] - (rows == less[i] if less else 0))
             enough = int(np.searchsorted(n, k))
-            if enough < len(rows):
-                kth = sims[enough]
-                keep = sims >= kth - 1e-9
-                rows, sims = rows[keep], sims[keep]
-        return rows, sims
-
-    def vote(self, terms: np.ndarray, counts: np.ndarray, less: int = -1, label: int = 0) -> tuple[float, np.ndarray]:
-        rows, sims = self.nearest(terms, counts, less=less)
-        votes = self.votes[rows].copy()
-        votes[rows == less, label] -= 1
-        w = votes / (1 - np.minimum(sims, 1.0) + SOFTEN)[:, None]
-        total = w.sum()
-        return (float(w[:, 1].sum() / total) if total > 0 else self.rest()), rows
+            last = int(np.searchsorted(-s, -(s[enough] - 1e-9), side="right")) if enough < len(rows) else len(rows)
+            yield rows[:last], s[:last]
+
+    def vote(self, queries, less: list[int] | None = None, labels: list[int] | None = None) -> Iterator[tuple[float, np.ndarray]]:
+        for i, (rows, sims) in enumerate(self.nearest(queries, less=less)):
+            votes = self.votes[rows]
+            if less:
+                votes[rows == less[i], labels[i]] -= 1
+            w = votes / (1 - np.minimum(sims, 1.0) + SOFTEN)[:, None]
+            total = w.sum()
+            yield (float(w[:, 1].sum() / total) if total > 0 else self.rest()), rows
 
     def rest(self) -> float:
         """The share of label 1 among examples without any term."""
@@ -153,11 +174,10 @@ class Index:
 
     def _calibrate(self) -> None:
         x, y, n = [], [], []
-        for i, (terms, counts) in enumerate(self.vectors):
-            for label in (0, 1):
-                if self.votes[i, label]:
-                    s, _ = self.vote(terms, counts, less=i, label=label)
-                    x.append(s), y.append(label), n.append(self.votes[i, label])
+        left = [(i, label) for i in range(len(self.vectors)) for label in (0, 1) if self.votes[i, label]]
+        scores = self.vote([self.vectors[i] for i, _ in left], [i for i, _ in left], [label for _, label in left])
+        for (i, label), (v, _) in zip(left, scores, strict=True):
+            x.append(v), y.append(label), n.append(self.votes[i, label])
         if not x:
             return
         x, y, n = np.array(x), np.array(y, dtype=float), np.array(n)
@@ -176,12 +196,23 @@ class Index:
             py += [v, v] if b > a else [v]
         self.curve = (np.array(px), np.maximum.accumulate(np.array(py)))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        if len(terms) == 0:
-            return self.rest(), []
-        s, rows = self.vote(terms, counts)
-        ids = [d for r in rows[:NEIGHBOURS] for d in self.ids[r]][:NEIGHBOURS]
-        return (float(np.interp(s, *self.curve)) if self.curve else s), ids
+    def score(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[int]]]:
+        """Score and evidence of each query (terms, counts), also of those without terms."""
+        found = self.vote([q for q in queries if len(q[0])])
+        for terms, _ in queries:
+            if len(terms) == 0:
+                yield self.rest(), []
+                continue
+            s, rows = next(found)
+            ids = [x for r in rows[:NEIGHBOURS].tolist() for x in self.ids[r]][:NEIGHBOURS]
+            yield (float(np.interp(s, *self.curve)) if self.curve else s), ids
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range, and the number, of every number in the ranges [begin, end)."""
+    n = end - begin
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + begin[which]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, examples: int = EXAMPLES) -> Index:
@@ -244,7 +275,7 @@ def score(docs: DataFrame, index: Index, keep: list[str] | None = None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.score(t, c) for _, t, c in _known(batch.column("text"), shared.value.vocabulary)]
+            found = list(shared.value.score([(t, c) for _, t, c in _known(batch.column("text"), shared.value.vocabulary)]))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], [*keep, "score", "evidence"]
             )
@@ -266,7 +297,7 @@ def keep_clean(docs: DataFrame, index: Index, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _known(batch.column(batch.schema.get_field_index("text")), shared.value.vocabulary)
-            yield batch.filter(pa.array([shared.value.score(t, c)[0] < threshold for _, t, c in found], pa.bool_()))
+            found = [(t, c) for _, t, c in _known(batch.column(batch.schema.get_field_index("text")), shared.value.vocabulary)]
+            yield batch.filter(pa.array([s < threshold for s, _ in shared.value.score(found)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -21,12 +21,16 @@ def random_index(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_nearest_equals_all_cosines(seed):
+def test_nearest_equals_all_cosines(seed, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    monkeypatch.setattr(toxicity, "FIRST", 2)
+    monkeypatch.setattr(toxicity, "CELLS", 3000)
     index, _ = random_index(seed)
     dense = np.zeros((len(index.vectors), len(index.vocabulary)))
     for i, (t, c) in enumerate(index.vectors):
         dense[i, t] = index.weigh(t, c)
     rng = np.random.default_rng(seed + 10)
+    queries, expected = [], []
     for _ in range(200):
         t = np.sort(rng.choice(30, rng.integers(1, 7), replace=False))
         c = rng.integers(1, 4, len(t))
@@ -37,12 +41,14 @@ def test_nearest_equals_all_cosines(seed):
         order = order[sims[order] > 0]
         n = np.cumsum(index.votes[order].sum(axis=1))
         enough = int(np.searchsorted(n, toxicity.NEIGHBOURS))
-        exp = order if enough >= len(order) else order[sims[order] >= sims[order[enough]] - 1e-9]
-        rows, got = index.nearest(t, c)
+        queries.append((t, c))
+        expected.append((order if enough >= len(order) else order[sims[order] >= sims[order[enough]] - 1e-9], sims))
+    for (exp, sims), (rows, got) in zip(expected, index.nearest(queries), strict=True):
         assert sorted(rows.tolist()) == sorted(exp.tolist())
         assert np.allclose(got, sims[rows])
-        s, evidence = index.score(t, c)
-        assert 0 <= s <= 1 and len(evidence) <= toxicity.NEIGHBOURS
+    scores = list(index.score([(np.empty(0, np.int64), np.empty(0, np.int64)), *queries]))
+    assert len(scores) == 201 and all(0 <= s <= 1 and len(e) <= toxicity.NEIGHBOURS for s, e in scores)
+    assert scores[0] == (index.rest(), [])
 
 
 def test_held_out_accuracy(spark):
