@@ -76,7 +76,7 @@ def hash_unit(md5_hex: Column) -> Column:
 
 def ordered_labels(pairs) -> Column:
     """Array of the labels whose condition holds, in rule order (NULLs removed)."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(label)) for cond, label in pairs]))
+    return F.array_compact(F.array(*[F.when(cond, label if isinstance(label, Column) else F.lit(label)) for cond, label in pairs]))
 
 
 def floor_int(c: Column) -> Column:

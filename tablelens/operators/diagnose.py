@@ -33,6 +33,17 @@ SUGGEST_SIMILAR = "Expand the model pool slightly because all candidates behave
 SUGGEST_WEAK_SIGNAL = "Treat this as a weak-signal problem and prioritise robust ensembles over extensive tuning."
 SUGGEST_NOT_SEPARATED = "The top two models are not clearly separated in CV; prefer the simpler one if results are similar."
 
+# The issue sentences, with the number each shows.
+ISSUE_TEXTS = {
+    "low_dummy_gain": ("Best model improves balanced accuracy over the dummy baseline by only %.3f.", "dummy_gain_balanced_accuracy"),
+    "weak_balanced_accuracy": ("Balanced accuracy is weak at %.3f.", "best_balanced_accuracy"),
+    "moderate_balanced_accuracy": ("Balanced accuracy is only moderate at %.3f.", "best_balanced_accuracy"),
+    "weak_macro_f1": ("Macro F1 is weak at %.3f, suggesting uneven class performance.", "best_macro_f1"),
+    "low_class_recall": ("At least one class has very low recall (%.3f).", "worst_class_recall"),
+}
+# Fixed value: the note a re-attempt leaves in the profile.
+REPLAN_NOTE = "Replan applied: strategy flags updated based on reflection root causes: "
+
 REPLAN_STEPS_FIXED = ["apply_replanned_strategy", "rebuild_preprocessor", "reselect_models"]
 BENEFIT_CAUSES = ["imbalance_handling", "preprocessing_mismatch", "overly_simple_models", "unstable_model_rankings"]
 
@@ -240,10 +251,16 @@ def replan_steps(new_flags: Column, plan: Column) -> Column:
     return F.array_distinct(F.concat(extra, plan))
 
 
+def issue_texts(diag: DataFrame) -> Column:
+    """The issues of a ``diagnose`` row as sentences, in the order of their codes."""
+    return ordered_labels([(F.array_contains("issue_codes", code), F.format_string(text, F.col(value)))
+                           for code, (text, value) in ISSUE_TEXTS.items()])
+
+
 def replan_note(causes: Column) -> Column:
     """Note appended to the profile after a re-attempt (causes sorted)."""
     return F.concat(
-        F.lit("Replan applied: strategy flags updated based on reflection root causes: "),
+        F.lit(REPLAN_NOTE),
         F.array_join(F.array_sort(causes), ", "),
     )
 

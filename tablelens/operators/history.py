@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelens.functions.blocked import BLOCK_ROWS, block_pairs
+from tablelens.functions.columns import pyround
 from tablelens.functions.ranking import top_k
 
 SUCCESS_SCORE = 0.70
@@ -56,9 +57,10 @@ def strategy_outcomes(runs: DataFrame, flag_cols: list[str], key: str = "fingerp
     )
 
 
-def root_cause_counts(runs: DataFrame, cause_cols: list[str], key: str = "fingerprint") -> DataFrame:
-    """(key, cause, n, first_seen) over the causes recorded per run."""
-    long = runs.select(key, "ts", "run_id", F.explode(F.array(*[F.col(c) for c in cause_cols])).alias("cause")) \
+def root_cause_counts(runs: DataFrame, cause_cols: list[str] | str, key: str = "fingerprint") -> DataFrame:
+    """(key, cause, n, first_seen) over the causes recorded per run (one array column, or several columns)."""
+    causes = F.col(cause_cols) if isinstance(cause_cols, str) else F.array(*[F.col(c) for c in cause_cols])
+    long = runs.select(key, "ts", "run_id", F.explode(causes).alias("cause")) \
         .filter(F.col("cause").isNotNull())
     return long.groupBy(key, "cause").agg(F.count(F.lit(1)).alias("n"), _first_seen("ts", "run_id"))
 
@@ -260,6 +262,49 @@ def exact_hint(models: DataFrame, strategies: DataFrame, key: str = "fingerprint
         .unionByName(ranked(strategies, "successful", "strategy", 5))
 
 
+def vote_counters(runs: DataFrame, flag_cols: list[str], cause_cols, key: str = "fingerprint") -> DataFrame:
+    """(key, kind, name, n, first_seen): the four counters that vote (preferred, avoid, strategy, cause) in one table."""
+    mo = model_outcomes(runs, key)
+    part = lambda df, kind, name, n: df.select(key, F.lit(kind).alias("kind"), F.col(name).alias("name"), F.col(n).alias("n"), "first_seen")
+    return part(mo, "preferred", "model", "successful").unionByName(part(mo, "avoid", "model", "failed")) \
+        .unionByName(part(strategy_outcomes(runs, flag_cols, key), "strategy", "strategy", "successful")) \
+        .unionByName(part(root_cause_counts(runs, cause_cols, key), "cause", "cause", "n"))
+
+
+def similar_hint(matches: DataFrame, runs: DataFrame, query_key: str, record_key: str = "fingerprint") -> DataFrame:
+    """Similarity of the top match, runs matched (<= 10 per record), best model of its latest run.
+
+    ``matches`` rows: (query_key, rank, record_key, similarity).
+    """
+    latest = latest_per_dataset(runs, ["best_model"], record_key)
+    j = matches.join(latest, on=record_key, how="left")
+    return j.groupBy(query_key).agg(
+        pyround(F.max(F.when(F.col("rank") == 1, F.col("similarity"))), 3).alias("similarity"),
+        F.sum(F.least(F.coalesce(F.col("n_runs"), F.lit(0)), F.lit(10))).alias("matched_runs"),
+        F.max(F.when(F.col("rank") == 1, F.col("best_model"))).alias("best_model"),
+    )
+
+
+def resolve_hint(profiles: DataFrame, runs: DataFrame, similar: DataFrame, query_key: str) -> DataFrame:
+    """The exact record's hint when the profile's fingerprint has runs, else the similar one.
+
+    ``profiles`` rows: (query_key, fingerprint); ``similar``: ``similar_hint``.
+    """
+    latest = latest_per_dataset(runs, ["best_model"]).select("fingerprint", F.col("best_model").alias("exact_best"))
+    other = similar.select(query_key, F.col("best_model").alias("similar_best"), "similarity")
+    j = profiles.join(latest, on="fingerprint", how="left").join(other, on=query_key, how="left")
+    exact = F.col("exact_best").isNotNull()
+    found = F.col("similar_best").isNotNull() | F.col("similarity").isNotNull()
+    return j.select(query_key, F.when(exact, "exact_fingerprint").when(found, "similar_dataset").alias("source"),
+                    F.when(exact, F.col("exact_best")).otherwise(F.col("similar_best")).alias("best_model"))
+
+
+def append_log(events: DataFrame, path: str, batch: str) -> None:
+    """S6 write side: events (run_id, ts, seq, stage, message), failures and notes among them; a batch replaces its first copy."""
+    out = events.withColumn("log_batch", F.lit(batch))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_batch").parquet(path)
+
+
 def run_log_summary(log: DataFrame) -> DataFrame:
     """S6 read side: events and runs per stage."""
     return log.groupBy("stage").agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("run_id").alias("n_runs"))

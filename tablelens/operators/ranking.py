@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference's: rationale sentences.
 SUMMARY_CV = "Selected using cross-validation-aware ranking to prioritise stability."
 SUMMARY_HOLDOUT = "Selected mainly from holdout performance, with CV used as supporting evidence."
+# The sentences of the run report's rationale.
+REPORT_CV = (
+    "Model selected using cross-validation-aware ranking to prefer stability "
+    "over a single holdout split."
+)
+REPORT_HOLDOUT = "Model selected mainly from holdout performance, with CV used as supporting evidence."
 
 
 def primary_metric(imbalance_ratio: Column) -> Column:
@@ -95,6 +101,12 @@ def selection_rationale(board: DataFrame, run_cols=("run_id", "attempt")) -> Dat
     )
 
 
+def report_rationale(board: DataFrame, run_cols=("run_id", "attempt")) -> DataFrame:
+    """R4, second form: the rationale kept with the run and its history record."""
+    r = selection_rationale(board, run_cols).drop("dummy_balanced_accuracy", "dummy_gain_balanced_accuracy")
+    return r.withColumn("human_summary", F.when(F.col("compare_on_cv"), REPORT_CV).otherwise(REPORT_HOLDOUT))
+
+
 def order_candidates(candidates: DataFrame, preferred: DataFrame | None = None, avoid: DataFrame | None = None,
                      group_cols=("dataset_id",), on=None) -> DataFrame:
     """order = (in avoid list, rank among preferred, name); no history gives alphabetical order.

@@ -143,45 +143,23 @@ def q_similar_datasets_top3(spark, sf):
     return m.select("l_suppkey", "rank", "dataset_id", r6(F.col("similarity")).alias("similarity"))
 
 
-def _counters(spark, sf):
-    runs = _runs(spark, sf)
+def _matched_records(spark, sf):
+    """Matches by fingerprint: counters and runs are joined to the few matches, never spread over all datasets."""
     rec = _records(spark, sf).select("dataset_id", "fingerprint")
-    mo = H.model_outcomes(runs).join(rec, on="fingerprint")
-    so = H.strategy_outcomes(runs, F8_FLAGS).join(rec, on="fingerprint")
-    rc = H.root_cause_counts(runs, F8_CAUSES).join(rec, on="fingerprint")
-    return mo, so, rc
+    return _matches(spark, sf).join(rec, on="dataset_id")
 
 
 def q_history_votes(spark, sf):
     """H9: all four vote kinds in one join and one aggregate (top 5/3/5/3 per kind)."""
-    m = _matches(spark, sf)
-    mo, so, rc = _counters(spark, sf)
-    counters = (
-        mo.select("dataset_id", F.lit("preferred").alias("kind"), F.col("model").alias("name"),
-                  F.col("successful").alias("n"), "first_seen")
-        .unionByName(mo.select("dataset_id", F.lit("avoid").alias("kind"), F.col("model").alias("name"),
-                               F.col("failed").alias("n"), "first_seen"))
-        .unionByName(so.select("dataset_id", F.lit("strategy").alias("kind"), F.col("strategy").alias("name"),
-                               F.col("successful").alias("n"), "first_seen"))
-        .unionByName(rc.select("dataset_id", F.lit("cause").alias("kind"), F.col("cause").alias("name"), "n",
-                               "first_seen"))
-    )
+    counters = H.vote_counters(_runs(spark, sf), F8_FLAGS, F8_CAUSES)
     k = F.when(F.col("kind").isin("preferred", "strategy"), 5).otherwise(3)
-    v = H.weighted_votes(m, counters, "l_suppkey", "dataset_id", "name", "n", k, kind_col="kind")
+    v = H.weighted_votes(_matched_records(spark, sf), counters, "l_suppkey", "fingerprint", "name", "n", k, kind_col="kind")
     return v.select("l_suppkey", "kind", "position", "name", r6(F.col("score")).alias("score"))
 
 
 def q_history_hint(spark, sf):
     """Similarity of the top match, runs matched (<= 10 per record), best model of its latest run."""
-    m = _matches(spark, sf)
-    rec = _records(spark, sf).select("dataset_id", "fingerprint")
-    latest = H.latest_per_dataset(_runs(spark, sf), ["best_model"])
-    j = m.join(rec, on="dataset_id").join(latest, on="fingerprint", how="left")
-    return j.groupBy("l_suppkey").agg(
-        pyround(F.max(F.when(F.col("rank") == 1, F.col("similarity"))), 3).alias("similarity"),
-        F.sum(F.least(F.coalesce(F.col("n_runs"), F.lit(0)), F.lit(10))).alias("matched_runs"),
-        F.max(F.when(F.col("rank") == 1, F.col("best_model"))).alias("best_model"),
-    )
+    return H.similar_hint(_matched_records(spark, sf), _runs(spark, sf), "l_suppkey")
 
 
 def _exact(spark, sf):
@@ -215,20 +193,20 @@ def q_order_candidates(spark, sf):
     return ordered.select("dataset_id", "model", "candidate_order")
 
 
-def q_resolved_hint(spark, sf):
-    """The exact record's hint when the profile's fingerprint is in the history, else the similar one."""
+def _seen_profiles(spark, sf):
+    """Every other supplier's profile has been run before: its fingerprint is in the history, next to F8's runs."""
     prof = P.profile_dataset(fixture(spark, sf, "f3"), "label", segment_cols=["l_suppkey"]).select(
         "l_suppkey", F.col("profile_id").alias("fingerprint"))
-    latest = H.latest_per_dataset(_runs(spark, sf), ["best_model"]).select("fingerprint", F.col("best_model").alias("exact_best"))
-    similar = q_history_hint(spark, sf).select("l_suppkey", F.col("best_model").alias("similar_best"), "similarity")
-    j = prof.join(latest, on="fingerprint", how="left").join(similar, on="l_suppkey", how="left")
-    exact = F.col("exact_best").isNotNull()
-    return j.select(
-        "l_suppkey",
-        F.when(exact, "exact_fingerprint").when(F.col("similar_best").isNotNull() | F.col("similarity").isNotNull(),
-                                                 "similar_dataset").alias("source"),
-        F.when(exact, F.col("exact_best")).otherwise(F.col("similar_best")).alias("best_model"),
-    )
+    seen = prof.filter(F.col("l_suppkey") % 2 == 0).groupBy("fingerprint").agg(F.max("l_suppkey").alias("s")).select(
+        (F.col("s") + 1_000_000_000).alias("run_id"), "fingerprint", F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"),
+        F.concat(F.lit("seen_"), F.col("s").cast("string")).alias("best_model"), F.lit(0.9).alias("best_score"))
+    return prof, _runs(spark, sf).select("run_id", "fingerprint", F.col("ts").cast("timestamp_ntz").alias("ts"), "best_model", "best_score").unionByName(seen)
+
+
+def q_resolved_hint(spark, sf):
+    """The exact record's hint when the profile's fingerprint is in the history, else the similar one."""
+    prof, runs = _seen_profiles(spark, sf)
+    return H.resolve_hint(prof, runs, q_history_hint(spark, sf), "l_suppkey")
 
 
 def q_flags_from_history(spark, sf):
@@ -426,12 +404,16 @@ SELECT dataset_id, """ + ", ".join(f"({f} OR list_contains(voted, '{f}')) AS {f}
         """,
 hh AS (SELECT t.l_suppkey, max(CASE WHEN t.rank = 1 THEN lt.best_model END) AS best_model,
               max(CASE WHEN t.rank = 1 THEN t.similarity END) AS similarity
-       FROM top3 t LEFT JOIN lt ON lt.fingerprint = t.fingerprint GROUP BY t.l_suppkey)
+       FROM top3 t LEFT JOIN lt ON lt.fingerprint = t.fingerprint GROUP BY t.l_suppkey),
+seen AS (SELECT profile_id AS fingerprint, concat('seen_', CAST(max(l_suppkey) AS VARCHAR)) AS best_model FROM qp
+         WHERE l_suppkey % 2 = 0 GROUP BY profile_id),
+ex AS (SELECT fingerprint, best_model FROM seen UNION ALL
+       SELECT fingerprint, best_model FROM lt WHERE fingerprint NOT IN (SELECT fingerprint FROM seen))
 SELECT qp.l_suppkey,
   CASE WHEN le.best_model IS NOT NULL THEN 'exact_fingerprint'
        WHEN hh.best_model IS NOT NULL OR hh.similarity IS NOT NULL THEN 'similar_dataset' END AS source,
   CASE WHEN le.best_model IS NOT NULL THEN le.best_model ELSE hh.best_model END AS best_model
-FROM qp LEFT JOIN lt le ON le.fingerprint = qp.profile_id LEFT JOIN hh ON hh.l_suppkey = qp.l_suppkey""")
+FROM qp LEFT JOIN ex le ON le.fingerprint = qp.profile_id LEFT JOIN hh ON hh.l_suppkey = qp.l_suppkey""")
     segp = _profile_sql("f3", F3_SEG_COLS, "label", "l_suppkey")
     o["profile_as_json"] = f"SELECT l_suppkey, n_rows, missing_severity, size_bucket, profile_id FROM ({segp}) q"
     return o
