@@ -32,6 +32,11 @@ HEADLINE = [
     "history_votes",
     "last_runs_per_dataset",
     "knn_vote",
+    "impute_median",
+    "evaluation_summary",
+    "order_candidates",
+    "model_logistic",
+    "model_random_forest",
 ]
 
 

@@ -27,14 +27,6 @@ def is_object_like(dtype: T.DataType) -> bool:
     return not isinstance(dtype, NUMERIC_TYPES)
 
 
-def is_missing(c: Column | str, dtype: T.DataType) -> Column:
-    """NULL, or NaN for floating columns."""
-    col = F.col(c) if isinstance(c, str) else c
-    if isinstance(dtype, FLOAT_TYPES):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Normalise NaN to NULL so every later aggregate sees one missing notion."""
     cols = []
@@ -47,11 +39,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def pyround(c: Column, digits: int) -> Column:
-    """Round half away from zero on the binary value, like Python's ``round``.
+    """Round the scaled double half away from zero.
 
     Spark's ``round`` rounds the shortest decimal text (0.00015 -> 0.0002)
-    whereas the binary value 1.4999...e-4 rounds to 0.0001; scaling first and
-    rounding the scaled double reproduces the latter.
+    whereas the binary value 1.4999...e-4 rounds to 0.0001, here as in Python.
+    Scaled values that are exact ties (0.125 to two digits) or round up to one
+    (1.115) go up here; Python rounds those to 0.12 and 1.11.
     """
     scale = float(10 ** digits)
     scaled = F.abs(c) * F.lit(scale)

@@ -22,16 +22,6 @@ def sigmoid(raw: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-raw))
 
 
-def positive_score(df: DataFrame, probability_col: str | None = "probability",
-                   raw_col: str | None = "rawPrediction", out: str = "score") -> DataFrame:
-    """K1: probability of class index 1, else the sigmoid of the positive raw margin (MLlib vectors)."""
-    from pyspark.ml.functions import vector_to_array
-
-    if probability_col and probability_col in df.columns:
-        return df.withColumn(out, vector_to_array(F.col(probability_col))[1])
-    return df.withColumn(out, sigmoid(vector_to_array(F.col(raw_col))[1]))
-
-
 def apply_threshold(score: Column, threshold: Column | float) -> Column:
     """K2: 1 when score >= threshold."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))

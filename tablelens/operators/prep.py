@@ -29,7 +29,7 @@ def _numbers(df: DataFrame, cols: list[str]) -> DataFrame:
 def fit_means(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Training mean of every column (NaN counts as missing)."""
     clean = nan_to_null(_numbers(df.select(*cols), cols))
-    row = clean.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    row = clean.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 

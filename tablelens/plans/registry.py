@@ -12,18 +12,14 @@ SUITES = [
     "tablelens.plans.suite_diagnose",
     "tablelens.plans.suite_history",
     "tablelens.plans.suite_models",
+    "tablelens.plans.suite_dirty",
 ]
 
 
 def _load():
     queries, oracles = {}, {}
     for name in SUITES:
-        try:
-            mod = importlib.import_module(name)
-        except ModuleNotFoundError as exc:
-            if exc.name == name:
-                continue
-            raise
+        mod = importlib.import_module(name)
         for key, fn in mod.QUERIES.items():
             if key in queries:
                 raise ValueError(f"duplicate query name {key}")

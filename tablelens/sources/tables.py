@@ -14,13 +14,18 @@ _READERS: dict = {}
 _REGISTERED: dict = {}
 
 
+def _session(spark: SparkSession) -> tuple:
+    """A name for the session that no later session gets: its application, and its number in it."""
+    return spark.sparkContext.applicationId, spark._jsparkSession.hashCode()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
     The relation (file listing and footer schema) is resolved once per session
     and reused by every query.
     """
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (*_session(spark), sf_dir.rstrip("/"), name)
     df = _READERS.get(key)
     if df is None:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -31,7 +36,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
     """Register the tables as temp views (scans stay lazy until an action)."""
     for name in names or TABLES:
-        key = (id(spark), name)
+        key = (*_session(spark), name)
         src = sf_dir.rstrip("/")
         if _REGISTERED.get(key) == src and spark.catalog.tableExists(name):
             continue
