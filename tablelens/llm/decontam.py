@@ -162,6 +162,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that share no window with any item."""
     numbered = with_uid(docs)
     hit = _judged(numbered.select("_uid", "doc_id", "text"), benchmark).filter("contaminated").select("_uid")
+    hit = materialise(hit, "contaminated")  # its size is known now: Spark sends few rows around instead of shuffling the texts
     return numbered.join(hit, "_uid", "left_anti").drop("_uid")
 
 
