@@ -43,6 +43,7 @@ class Attempt:
     diagnosis: DataFrame
     failures: list = field(default_factory=list)
     split_info: dict = field(default_factory=dict)
+    labels: list = field(default_factory=list)
 
 
 def _profile_row(df: DataFrame, target: str, confidence: str, columns) -> tuple[DataFrame, dict]:
@@ -220,7 +221,7 @@ def run_attempt(df: DataFrame, target: str, key: str | None = None, run_id: str
         worst, on=["run_id", "attempt", "model"]).select("run_id", "attempt", "worst_class_recall")
     diag = X.diagnose(summary, ctx.drop("compare_on_cv"), worst).checkpoint()
     info = D.split_info(split, stratified).first().asDict()  # one row: train rows, test rows, stratified
-    return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info)
+    return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info, labels)
 
 
 def run(df: DataFrame, target: str, key: str | None = None, run_id: str = "run", max_replans: int = 1, **kw) -> list[Attempt]:

@@ -80,7 +80,9 @@ def write_results(run: GuidedRun, path: str) -> None:
     spark = last.board.sparkSession
     best = last.diagnosis.select(F.col("best_model").alias("model"))
     test = last.predictions.filter(F.col("split") == "test").join(F.broadcast(best), "model")  # one row
-    cm = K.confusion_counts(test)
+    names = F.array(*[F.lit(str(v)) for v in last.labels])
+    name = lambda c: F.element_at(names, F.col(c).cast("int") + 1).alias(c)
+    cm = K.confusion_counts(test.select(name("label"), name("prediction")))
     attempts = last.diagnosis
     for a in run.attempts[:-1]:
         attempts = attempts.unionByName(a.diagnosis)
