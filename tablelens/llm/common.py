@@ -58,6 +58,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or it with underscores added until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
     """Number the rows of a file scan (the same numbers on every rerun of a task)."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import ALNUM, LOWER, materialise, mix, prefix_hash, runs, span_hash, with_uid, words_of
+from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, prefix_hash, runs, span_hash, with_uid, words_of
 
 SPAN = 10
 GRAM = 5
@@ -160,10 +160,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that share no window with any item."""
-    numbered = with_uid(docs)
-    hit = _judged(numbered.select("_uid", "doc_id", "text"), benchmark).filter("contaminated").select("_uid")
+    uid = fresh(docs, "_uid")
+    numbered = with_uid(docs, uid)
+    hit = _judged(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), benchmark).filter("contaminated").select(F.col("_uid").alias(uid))
     hit = materialise(hit, "contaminated")  # its size is known now: Spark sends few rows around instead of shuffling the texts
-    return numbered.join(hit, "_uid", "left_anti").drop("_uid")
+    return numbered.join(hit, uid, "left_anti").drop(uid)
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import connected_components, materialise, with_uid
+from tablelens.llm.common import connected_components, fresh, materialise, with_uid
 
 SHINGLE = 3
 RADIUS = 2
@@ -113,9 +113,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each component, with all columns: that with the smallest doc_id (nulls last, then the first in the scan)."""
-    numbered = with_uid(docs)
-    base = materialise(fingerprints(numbered, shingle, ("_uid", "doc_id")), "simhash")
+    uid = fresh(docs, "_uid")
+    numbered = with_uid(docs, uid)
+    base = materialise(fingerprints(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), shingle, ("_uid", "doc_id")), "simhash")
     of, _ = _components(base, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_uid"))
-    kept = base.join(of, "fp").groupBy("component").agg(first.alias("k")).select("k._uid")
-    return numbered.join(kept, "_uid", "left_semi").drop("_uid")
+    kept = base.join(of, "fp").groupBy("component").agg(first.alias("k")).select(F.col("k._uid").alias(uid))
+    return numbered.join(kept, uid, "left_semi").drop(uid)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm import induced
-from tablelens.llm.common import CODES, CHUNK, materialise, mix, powers, prefix_hash, runs, span_hash, with_uid
+from tablelens.llm.common import CHUNK, CODES, fresh, materialise, mix, powers, prefix_hash, runs, span_hash, with_uid
 
 WIDTH = 200
 GRAM = 64
@@ -204,12 +204,14 @@ def merge_spans(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _with_spans(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """The documents' rows with their covered spans (array, null if none)."""
-    numbered = with_uid(docs.select("*"))
-    spans = repeated_spans(numbered.select("_uid", F.coalesce("text", F.lit("")).alias("text")), width, gram)
-    per = materialise(spans.groupBy("uid").agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "spans")
-    return numbered.join(per.hint("shuffle_hash"), F.col("_uid") == F.col("uid"), "left").drop("uid", "_uid")
+def _with_spans(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, str]:
+    """The documents' rows with their covered spans (array, null if none), and that column's name."""
+    uid, name = fresh(docs, "_uid"), fresh(docs, "_spans")
+    numbered = with_uid(docs, uid)
+    spans = repeated_spans(numbered.select(F.col(uid).alias("_uid"), F.coalesce("text", F.lit("")).alias("text")), width, gram)
+    per = materialise(spans.groupBy("uid").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    per = per.select(F.col("uid").alias(uid), F.col("spans").alias(name))
+    return numbered.join(per.hint("shuffle_hash"), uid, "left").drop(uid), name
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -233,7 +235,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
                 digests.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(kept, pa.binary()), pa.array(digests)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    rows = _with_spans(docs.select("doc_id", "text"), width, gram).select("doc_id", "text", "_spans")
+    rows, _ = _with_spans(docs.select("doc_id", "text"), width, gram)
     return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
@@ -243,12 +245,13 @@ def digests(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
 def cut_texts(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """The documents with covered bytes cut from their text; a character that is covered in part stays; null texts stay null."""
+    rows, name = _with_spans(docs, width, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             column = batch.schema.get_field_index("text")
-            for text, spans in zip(batch.column(column).cast(pa.binary()), batch.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(column).cast(pa.binary()), batch.column(name).to_pylist(), strict=True):
                 if not text.is_valid:
                     texts.append(None)
                     continue
@@ -262,6 +265,6 @@ def cut_texts(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFram
                     rest.append(raw[at:s])
                     at = e
                 texts.append(b"".join([*rest, raw[at:]]).decode())
-            yield batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type)).drop_columns(["_spans"])
+            yield batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type)).drop_columns([name])
 
-    return _with_spans(docs, width, gram).mapInArrow(run, docs.schema)
+    return rows.select(*docs.columns, name).mapInArrow(run, docs.schema)

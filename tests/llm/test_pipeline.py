@@ -38,3 +38,18 @@ def test_stages_equal_brute_force(spark, tmp_path):
 def test_run_equals_stages_and_reruns_agree(spark):
     a = sorted(tuple(r) for r in corpus_pipeline.run(spark, SF).collect())
     assert a == sorted(tuple(r) for r in corpus_pipeline.run(spark, SF).collect()) and a
+
+
+def test_clashing_columns_nulls_and_repeats_go_through(spark, docs_of):
+    extra = ["uid long", "_uid long", "_spans string", "score double", "fp long", "component long", "n_chars long", "contaminated string"]
+    rows = [(1, "some words here", "en", "a"), (1, "other words there", "en", None), (None, None, None, None), (None, "lonely text", "de", "a"), (2, "", "en", "b"), (3, "some words here", "en", "a")]
+    docs = docs_of(rows, extra)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs2 = stage(spark, docs, SF)
+        assert docs2.columns == docs.columns
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in docs2.collect())
+        exp = rows if stage is not corpus_pipeline.drop_near_duplicates else [r for r in rows if r[0] != 3 and r[1] is not None]
+        assert got == sorted((r[0] is None, r[0] or 0, r[1] or "") for r in exp)
+    assert corpus_pipeline.mix(spark, docs, SF).count() == len(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.filter("false"), SF).count() == 0
