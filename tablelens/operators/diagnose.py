@@ -69,7 +69,12 @@ def _paired_t(a: Column, b: Column):
 
 
 def run_summary(board: DataFrame, run_cols=("run_id", "attempt")) -> DataFrame:
-    """Per (run, attempt): winner, runner-up (2nd by balanced accuracy, F1), baseline and spread."""
+    """Per (run, attempt): winner, runner-up (2nd by balanced accuracy, F1), baseline and spread.
+
+    If the board has ``worst_class_recall`` per model, the winner's comes along.
+    """
+    worst = [F.max(F.when(F.col("rank") == 1, F.col("worst_class_recall"))).alias("worst_class_recall")] \
+        if "worst_class_recall" in board.columns else []
     best = F.col("rank") == 1
     runner = F.col("balanced_rank") == 2
     dummy_rank = F.when(F.col("model").startswith("Dummy"), F.col("balanced_rank"))
@@ -91,6 +96,7 @@ def run_summary(board: DataFrame, run_cols=("run_id", "attempt")) -> DataFrame:
         F.median("balanced_accuracy").alias("spread_median"),
         F.stddev_pop("balanced_accuracy").alias("spread_std"),
         (F.max("balanced_accuracy") - F.min("balanced_accuracy")).alias("spread_range"),
+        *worst,
     )
 
 
@@ -105,7 +111,7 @@ def diagnose(summary: DataFrame, context: DataFrame, worst: DataFrame | None = N
     d = summary.join(context, on=list(on), how="left")
     if worst is not None:
         d = d.join(worst, on=list(run_cols), how="left")
-    else:
+    elif "worst_class_recall" not in d.columns:
         d = d.withColumn("worst_class_recall", F.lit(None).cast("double"))
     bal, f1, acc = F.col("best_balanced_accuracy"), F.col("best_macro_f1"), F.col("best_accuracy")
     imb = F.coalesce(F.col("imbalance_ratio"), F.lit(1.0))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tablelens.functions.columns import FLOAT_TYPES, nan_to_null, r6
 from tablelens.functions.ranking import top_k
+from tablelens.operators.profile import missing_stats
 
 INFREQUENT = "__infrequent__"
 # Categories per column up to which the fitted table is broadcast to the scan side.
@@ -244,6 +245,11 @@ def missing_indicators(df: DataFrame, cols: list[str], fit_df: DataFrame | None
     return out
 
 
+def high_missing_columns(df: DataFrame, segment_cols=(), columns=None, cut: float = 35.0) -> DataFrame:
+    """A2: columns with at least ``cut`` % missing, per segment (one wide aggregate, no value shuffle)."""
+    return missing_stats(df, segment_cols, columns).filter(F.col("missing_pct") >= cut)
+
+
 def leaky_columns(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     """A3: columns whose every value maps to one class while having fewer values than rows."""
     entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])

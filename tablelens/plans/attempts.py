@@ -212,14 +212,11 @@ def run_attempt(df: DataFrame, target: str, key: str | None = None, run_id: str
     )  # one row of run context
     place = F.array_position(F.array(*[F.lit(m) for m in candidates]), F.col("model"))
     board = RK.leaderboard(metrics, ctx.select("run_id", "imbalance_ratio", "compare_on_cv"), candidate_order=place).checkpoint()
-    summary = X.run_summary(board)
+    keys = ["run_id", "attempt", "model"]
     test_pred = pred.filter(F.col("split") == "test")
-    worst = K.class_stats(K.confusion_counts(test_pred, group_cols=["run_id", "attempt", "model"]),
-                          ["run_id", "attempt", "model"]).groupBy("run_id", "attempt", "model") \
-        .agg(F.min("recall").alias("worst_class_recall"))
-    worst = summary.select("run_id", "attempt", F.col("best_model").alias("model")).join(
-        worst, on=["run_id", "attempt", "model"]).select("run_id", "attempt", "worst_class_recall")
-    diag = X.diagnose(summary, ctx.drop("compare_on_cv"), worst).checkpoint()
+    worst = K.class_stats(K.confusion_counts(test_pred, group_cols=keys), keys).groupBy(*keys).agg(F.min("recall").alias("worst_class_recall"))
+    summary = X.run_summary(board.join(worst, on=keys, how="left"))
+    diag = X.diagnose(summary, ctx.drop("compare_on_cv")).checkpoint()
     info = D.split_info(split, stratified).first().asDict()  # one row: train rows, test rows, stratified
     return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info, labels)
 

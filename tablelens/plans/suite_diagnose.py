@@ -31,15 +31,11 @@ def f5_planned(spark, sf):
 
 
 def diagnosis(spark, sf):
-    board = f7_board(spark, sf)
-    summary = X.run_summary(board)
     test = fixture(spark, sf, "f6").filter(F.col("split") == "test")
-    worst_by_model = K.class_stats(K.confusion_counts(test, group_cols=RUN_MODEL), RUN_MODEL) \
+    worst = K.class_stats(K.confusion_counts(test, group_cols=RUN_MODEL), RUN_MODEL) \
         .groupBy(*RUN_MODEL).agg(F.min("recall").alias("worst_class_recall"))
-    worst = summary.select("run_id", "attempt", F.col("best_model").alias("model")) \
-        .join(worst_by_model, on=RUN_MODEL).select("run_id", "attempt", "worst_class_recall")
-    ctx = run_context(spark, sf)
-    d = X.diagnose(summary, ctx.drop("compare_on_cv"), worst)
+    summary = X.run_summary(f7_board(spark, sf).join(worst, on=RUN_MODEL, how="left"))
+    d = X.diagnose(summary, run_context(spark, sf).drop("compare_on_cv"))
     return X.should_replan(d, MAX_REPLANS)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablelens.functions.columns import r6
 from tablelens.operators import prep as E
 from tablelens.operators import split as D
-from tablelens.operators.profile import column_stats
+from tablelens.operators.profile import missing_stats
 from tablelens.plans.fixtures import fixture, with_fixtures
 from tablelens.sources.tables import read_table
 
@@ -63,7 +63,7 @@ def q_impute_median(spark, sf):
 
 def _auto_filled(spark, sf):
     f3 = fixture(spark, sf, "f3")
-    max_pct = column_stats(f3).agg(F.max("missing_pct")).first()[0]
+    max_pct = missing_stats(f3).agg(F.max("missing_pct")).first()[0]
     return E.apply_fill(f3, E.fit_imputer(f3, F3_SCALE, max_pct))
 
 
@@ -114,8 +114,7 @@ def q_missing_indicators(spark, sf):
 def q_drop_high_missing(spark, sf):
     f3 = fixture(spark, sf, "f3")
     feats = [c for c in f3.columns if c not in ("label", "l_suppkey")]
-    stats = column_stats(f3, segment_cols=["l_suppkey"], columns=feats)
-    return stats.filter(F.col("missing_pct") >= 35.0).select("l_suppkey", "column_name", "missing_pct")
+    return E.high_missing_columns(f3, ["l_suppkey"], feats).select("l_suppkey", "column_name", "missing_pct")
 
 
 def q_leaky_columns(spark, sf):
