@@ -108,10 +108,10 @@ FROM customer
 # Three classes, each apart from the other two; one has two rows, so none of it is held out.
 F10 = """
 SELECT c_custkey AS row_key,
-       CASE WHEN c_custkey > 2 AND c_custkey % 4 = 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 10 AS DOUBLE) / 10 AS x1,
-       CASE WHEN c_custkey <= 2 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 7 AS DOUBLE) / 7 AS x2,
-       CASE WHEN c_custkey > 2 AND c_custkey % 4 > 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 3 AS DOUBLE) / 3 AS x3,
-       CASE WHEN c_custkey <= 2 THEN 'B' WHEN c_custkey % 4 = 0 THEN 'A' ELSE 'C' END AS label
+       CASE WHEN c_custkey > 1 AND c_custkey % 4 = 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 10 AS DOUBLE) / 10 AS x1,
+       CASE WHEN c_custkey <= 1 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 7 AS DOUBLE) / 7 AS x2,
+       CASE WHEN c_custkey > 1 AND c_custkey % 4 > 0 THEN 10.0 ELSE 0.0 END + CAST(c_custkey % 3 AS DOUBLE) / 3 AS x3,
+       CASE WHEN c_custkey <= 1 THEN 'B' WHEN c_custkey % 4 = 0 THEN 'A' ELSE 'C' END AS label
 FROM customer
 """
 

@@ -196,7 +196,8 @@ SELECT q AS row_key, label AS prediction FROM (
         f"""SELECT 'f9' AS run_id, 'ExtraTrees' AS best_model, 1.0::DOUBLE AS best_score, 'ok' AS status, 'data_quality|unstable_model_rankings' AS root_causes,
   n AS rows, k AS num_classes FROM {seen} s""", "f9")
     o["pool_results_rare_class"] = with_fixtures(
-        f"""SELECT unnest(['ExtraTrees', 'GradientBoosting', 'KNN', 'LinearSVC', 'LogisticRegression', 'RandomForest']) AS model,
+        f"""SELECT unnest(list_filter(['ExtraTrees', 'GradientBoosting', 'KNN', 'LinearSVC', 'LogisticRegression', 'RandomForest', 'SVC_RBF'],
+    lambda m: (m <> 'KNN' OR n <= 6000) AND (m <> 'SVC_RBF' OR n <= 8000))) AS model,
   1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS balanced_accuracy FROM (SELECT count(*) AS n FROM f10) s""", "f10")
     o["assembled_features"] = with_fixtures(
         held.replace("{fx}", "f2").replace("row_key, label,", "*,") + """,
