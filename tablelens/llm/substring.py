@@ -9,7 +9,9 @@
 3. What is left - contexts that differ from the others of their gram - goes to
    shards by gram, one string for each distinct context, and each shard is
    suffix-sorted by induced sorting (``induced``): a window is repeated when its
-   suffix shares ``WIDTH`` bytes with a neighbour in suffix order.
+   suffix shares ``WIDTH`` bytes with a neighbour in suffix order.  A gram whose
+   contexts exceed ``GRAM_BYTES`` is split first (``split_contexts``), again and
+   again, by where its windows hold it and by the bytes they then must share.
 4. Covered spans are merged per text and cut out.
 
 Every window lies in one context, so each is compared with all equal ones, in
@@ -39,6 +41,7 @@ WIDTH = 200
 GRAM = 64
 BITMAP_BITS = 27  # 16 MB, whatever the corpus
 SHARD_BYTES = 2 << 20
+GRAM_BYTES = SHARD_BYTES // 8  # of one gram's differing contexts; more are split
 QUEUE_MEMORY = 48 << 20  # of a shard's queues; the rest of them lies on disk
 
 _U = np.uint64
@@ -57,11 +60,11 @@ def _blocks(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = GRAM):
-    """(text, first window, windows, gram hash, content hash) of each context; positions are relative to the text."""
+    """(text, first window, windows, gram hash, content hash, gram's place in the first window) of each context."""
     n, per = len(data) - width + 1, width - gram + 1
     none = np.empty(0, np.int64)
     if n <= 0:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     prefix = prefix_hash(data, CODES)
     _, down = powers(len(prefix))
     grams = mix((prefix[gram:] - prefix[:-gram]) * down[: len(prefix) - gram])
@@ -77,7 +80,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: in
     valid = np.zeros(n + 1, dtype=np.int8)
     whole = np.flatnonzero(np.diff(offsets) >= width)
     if not len(whole):
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     begin, end = offsets[whole], offsets[whole + 1] - width + 1
     np.add.at(valid, begin, 1)
     np.add.at(valid, end[end <= n], -1)
@@ -91,7 +94,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: in
     last = np.flatnonzero(stop)
     text = np.searchsorted(offsets, first, side="right") - 1
     content = span_hash(prefix, first, last + width)
-    return text, first, last - first + 1, grams[at[first]].view(np.int64), content.view(np.int64)
+    return text, first, last - first + 1, grams[at[first]].view(np.int64), content.view(np.int64), at[first] - first
 
 
 def _bit(key: np.ndarray) -> np.ndarray:
@@ -123,24 +126,68 @@ def _scan(docs: DataFrame, width: int, gram: int, repeated=None, mixed=None) ->
         for batch in batches:
             uid = batch.column("_uid").to_numpy(zero_copy_only=False)
             for row, data, offsets, at in _blocks(batch.column("text"), width):
-                text, first, count, key, content = contexts(data, offsets, width, gram)
+                text, first, count, key, content, place = contexts(data, offsets, width, gram)
                 if maps is None:
                     yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(content, pa.int64())], ["key", "content"])
                     continue
                 keep = np.flatnonzero(_has(maps[0], key))
-                text, first, count, key, content = (x[keep] for x in (text, first, count, key, content))
+                text, first, count, key, content, place = (x[keep] for x in (text, first, count, key, content, place))
                 want = _has(maps[1], key).tolist()
                 raw = data.tobytes() if any(want) else b""
                 strings = [raw[f : f + c + width - 1] if y else None for f, c, y in zip(first.tolist(), count.tolist(), want, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(uid[row + text], pa.int64()), pa.array(first - offsets[text] + at, pa.int64()), pa.array(count, pa.int32()), pa.array(key, pa.int64()), pa.array(content, pa.int64()), pa.array(strings, pa.binary())],
-                    ["uid", "first", "windows", "key", "content", "bytes"],
+                    [pa.array(uid[row + text], pa.int64()), pa.array(first - offsets[text] + at, pa.int64()), pa.array(count, pa.int32()), pa.array(key, pa.int64()), pa.array(content, pa.int64()), pa.array(place, pa.int32()), pa.array(strings, pa.binary())],
+                    ["uid", "first", "windows", "key", "content", "place", "bytes"],
                 )
 
-    schema = "key long, content long" if repeated is None else "uid long, first long, windows int, key long, content long, bytes binary"
+    schema = "key long, content long" if repeated is None else "uid long, first long, windows int, key long, content long, place int, bytes binary"
     return docs.mapInArrow(run, schema)
 
 
+def split_contexts(strings: DataFrame, size: int, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+    """Contexts (key, windows, n, uid, first, place, bytes) cut between windows that hold the gram in different ``size``-byte ranges.
+
+    Equal windows hold their gram at equal places, so they fall into the same
+    range.  All windows of a range share the bytes around the gram that each of
+    them must cover; the hash of these is the new key, so equal windows still meet.
+    At size 1 a piece is a single window and the key its content.
+    """
+    per = width - gram + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                key, windows, n, uid, first, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "windows", "n", "uid", "first", "place"))
+                held = batch.column("bytes").to_pylist()
+                raw = b"".join(held)
+                begin = np.concatenate([[0], np.cumsum([len(x) for x in held])])
+                prefix = prefix_hash(np.frombuffer(raw, dtype=np.uint8), CODES)
+                place, windows = place.astype(np.int64), windows.astype(np.int64)
+                least = (place - windows + 1) // size
+                pieces = place // size - least + 1
+                of = np.repeat(np.arange(len(held)), pieces)
+                part = least[of] + np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                lo, hi = part * size, np.minimum(part * size + size, per) - 1
+                high, low = np.minimum(place[of], hi), np.maximum((place - windows + 1)[of], lo)
+                start, count = place[of] - high, high - low + 1
+                s = begin[of] + start
+                e = s + count + width - 1
+                centre = begin[of] + place[of]
+                shared = span_hash(prefix, centre - lo, centre + width - hi)
+                fresh_key = mix(shared ^ mix(key[of].view(_U) + part.astype(_U) * _U(0x9E3779B97F4A7C15)))
+                content = span_hash(prefix, s, e)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(fresh_key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(count, pa.int32()), pa.array(n[of], pa.int64()), pa.array(uid[of], pa.int64()),
+                        pa.array(first[of] + start, pa.int64()), pa.array(high, pa.int32()), pa.array([raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)], pa.binary()),
+                    ],
+                    ["key", "content", "windows", "n", "uid", "first", "place", "bytes"],
+                )
+
+    return strings.select("key", "windows", "n", "uid", "first", "place", "bytes").mapInArrow(run, "key long, content long, windows int, n long, uid long, first long, place int, bytes binary")
+
+
 def _sort_shards(strings: DataFrame, width: int) -> DataFrame:
     """Runs of repeated windows of each string: key, content, runs array<struct<s, n>>; strings come dealt by key."""
 
@@ -179,19 +226,39 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     counted = materialise(counted.select("key", "mixed"), "grams")
     maps = [spark.sparkContext.broadcast(_bitmap(x).tobytes()) for x in (counted, counted.filter("mixed"))]
     rows = materialise(_scan(docs, width, gram, *maps), "contexts")
-    groups = rows.groupBy("key", "content", "windows").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "first")).alias("one"), F.first("bytes", ignorenulls=True).alias("bytes")
-    )
-    groups = materialise(groups.join(counted, "key"), "groups")
     same = ["key", "content", "windows"]
-    copies = rows.select("uid", "first", *same).join(groups.filter("n > 1").select(*same), same, "left_semi").select("uid", F.col("first").alias("s"), (F.col("first") + F.col("windows") + width - 1).alias("e"))
-    differing = groups.filter("mixed").select("key", "content", "bytes")
-    total = differing.agg(F.coalesce(F.sum(F.length("bytes") + 1), F.lit(0))).first()[0]
+    span = ["uid", F.col("first").alias("s"), (F.col("first") + F.col("windows") + width - 1).alias("e")]
+
+    def grouped(x: DataFrame, n) -> DataFrame:
+        """One row for each distinct context, with one place where it stands."""
+        found = x.groupBy(*same).agg(n.alias("n"), F.min(F.struct("uid", "first")).alias("one"), F.first("place").alias("place"), F.first("bytes", ignorenulls=True).alias("bytes"))
+        return found.select(*same, "n", "one.uid", "one.first", "place", "bytes")
+
+    groups = materialise(grouped(rows, F.count(F.lit(1))).join(counted, "key"), "groups")
+    spans = rows.select("uid", "first", *same).join(groups.filter("n > 1").select(*same), same, "left_semi").select(*span)
+    level, ready = groups.filter("mixed").drop("mixed"), []
+    size = 1 << max(0, (width - gram).bit_length() - 2)
+    while size:
+        heavy = materialise(level.groupBy("key").agg(F.sum(F.col("windows") + width).alias("b")).filter(F.col("b") > GRAM_BYTES).select("key"), "heavy")
+        if heavy.isEmpty():
+            break
+        ready.append(level.join(heavy, "key", "left_anti"))
+        pieces = materialise(split_contexts(level.join(heavy, "key", "left_semi"), size, width, gram), "pieces")
+        level = materialise(grouped(pieces, F.sum("n")), "split")
+        again = level.filter("n > 1").select(*same)
+        spans = spans.unionByName(pieces.filter("n = 1").select("uid", "first", *same).join(again, same, "left_semi").select(*span))
+        level = materialise(level.join(level.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "key", "left_semi"), "level")
+        size //= 2
+    # single windows (after size 1) have nothing left to differ in
+    differing = level
+    for x in ready:
+        differing = differing.unionByName(x)
+    total = differing.agg(F.coalesce(F.sum(F.col("windows") + width), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_BYTES))
-    found = _sort_shards(differing.repartition(int(shards), "key"), width)
-    single = groups.filter("n = 1 and mixed").select("key", "content", "one.uid", "one.first")
+    found = _sort_shards(differing.select("key", "content", "bytes").repartition(int(shards), "key"), width)
+    single = differing.filter("n = 1").select("key", "content", "uid", "first")
     found = found.join(single, ["key", "content"]).select("uid", (F.col("first") + F.col("s")).alias("s"), (F.col("first") + F.col("s") + F.col("n") + width - 1).alias("e"))
-    return copies.unionByName(found)
+    return spans.unionByName(found)
 
 
 def merge_spans(spans: list) -> list[tuple[int, int]]:

@@ -55,3 +55,26 @@ def test_cut_texts_keeps_characters_and_columns(spark, docs_of):
     assert substring.cut_texts(docs).columns == docs.columns
     assert out[1].text == "one  end" and out[2].text == "" and out[3].text is None and out[4].text == "short"
     assert substring.digests(docs.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("length", [15, 27, 39])
+def test_contexts_of_a_common_passage_are_split(spark, docs_of, monkeypatch, length):
+    """A passage shorter than a window in every text: its gram's differing contexts never meet in one shard."""
+    monkeypatch.setattr(substring, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(substring, "GRAM_BYTES", 1000)
+    most = []
+    plain = substring._sort_shards
+
+    def spy(strings, width):
+        most.extend(r["b"] for r in strings.selectExpr("key", "length(bytes) b").groupBy("key").agg({"b": "sum"}).withColumnRenamed("sum(b)", "b").collect())
+        return plain(strings, width)
+
+    monkeypatch.setattr(substring, "_sort_shards", spy)
+    rnd = random.Random(length)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    passage, sides = text(length), [text(60) for _ in range(4)]
+    docs = [(i, text(60) + passage + text(60)) for i in range(150)]
+    docs += [(200 + i, text(20) + rnd.choice(sides) + passage + rnd.choice(sides) + text(20)) for i in range(12)] + [(300, docs[0][1])]
+    got = substring.digests(docs_of(docs), width=40, gram=12)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, 40)
+    assert max(most, default=0) <= 1000
