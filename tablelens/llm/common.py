@@ -67,10 +67,15 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
-    """Number the rows of a file scan (the same numbers on every rerun of a task)."""
+    """Number the rows of a scan that is read once; another scan may be cut into other partitions and number them anew."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered_once(df: DataFrame, name: str = "_uid") -> DataFrame:
+    """Number the rows and write them to the shared folder: every scan of the result has the same numbers."""
+    return materialise(with_uid(df, name), "numbered")
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null id: as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

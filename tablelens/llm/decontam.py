@@ -12,7 +12,7 @@ Cases: null and empty texts have no words; an item without words matches
 nothing; a null item_id counts as an item and is written as the empty text;
 repeated rows of documents each get their row, repeated items count once; an
 empty benchmark marks nothing; other columns of either table are not read.
-``documents`` must be a file scan (rows are numbered for the joins).
+Rows are numbered for the joins, and the numbers are written once.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, prefix_hash, runs, span_hash, with_uid, words_of
+from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, numbered_once, prefix_hash, runs, span_hash, with_uid, words_of
 
 SPAN = 10
 GRAM = 5
@@ -161,7 +161,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that share no window with any item."""
     uid = fresh(docs, "_uid")
-    numbered = with_uid(docs, uid)
+    numbered = numbered_once(docs, uid)
     hit = _judged(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), benchmark).filter("contaminated").select(F.col("_uid").alias(uid))
     hit = materialise(hit, "contaminated")  # its size is known now: Spark sends few rows around instead of shuffling the texts
     return numbered.join(hit, uid, "left_anti").drop(uid)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import connected_components, fresh, materialise, with_uid
+from tablelens.llm.common import connected_components, fresh, materialise, numbered_once
 
 SHINGLE = 3
 RADIUS = 2
@@ -114,7 +114,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each component, with all columns: that with the smallest doc_id (nulls last, then the first in the scan)."""
     uid = fresh(docs, "_uid")
-    numbered = with_uid(docs, uid)
+    numbered = numbered_once(docs, uid)
     base = materialise(fingerprints(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), shingle, ("_uid", "doc_id")), "simhash")
     of, _ = _components(base, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_uid"))

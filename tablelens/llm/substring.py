@@ -21,7 +21,7 @@ only save work: what passes them by chance is dropped by the exact joins.
 Cases: a null text counts as empty; texts under 200 bytes lose nothing but may
 hold nothing that others match either; repeated rows are texts like any others
 (so both lose all); an empty table gives no rows; other columns are not read.
-``documents`` must be a file scan (rows are numbered for the joins).
+Rows are numbered and written once; every scan and join reads that table.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm import induced
-from tablelens.llm.common import CHUNK, CODES, fresh, materialise, mix, powers, prefix_hash, runs, span_hash, with_uid
+from tablelens.llm.common import CHUNK, CODES, fresh, materialise, mix, numbered_once, powers, prefix_hash, runs, span_hash
 
 WIDTH = 200
 GRAM = 64
@@ -274,7 +274,7 @@ def merge_spans(spans: list) -> list[tuple[int, int]]:
 def _with_spans(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, str]:
     """The documents' rows with their covered spans (array, null if none), and that column's name."""
     uid, name = fresh(docs, "_uid"), fresh(docs, "_spans")
-    numbered = with_uid(docs, uid)
+    numbered = numbered_once(docs, uid)
     spans = repeated_spans(numbered.select(F.col(uid).alias("_uid"), F.coalesce("text", F.lit("")).alias("text")), width, gram)
     per = materialise(spans.groupBy("uid").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
     per = per.select(F.col("uid").alias(uid), F.col("spans").alias(name))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage
 
-from tablelens.llm.common import materialise, new_folder, with_uid
+from tablelens.llm.common import materialise, new_folder, numbered_once
 
 SPLIT = 64 << 20
 ROLL = 256 << 20
@@ -361,7 +361,7 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Payloads of fewer than ``least_bytes`` bytes are all responses.
     """
-    rows = with_uid(pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")))
+    rows = numbered_once(pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")))
     narrow = rows.select("_uid", "page_id", F.octet_length("payload").alias("n"), base32_sha1(F.col("payload")).alias("payload_digest"))
     narrow = materialise(narrow, "digests")
     best = narrow.filter(F.col("n") >= least_bytes).groupBy("payload_digest").agg(F.max(F.struct(F.col("page_id"), (-F.col("_uid")).alias("u"))).alias("m"))
