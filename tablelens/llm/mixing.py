@@ -72,7 +72,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: st
 
 def cut_texts(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix as texts: doc_id, text, epoch (0, 1, ...); the document at the cut keeps its first words only."""
-    rows = docs.select("doc_id", "source", "text").join(mixed.select("doc_id", "size", "taken", "epochs"), "doc_id").filter("taken > 0")
+    # rows of equal id, source and size are paired one to one; which of them meet makes no difference to the budgets
+    same, one = ["doc_id", "source", "size"], F.lit(1).cast("long")
+    sized = docs.select("doc_id", "source", "text", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_t"))
+    texts = with_prefix(in_blocks(sized, same, ["_t"], "mix-texts"), same, ["_t"], one, "_k").select(*same, "text", "_k")
+    takes = with_prefix(in_blocks(mixed.select(*same, "taken", "epochs"), same, ["taken"], "mix-takes"), same, ["taken"], one, "_k")
+    takes = takes.select(*[F.col(c).alias(f"_m_{c}") for c in [*same, "_k"]], "taken", "epochs").filter("taken > 0")
+    pair = F.col("_k") == F.col("_m__k")
+    for c in same:
+        pair = pair & F.col(c).eqNullSafe(F.col(f"_m_{c}"))
+    rows = texts.join(takes, pair)
     part = F.col("taken") - F.col("epochs") * F.col("size")
     whole = rows.filter("epochs > 0").select("doc_id", "source", "text", F.explode(F.sequence(F.lit(0), (F.col("epochs") - 1).cast("int"))).alias("epoch"))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))

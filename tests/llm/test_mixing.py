@@ -55,3 +55,17 @@ def test_cut_texts_take_what_the_mix_says(spark, docs_of):
     for r in mixing.cut_texts(docs, mixed).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + len(r.text.split())
     assert got == {r.doc_id: r.taken for r in mixed.collect() if r.taken}
+
+
+def test_cut_texts_with_null_and_repeated_ids(spark, docs_of):
+    rows = [(i % 3, " ".join(f"w{j}" for j in range(4 + i % 5)), "en", "ab"[i % 2]) for i in range(12)]
+    rows += [(None, "p q r", "en", "a"), (None, "s t u", "en", "a"), (None, "x y", "en", None), (1, "p q", "en", "a"), (1, "p q", "en", "a")]
+    docs = docs_of(rows)
+    mixed = mixing.mix(docs)
+    taken, got = {}, {}
+    for r in mixed.collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    found = mixing.cut_texts(docs, mixed).collect()
+    for r in found:
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    assert got == taken and any(r.doc_id is None for r in found)
