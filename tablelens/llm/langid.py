@@ -4,8 +4,8 @@ A model holds, for each language of the learning rows, log-probabilities of
 byte trigrams (word boundaries included) and of whole words, hashed to
 ``BUCKETS`` each, and which scripts its words are written in; all learning rows
 are counted.  A word's score for a language is the sum over its trigrams and the
-word; languages that don't use the word's script (that of its first character)
-are out.  Viterbi finds the labelling of the text's words with the best total
+word; languages no learning word of which is in the word's script (that of its
+first letter) are out.  Viterbi finds the labelling of the text's words with the best total
 score, where each change of language costs ``SWITCH``.  The language with the
 most letters is the text's, and its share of the letters the score.
 
@@ -31,7 +31,6 @@ from tablelens.llm.common import LETTERS, LOWER, fold, prefix_hash, runs, span_h
 BITS = 15
 BUCKETS = 1 << BITS
 SWITCH = 8.0
-SCRIPT_SHARE = 0.01  # a language uses a script in at least this share of its words
 OUT = -50.0
 GROUP_WORDS = 2_000_000  # words that go through Viterbi together
 
@@ -111,7 +110,11 @@ class Words:
         is_letter[lead] = letter[_code_points(data, lead)]
         total = np.concatenate([[0], np.cumsum(is_letter)])
         self.letters = total[self.ends] - total[self.starts]
-        self.scripts = script[_code_points(data, self.starts)].astype(np.int64)
+        at = np.flatnonzero(is_letter)
+        self.scripts = np.zeros(len(self.starts), dtype=np.int64)
+        if len(at):
+            first = at[np.minimum(np.searchsorted(at, self.starts), len(at) - 1)]
+            self.scripts = np.where(self.letters > 0, script[_code_points(data, first)], 0).astype(np.int64)
 
 
 class Model:
@@ -121,7 +124,7 @@ class Model:
         tri, word, script = counts[:, :BUCKETS], counts[:, BUCKETS : 2 * BUCKETS], counts[:, 2 * BUCKETS :]
         logp = lambda c: np.log((c + 0.5) / (c.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)).T.astype(np.float32)
         self.tri, self.word = logp(tri), logp(word)
-        used = script >= SCRIPT_SHARE * np.maximum(script.sum(axis=1, keepdims=True), 1)
+        used = script > 0
         used[:, ~used.any(axis=0)] = True
         self.script = np.where(used.T, 0, OUT).astype(np.float32)
 

@@ -53,3 +53,18 @@ def test_scripts_spans_and_edge_cases(spark, docs_of, monkeypatch):
     none = langid.identify(df.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert langid.identify(df.filter("false")).count() == 0
+
+
+def test_rare_script_of_a_language_and_quoted_words(spark, docs_of):
+    docs = [(i, "\u201cthe cat\u201d sat on \u201cthe mat\u201d with this", "en", "s") for i in range(0, 800, 2)]
+    docs += [(i, "мачка седи на прозору и то је добро", "sr", "s") for i in range(1, 800, 2)]
+    docs += [(i, "le chat est dans la maison avec une souris", "fr", "s") for i in range(2000, 2400)]
+    docs += [(3000 + i, "mačka sedi na prozoru i to je dobro", "sr", "s") for i in range(4)]
+    docs += [(4000, "mačka sedi na prozoru i to je dobro", None, "s"), (4001, "\u201cle chat\u201d \u201cest dans la maison\u201d", None, "s")]
+    by = {r.doc_id: r for r in langid.identify(docs_of(docs)).filter("doc_id >= 4000").collect()}
+    assert by[4000].lang_pred == "sr"
+    assert by[4001].lang_pred == "fr"
+    raw = "\u201cle \u00bfqu\u00e9 \u2014 \u201cкот".encode()
+    words = langid.Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    names = [None, *langid.SCRIPTS]
+    assert [names[k] for k in words.scripts] == ["latin", "latin", None, "cyrillic"]
