@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, decontam, langid, merkle, mixing, quality, simhash, substring, toxicity, warc
+from tablelens.llm import chat, decontam, langid, merkle, mixing, quality, simhash, spelling, substring, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more frequent spelling and the root of its chain."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle": op9_merkle,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling": op11_spelling,
 }
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
@@ -79,4 +85,5 @@ ORACLES = {
     "op7_warc": warc.ORACLE,
     "op8_chat_formatting": chat.ORACLE,
     "op9_merkle": merkle.ORACLE,
+    "op11_spelling": spelling.ORACLE,
 }
