@@ -8,6 +8,7 @@ once, so no task ever holds more than one Arrow batch and one run.
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -222,6 +223,18 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * down[starts])
 
 
+def pieces(text: bytes, gap: re.Pattern, limit: int = CHUNK) -> Iterator[bytes]:
+    """A text in pieces of about ``limit`` bytes, cut just before a byte of ``gap``: no word is cut."""
+    at = 0
+    while len(text) - at > limit:
+        cut = gap.search(text, at + limit)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
 def word_class(separator) -> np.ndarray:
     """Table over byte values: is it part of a word?"""
     return np.array([not separator(b) for b in range(256)], dtype=bool)

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import materialise, mix
+from tablelens.llm.common import materialise, mix, pieces
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -52,6 +52,7 @@ PROBES = 4
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
+_GAP = re.compile(rb"[\x00-\x60\x7b-\x7f]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -61,13 +62,14 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 def words_of(doc_id, text: bytes, run: re.Pattern, edit: int = EDIT) -> Iterator[bytes]:
     """The lower-cased runs of one text that may be words, edited where crc32 says so."""
     seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    for w in run.findall(text.translate(_LOWER)):
-        h = zlib.crc32(w, seed)
-        if h % edit == 0:
-            s = w.decode("utf-8")
-            at = h % len(s)
-            w = (s[:at] + s[at + 1 :]).encode("utf-8")
-        yield w
+    for piece in pieces(text.translate(_LOWER), _GAP):
+        for w in run.findall(piece):
+            h = zlib.crc32(w, seed)
+            if h % edit == 0:
+                s = w.decode("utf-8")
+                at = h % len(s)
+                w = (s[:at] + s[at + 1 :]).encode("utf-8")
+            yield w
 
 
 def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, edit: int = EDIT) -> DataFrame:
