@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelens.llm import chat, decontam, langid, merkle, mixing, quality, search, simhash, spelling, substring, toxicity, warc
+from tablelens.llm import chat, decontam, langid, merkle, mixing, quality, recurrent, search, simhash, spelling, substring, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a recurrent model and under token counts."""
+    return recurrent.score_all(_table(spark, sf_dir, "documents"))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_merkle": op9_merkle,
     "op10_toxicity": op10_toxicity,
     "op11_spelling": op11_spelling,
+    "op12_language_model": op12_language_model,
     "op13_search": op13_search,
 }
 ORACLES = {

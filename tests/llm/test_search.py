@@ -47,6 +47,23 @@ def test_equals_brute_force(spark, docs_of, monkeypatch, sizes):
     assert sorted((tuple(r) for r in got.select("item_id", "rank", "doc_id", "score").collect()), key=str) == brute(docs, items, 7)
 
 
+@pytest.mark.parametrize("block, window", [(1, 1), (2, 5), (4, 64), (128, 4096)])
+def test_shards_with_carried_heap(monkeypatch, block, window):
+    monkeypatch.setattr(search, "BLOCK", block)
+    monkeypatch.setattr(search, "WINDOW", window)
+    rnd = np.random.default_rng(block)
+    weights, every, heap = [1, 30, 500, 4000, 0], [], search.Heap(9)
+    for part in range(4):
+        n = 90
+        norms, ids, null = rnd.integers(50, 60, n), rnd.permutation(n) // 2 + 100 * part, rnd.random(n) < 0.1
+        tf = rnd.integers(0, 3, (n, 5)) * (rnd.random((n, 5)) < [1, 0.7, 0.4, 0.1, 1])
+        docs, kinds = np.nonzero(tf)
+        search.search(search.shard(docs, kinds, tf[docs, kinds], norms, weights), [0, 1, 2, 3, 4], ids, null, heap)
+        score = sum(np.where(tf[:, t] > 0, search.impacts(weights[t], tf[:, t], norms), 0) for t in range(5))
+        every += [(-int(s), bool(x), 0 if x else int(i)) for s, i, x in zip(score, ids, null, strict=True) if s > 0]
+    assert [(-int(s), bool(x), 0 if x else int(i)) for s, i, x in zip(heap.score, heap.ids, heap.null, strict=True)] == sorted(every)[:9]
+
+
 def test_blocks_are_rejected_unread(monkeypatch):
     monkeypatch.setattr(search, "WINDOW", 256)
     rnd = np.random.default_rng(1)
