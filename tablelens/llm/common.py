@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,7 +57,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` whose successors are written: nothing may read them any more."""
+    for df in written:
+        delete_folder(df.sparkSession, df._written_at)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -82,6 +91,65 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+# ---------------------------------------------------------------- sets of keys
+
+
+def hash_keys(*columns: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of some long columns."""
+    out = np.zeros(len(columns[0]), dtype=_U)
+    for c in columns:
+        out = mix(out * _U(0x9E3779B97F4A7C15) + np.ascontiguousarray(c).view(_U) + _U(1))
+    return out
+
+
+class KeySet:
+    """A bitmap of hashed keys in every task: what is not in it is surely not among the keys.
+
+    32 bits for each key of the (written) table, 2**15 at least and 2**most_bits
+    at most: beyond that more rows pass by chance, so what passes still needs an
+    exact join, and nothing but work depends on the size.
+    """
+
+    def __init__(self, keys: DataFrame, most_bits: int = 29):
+        names = keys.columns
+        self.bits = bits = min(most_bits, max(15, (32 * max(1, keys.count()) - 1).bit_length()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h = hash_keys(*(batch.column(c).to_numpy(zero_copy_only=False) for c in names))
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(h >> _U(64 - bits)).astype(np.int64))], ["b"])
+
+        rows = keys.mapInArrow(run, "b long").groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+        out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for k, part in rows.toLocalIterator():  # in rows of 4 KB
+            # bucket 1 holds values 1 to 32768, bucket 0 holds 0 and below
+            got = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(part), dtype=np.uint8), bitorder="little")).astype(np.int64)
+            value = got + (int(k) - 1) * 32768 + 1 if k > 0 else -got
+            np.bitwise_or.at(out, value >> 3, (1 << (value & 7)).astype(np.uint8))
+        self.data = keys.sparkSession.sparkContext.broadcast(out.tobytes())
+
+    def may_have(self, *columns: np.ndarray) -> np.ndarray:
+        """Whether each row may be among the keys (runs in tasks)."""
+        seen = np.frombuffer(self.data.value, dtype=np.uint8)
+        b = (hash_keys(*columns) >> _U(64 - self.bits)).astype(np.int64)
+        return (seen[b >> 3] >> (b & 7).astype(np.uint8)) & 1 > 0
+
+    def column(self, key: Column) -> Column:
+        """The same for a long column; only that column goes to Python."""
+
+        @F.pandas_udf("boolean")
+        def may_have(c: pd.Series) -> pd.Series:
+            return pd.Series(self.may_have(c.to_numpy(dtype=np.int64)))
+
+        return may_have(key)
+
+
+def without(df: DataFrame, uid: str, dropped: DataFrame) -> DataFrame:
+    """The rows of a written table whose number is not in ``dropped`` (written, one column): only rows that may be meant are shuffled."""
+    meant = KeySet(dropped).column(F.col(uid))
+    return df.filter(~meant).unionByName(df.filter(meant).join(dropped.select(F.col(dropped.columns[0]).alias(uid)), uid, "left_anti"))
+
+
 # ---------------------------------------------------------------- prefix sums
 
 

@@ -15,8 +15,11 @@
 4. Covered spans are merged per text and cut out.
 
 Every window lies in one context, so each is compared with all equal ones, in
-its own text as in others.  Two fixed-size bitmaps of gram hashes (``BITMAP_BITS``)
-only save work: what passes them by chance is dropped by the exact joins.
+its own text as in others.  Contexts are written as places and hashes; the bytes
+are read again from the texts for one place of each context that is sorted.
+Bitmaps sized by counted keys (``KeySet``) only save work: what passes them by
+chance is dropped by the exact joins.  Tables are deleted once their successors
+are written.
 
 Cases: a null text counts as empty; texts under 200 bytes lose nothing but may
 hold nothing that others match either; repeated rows are texts like any others
@@ -35,11 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm import induced
-from tablelens.llm.common import CHUNK, CODES, fresh, materialise, mix, numbered_once, powers, prefix_hash, runs, span_hash
+from tablelens.llm.common import CHUNK, CODES, KeySet, discard, fresh, materialise, mix, numbered_once, powers, prefix_hash, runs, span_hash
 
 WIDTH = 200
 GRAM = 64
-BITMAP_BITS = 27  # 16 MB, whatever the corpus
 SHARD_BYTES = 2 << 20
 GRAM_BYTES = SHARD_BYTES // 8  # of one gram's differing contexts; more are split
 QUEUE_MEMORY = 48 << 20  # of a shard's queues; the rest of them lies on disk
@@ -97,51 +99,37 @@ def contexts(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: in
     return text, first, last - first + 1, grams[at[first]].view(np.int64), content.view(np.int64), at[first] - first
 
 
-def _bit(key: np.ndarray) -> np.ndarray:
-    return (key.view(_U) >> _U(64 - BITMAP_BITS)).astype(np.int64)
+def _scan(docs: DataFrame, width: int, gram: int, wanted: KeySet | None = None, places: KeySet | None = None) -> DataFrame:
+    """Contexts of numbered texts.
 
-
-def _has(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    b = _bit(np.ascontiguousarray(key))
-    return (bitmap[b >> 3] >> (b & 7).astype(np.uint8)) & 1 > 0
-
-
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for each key's leading bits: at most 2**12 rows of 4 KB reach the driver, a part at a time."""
-    bit = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
-    rows = keys.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
-    out = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
-    for k, bits in rows.toLocalIterator():
-        got = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(bits), dtype=np.uint8), bitorder="little")).astype(np.int64)
-        value = got + (int(k) - 1) * 32768 + 1 if k > 0 else -got
-        np.bitwise_or.at(out, value >> 3, (1 << (value & 7)).astype(np.uint8))
-    return out
-
-
-def _scan(docs: DataFrame, width: int, gram: int, repeated=None, mixed=None) -> DataFrame:
-    """Contexts of numbered texts.  Without bitmaps key and content only; else those that ``repeated`` has, with bytes where ``mixed`` has them."""
+    Without sets of keys only their grams; with ``wanted`` those whose gram it may have; with ``places`` the bytes of
+    those that start where it may have them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.frombuffer(x.value, dtype=np.uint8) for x in (repeated, mixed)] if repeated is not None else None
         for batch in batches:
             uid = batch.column("_uid").to_numpy(zero_copy_only=False)
             for row, data, offsets, at in _blocks(batch.column("text"), width):
                 text, first, count, key, content, place = contexts(data, offsets, width, gram)
-                if maps is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(content, pa.int64())], ["key", "content"])
+                if wanted is None and places is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64())], ["key"])
                     continue
-                keep = np.flatnonzero(_has(maps[0], key))
-                text, first, count, key, content, place = (x[keep] for x in (text, first, count, key, content, place))
-                want = _has(maps[1], key).tolist()
-                raw = data.tobytes() if any(want) else b""
-                strings = [raw[f : f + c + width - 1] if y else None for f, c, y in zip(first.tolist(), count.tolist(), want, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(uid[row + text], pa.int64()), pa.array(first - offsets[text] + at, pa.int64()), pa.array(count, pa.int32()), pa.array(key, pa.int64()), pa.array(content, pa.int64()), pa.array(place, pa.int32()), pa.array(strings, pa.binary())],
-                    ["uid", "first", "windows", "key", "content", "place", "bytes"],
-                )
+                where = uid[row + text], first - offsets[text] + at
+                keep = np.flatnonzero(wanted.may_have(key) if places is None else places.may_have(*where))
+                head = [pa.array(where[0][keep], pa.int64()), pa.array(where[1][keep], pa.int64())]
+                if places is None:
+                    yield pa.RecordBatch.from_arrays(
+                        [*head, pa.array(count[keep], pa.int32()), pa.array(key[keep], pa.int64()), pa.array(content[keep], pa.int64())],
+                        ["uid", "first", "windows", "key", "content"],
+                    )
+                    continue
+                raw = data.tobytes() if len(keep) else b""
+                strings = [raw[f : f + c + width - 1] for f, c in zip(first[keep].tolist(), count[keep].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*head, pa.array(place[keep], pa.int32()), pa.array(strings, pa.binary())], ["uid", "first", "place", "bytes"])
 
-    schema = "key long, content long" if repeated is None else "uid long, first long, windows int, key long, content long, place int, bytes binary"
-    return docs.mapInArrow(run, schema)
+    if places is not None:
+        return docs.mapInArrow(run, "uid long, first long, place int, bytes binary")
+    return docs.mapInArrow(run, "key long" if wanted is None else "uid long, first long, windows int, key long, content long")
 
 
 def split_contexts(strings: DataFrame, size: int, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -220,34 +208,41 @@ def _sort_shards(strings: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """(uid, s, e): covered byte spans, unmerged, of numbered texts (_uid, text)."""
-    spark = docs.sparkSession
-    counted = _scan(docs, width, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min("content") != F.max("content")).alias("mixed")).filter("n > 1")
-    counted = materialise(counted.select("key", "mixed"), "grams")
-    maps = [spark.sparkContext.broadcast(_bitmap(x).tobytes()) for x in (counted, counted.filter("mixed"))]
-    rows = materialise(_scan(docs, width, gram, *maps), "contexts")
-    same = ["key", "content", "windows"]
+    """(uid, spans: unmerged covered byte spans) of the numbered texts (_uid, text) that have any; a written table."""
+    counted = materialise(_scan(docs, width, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "grams")
+    rows = materialise(_scan(docs, width, gram, wanted=KeySet(counted)), "contexts")
+    discard(counted)
+    same = ["key", "content"]
     span = ["uid", F.col("first").alias("s"), (F.col("first") + F.col("windows") + width - 1).alias("e")]
 
-    def grouped(x: DataFrame, n) -> DataFrame:
+    def grouped(x: DataFrame, n, *more) -> DataFrame:
         """One row for each distinct context, with one place where it stands."""
-        found = x.groupBy(*same).agg(n.alias("n"), F.min(F.struct("uid", "first")).alias("one"), F.first("place").alias("place"), F.first("bytes", ignorenulls=True).alias("bytes"))
-        return found.select(*same, "n", "one.uid", "one.first", "place", "bytes")
-
-    groups = materialise(grouped(rows, F.count(F.lit(1))).join(counted, "key"), "groups")
-    spans = rows.select("uid", "first", *same).join(groups.filter("n > 1").select(*same), same, "left_semi").select(*span)
-    level, ready = groups.filter("mixed").drop("mixed"), []
+        found = x.groupBy(*same).agg(n.alias("n"), F.first("windows").alias("windows"), F.min(F.struct("uid", "first")).alias("one"), *more)
+        return found.select(*same, "windows", "n", "one.uid", "one.first", *(c for c in ("place", "bytes") if c in found.columns))
+
+    def differing_of(x: DataFrame) -> DataFrame:
+        """Contexts whose gram has others."""
+        return x.join(x.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "key", "left_semi")
+
+    groups = materialise(grouped(rows, F.count(F.lit(1))), "groups")
+    spans = [rows.join(groups.filter("n > 1").select(*same), same, "left_semi").select(*span)]
+    mixed = materialise(differing_of(groups), "mixed")
+    at = mixed.select("uid", "first")
+    level = materialise(mixed.join(_scan(docs, width, gram, places=KeySet(at)), ["uid", "first"]), "level")
+    used, ready = [rows, groups, mixed, level], []
     size = 1 << max(0, (width - gram).bit_length() - 2)
     while size:
         heavy = materialise(level.groupBy("key").agg(F.sum(F.col("windows") + width).alias("b")).filter(F.col("b") > GRAM_BYTES).select("key"), "heavy")
+        used.append(heavy)
         if heavy.isEmpty():
             break
         ready.append(level.join(heavy, "key", "left_anti"))
         pieces = materialise(split_contexts(level.join(heavy, "key", "left_semi"), size, width, gram), "pieces")
-        level = materialise(grouped(pieces, F.sum("n")), "split")
-        again = level.filter("n > 1").select(*same)
-        spans = spans.unionByName(pieces.filter("n = 1").select("uid", "first", *same).join(again, same, "left_semi").select(*span))
-        level = materialise(level.join(level.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "key", "left_semi"), "level")
+        split = materialise(grouped(pieces, F.sum("n"), F.first("place").alias("place"), F.first("bytes").alias("bytes")), "split")
+        again = split.filter("n > 1").select(*same)
+        spans.append(pieces.filter("n = 1").join(again, same, "left_semi").select(*span))
+        level = materialise(differing_of(split), "level")
+        used += [pieces, split, level]
         size //= 2
     # single windows (after size 1) have nothing left to differ in
     differing = level
@@ -258,7 +253,11 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     found = _sort_shards(differing.select("key", "content", "bytes").repartition(int(shards), "key"), width)
     single = differing.filter("n = 1").select("key", "content", "uid", "first")
     found = found.join(single, ["key", "content"]).select("uid", (F.col("first") + F.col("s")).alias("s"), (F.col("first") + F.col("s") + F.col("n") + width - 1).alias("e"))
-    return spans.unionByName(found)
+    for x in spans:
+        found = found.unionByName(x)
+    out = materialise(found.groupBy("uid").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    discard(*used)
+    return out
 
 
 def merge_spans(spans: list) -> list[tuple[int, int]]:
@@ -276,9 +275,11 @@ def _with_spans(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, str]
     uid, name = fresh(docs, "_uid"), fresh(docs, "_spans")
     numbered = numbered_once(docs, uid)
     spans = repeated_spans(numbered.select(F.col(uid).alias("_uid"), F.coalesce("text", F.lit("")).alias("text")), width, gram)
-    per = materialise(spans.groupBy("uid").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
-    per = per.select(F.col("uid").alias(uid), F.col("spans").alias(name))
-    return numbered.join(per.hint("shuffle_hash"), uid, "left").drop(uid), name
+    # only texts that may have spans are shuffled to meet them
+    meant = KeySet(spans.select("uid")).column(F.col(uid))
+    per = spans.select(F.col("uid").alias(uid), F.col("spans").alias(name))
+    plain = numbered.filter(~meant).withColumn(name, F.lit(None).cast(per.schema[name].dataType))
+    return numbered.filter(meant).join(per, uid, "left").unionByName(plain).drop(uid), name
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
