@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage
 
-from tablelens.llm.common import materialise, new_folder, numbered_once
+from tablelens.llm.common import KeySet, materialise, new_folder, numbered_once
 
 SPLIT = 64 << 20
 ROLL = 256 << 20
@@ -167,22 +167,22 @@ def _gzip_records(src: _Source, begin: int, stop: int, wanted, payload: bool) ->
     while pos < min(stop, src.size):
         inflate = zlib.decompressobj(31)
         size = _skip_lengths(src.get(pos, 64))
-        at, out, head = pos, b"", None
+        at, out, head = pos, bytearray(), None
         while not inflate.eof and at < src.size:
             piece = src.get(at, 2048 if head is None else 1 << 18)
             at += len(piece)
-            out += inflate.decompress(piece)
+            out += inflate.decompress(piece)  # grows in place
             if head is None and (end := out.find(b"\r\n\r\n")) >= 0:
-                head = _parse(out[:end])
-                out = out[end + 4 :]
+                head = _parse(bytes(out[:end]))
+                del out[: end + 4]
                 if size and not wanted(head):
                     break
                 if size and not payload and (b"\r\n\r\n" in out or inflate.eof):
                     break
             if head is not None and not payload and len(out) > 4096:
-                out = out[:4096]  # headers of the HTTP response only
+                del out[4096:]  # headers of the HTTP response only
         if head is not None and wanted(head):
-            yield head, out[: int(head.get("content-length", 0))]
+            yield head, bytes(memoryview(out)[: int(head.get("content-length", 0))])
         pos = pos + size if size else at - len(inflate.unused_data)
 
 
@@ -361,18 +361,38 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Payloads of fewer than ``least_bytes`` bytes are all responses.
     """
-    rows = numbered_once(pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")))
-    narrow = rows.select("_uid", "page_id", F.octet_length("payload").alias("n"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    narrow = materialise(narrow, "digests")
-    best = narrow.filter(F.col("n") >= least_bytes).groupBy("payload_digest").agg(F.max(F.struct(F.col("page_id"), (-F.col("_uid")).alias("u"))).alias("m"))
-    best = best.select(F.col("payload_digest").alias("_d"), F.col("m.page_id").alias("_to"), (-F.col("m.u")).alias("_first"))
-    decided = narrow.join(best, (F.col("payload_digest") == F.col("_d")) & (F.col("n") >= least_bytes) & (F.col("_uid") != F.col("_first")), "left")
-    decided = decided.select("_uid", "payload_digest", F.col("_first").isNotNull().alias("_again"), F.col("_to").alias("refers_to"), F.col("_first"))
-    name = lambda c: F.concat(F.lit("<urn:uuid:"), F.regexp_replace(F.md5(F.concat(F.lit("page-"), c.cast("string")).cast("binary")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
-    return rows.join(decided, "_uid").select(
-        "page_id", "url", "payload", "payload_digest", F.when(F.col("_again"), "revisit").otherwise("response").alias("record_type"),
-        F.when(F.col("_again"), F.col("refers_to")).alias("refers_to"), name(F.col("_uid")).alias("record_id"), F.when(F.col("_again"), name(F.col("_first"))).alias("refers_to_id"),
-    )
+    rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
+    rows = rows.withColumn("payload_digest", base32_sha1(F.col("payload")))
+    # (digest, the response's page id, rows with that id) of payloads that occur twice or more
+    each = rows.filter(F.octet_length("payload") >= least_bytes).groupBy("payload_digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    twice = each.groupBy(F.col("payload_digest").alias("_d")).agg(F.sum("n").alias("n"), F.max(F.struct("page_id", F.col("n").alias("ties"))).alias("m")).filter("n > 1")
+    twice = materialise(twice.select("_d", F.col("m.page_id").alias("_to"), F.col("m.ties").alias("_ties"), F.xxhash64("_d").alias("_key")), "twice")
+    # all others are written straight from the scan; only rows that may have an equal are shuffled
+    meant = (F.octet_length("payload") >= least_bytes) & KeySet(twice.select("_key")).column(F.xxhash64("payload_digest"))
+    uuid_of = lambda *parts: F.concat(F.lit("<urn:uuid:"), F.regexp_replace(F.md5(F.concat_ws("-", *parts).cast("binary")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
+
+    def written(x: DataFrame, name: str, again, known) -> DataFrame:
+        """Records of rows: ``again`` where they are revisits, ``known`` where their payload has any."""
+        own = uuid_of(F.lit(name), F.col("page_id").cast("string"), "payload_digest", F.monotonically_increasing_id().cast("string"))
+        first = uuid_of(F.lit("first"), "payload_digest")
+        return x.select(
+            "page_id", "url", "payload", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"),
+            F.when(again, F.col("_to")).alias("refers_to"), F.when(known & ~again, first).otherwise(own).alias("record_id"), F.when(again, first).alias("refers_to_id"),
+        )
+
+    never = F.lit(False)
+    no_page = F.lit(None).cast(rows.schema["page_id"].dataType)
+    out = written(rows.filter(~meant).withColumn("_to", no_page), "alone", never, never)
+    met = rows.filter(meant).join(twice.drop("_key"), F.col("payload_digest") == F.col("_d"), "left")
+    known, best = F.col("_d").isNotNull(), F.col("page_id").eqNullSafe(F.col("_to"))
+    tied = known & best & (F.col("_ties") > 1)
+    out = out.unionByName(written(met.filter(~tied), "met", known & ~best, known))
+    if not twice.filter("_ties > 1").isEmpty():  # rows that share payload and page id are numbered: one is the response
+        equal = numbered_once(met.filter(tied))
+        first = equal.groupBy("_d").agg(F.min("_uid").alias("_first")).withColumnRenamed("_d", "_e")
+        equal = equal.join(first, F.col("_d") == F.col("_e"))
+        out = out.unionByName(written(equal, "tied", F.col("_uid") != F.col("_first"), F.lit(True)))
+    return out
 
 
 def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
