@@ -58,6 +58,32 @@ def hash_rank(
     )
 
 
+def hash_cuts(df: DataFrame, group_cols: list[str], key_col: str, seed, size, prefix_hex: int = 4) -> DataFrame:
+    """Per group, the place (``cut_h``, ``cut_key``) in md5 order of its ``size(n)``-th row, n the rows of the group.
+
+    Rows are counted by group and hash prefix; only the narrow (group, key) rows
+    of the one prefix that holds the cut are ranked, about a 16**prefix_hex-th of
+    the group.  Groups whose size is 0 have NULLs.
+    """
+    h = df.select(*group_cols, F.col(key_col).alias("_key"), seeded_md5(seed, key_col).alias("_h")).withColumn("_b", F.substring("_h", 1, prefix_hex))
+    counts = h.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    whole = Window.partitionBy(*group_cols)
+    upto = F.sum("_bn").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    places = counts.select(*group_cols, "_b", "_bn", upto.alias("_upto"), size(F.sum("_bn").over(whole)).alias("_size"))
+    none = places.groupBy(*group_cols).agg(F.max("_size").alias("_size")) if group_cols else places.agg(F.max("_size").alias("_size"))
+    held = places.filter((F.col("_size") > F.col("_upto") - F.col("_bn")) & (F.col("_size") <= F.col("_upto")))
+    held = held.select(F.col("_b").alias("_b2"), (F.col("_size") - F.col("_upto") + F.col("_bn")).alias("_need"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)])
+    on = F.col("_b") == F.col("_b2")
+    for i, c in enumerate(group_cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    near = h.join(held, on).withColumn("_r", F.row_number().over(Window.partitionBy(*group_cols, "_b").orderBy("_h", "_key")))
+    cut = near.filter(F.col("_r") == F.col("_need")).select(F.col("_h").alias("cut_h"), F.col("_key").alias("cut_key"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)])
+    on = F.lit(True)
+    for i, c in enumerate(group_cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return none.join(cut, on, "left").select(*group_cols, "cut_h", "cut_key") if group_cols else cut.select("cut_h", "cut_key")
+
+
 def top_k(
     df: DataFrame,
     group_cols: list[str],

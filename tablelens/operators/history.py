@@ -2,24 +2,21 @@
 
 History is an append-only table of runs ``(run_id, fingerprint, ts,
 best_model, best_score, <flag booleans>, causes...)``.  Per-dataset counters
-are aggregates over it, never stored state.  Similarity search compares distinct
-query signatures with distinct history signatures in pairs of bounded blocks;
-each pair of blocks keeps its top-k per query, and only those are ranked.
+are aggregates over it, never stored state.  Similarity search is a top-k join
+with upper bounds over cells of like signatures (``similar_records``).
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablelens.functions.blocked import BLOCK_ROWS, block_pairs
 from tablelens.functions.columns import pyround
 from tablelens.functions.ranking import top_k
+from tablelens.session import checkpoint_dir
 
 SUCCESS_SCORE = 0.70
 
@@ -148,77 +145,114 @@ def similarity_expr(a: str, b: str) -> Column:
     return score / F.lit(12.0)
 
 
-def _np_clip(d, cap):
-    return np.maximum(0.0, 1.0 - np.minimum(d / cap, 1.0))
+COMPARED = ["size_bucket", "numeric_ratio", "missing_severity", "imbalance_ratio", "num_classes", "high_dimensional",
+            "high_cardinality_count", "dominant_feature_type", "weak_signal_risk"]
 
 
-def similarity_matrix(q: pd.DataFrame, r: pd.DataFrame) -> np.ndarray:
-    """H7 vectorised: (len(q), len(r)) similarities, same operation order as ``similarity_expr``."""
-    def col(df, f):
-        return df[f].to_numpy()[:, None] if df is q else df[f].to_numpy()[None, :]
+#: Weight of each field that must agree, and (weight, distance of no similarity) of each ratio.
+DISCRETE = {"size_bucket": 1.5, "missing_severity": 1.5, "dominant_feature_type": 1.5, "num_classes": 1.0, "high_dimensional": 1.0, "weak_signal_risk": 1.0}
+RATIOS = {"numeric_ratio": (2.0, 1.0), "imbalance_ratio": (1.5, 8.0), "high_cardinality_count": (1.0, 10.0)}
+#: Range of each ratio that the grid cuts into equal steps; the last step is open.
+GRID = {"numeric_ratio": 1.0, "imbalance_ratio": 16.0, "high_cardinality_count": 20.0}
+CELL_ROWS = 4096
+_SLACK = 1e-9  # sums of bounds and of similarities may differ in their last bits
 
-    def eq(f, w):
-        return np.where(col(q, f) == col(r, f), w, 0.0)
 
-    s = 2.0 * _np_clip(np.abs(col(q, "numeric_ratio").astype(float) - col(r, "numeric_ratio").astype(float)), 1.0)
-    s = s + eq("size_bucket", 1.5)
-    s = s + eq("missing_severity", 1.5)
-    s = s + eq("dominant_feature_type", 1.5)
-    s = s + 1.5 * _np_clip(np.abs(col(q, "imbalance_ratio").astype(float) - col(r, "imbalance_ratio").astype(float)), 8.0)
-    s = s + eq("num_classes", 1.0)
-    s = s + eq("high_dimensional", 1.0)
-    s = s + 1.0 * _np_clip(np.abs(col(q, "high_cardinality_count").astype(float)
-                                  - col(r, "high_cardinality_count").astype(float)), 10.0)
-    s = s + eq("weak_signal_risk", 1.0)
-    return s / 12.0
+def _text_key(cols) -> Column:
+    return F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
 
 
-COMPARED = ["size_bucket", "numeric_ratio", "missing_severity", "imbalance_ratio", "num_classes", "high_dimensional",
-            "high_cardinality_count", "dominant_feature_type", "weak_signal_risk"]
+def _cells(records: DataFrame, steps: int) -> DataFrame:
+    """Records with their group (``_rg``: the discrete fields) and grid cell inside it (``_cell``)."""
+    grid = [F.floor(F.least(F.col(f).cast("double") / F.lit(top), F.lit(1.0)) * steps) for f, top in GRID.items()]
+    return records.withColumn("_rg", _text_key([F.col(f) for f in DISCRETE])).withColumn("_cell", _text_key([F.col("_rg"), *grid]))
+
+
+def _cell_bounds(celled: DataFrame) -> DataFrame:
+    """(_rg, _cell, lo_<ratio>, hi_<ratio>): the range of every ratio inside a cell."""
+    ends = [f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in RATIOS for n, f in (("lo", F.min), ("hi", F.max))]
+    return celled.groupBy("_rg", "_cell").agg(*ends)
+
+
+def _group_pairs(queries: DataFrame, records: DataFrame) -> DataFrame:
+    """(_qg, _rg, agree): groups that agree on a discrete field at least, and the weight they agree on.
+
+    The ratios give at most 4.5 of 12, so a match of 0.45 or more agrees somewhere:
+    groups meet over equal (field, value) pairs, never all with all.
+    """
+    def fields(df, name):
+        group = df.groupBy(_text_key([F.col(f) for f in DISCRETE]).alias(name)).agg(*[F.first(f).alias(f) for f in DISCRETE])
+        each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), F.lit(w).alias("weight")) for f, w in DISCRETE.items()])
+        return group.select(name, F.explode(each).alias("e")).select(name, "e.*")
+
+    met = fields(queries, "_qg").join(fields(records, "_rg").drop("weight"), ["field", "value"])
+    return met.groupBy("_qg", "_rg").agg(F.sum("weight").alias("agree"))
+
+
+def _cell_bound() -> Column:
+    """Upper bound (of 12) of a query's similarity with any record of a cell."""
+    out = F.col("agree")
+    for c, (weight, cap) in RATIOS.items():
+        v = F.col(c).cast("double")
+        gap = F.greatest(F.col(f"lo_{c}") - v, v - F.col(f"hi_{c}"), F.lit(0.0))
+        out = out + F.lit(weight) * _clip_sim(gap, cap)
+    return out
+
+
+def bounded_pairs(queries: DataFrame, groups: DataFrame, cells: DataFrame, floor: str) -> DataFrame:
+    """(query row, _cell, bound): the cells that may hold a record of similarity ``floor`` (a column of queries) or more."""
+    most = sum(w for w, _ in RATIOS.values())
+    near = queries.join(groups, "_qg").filter(F.col("agree") + most >= F.col(floor) * 12 - _SLACK)
+    return near.join(cells, "_rg").withColumn("bound", _cell_bound()).filter(F.col("bound") >= F.col(floor) * 12 - _SLACK)
 
 
 def similar_records(queries: DataFrame, records: DataFrame, query_key: str, record_key: str,
-                    order_col: str, min_similarity: float = 0.45, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    order_col: str, min_similarity: float = 0.45, k: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
     """H8: top-``k`` history records per query profile with similarity >= ``min_similarity``.
 
     ``queries``/``records`` are signature tables (``profile_signature``);
     records also carry ``order_col`` (insertion order, the tie-breaker).
     Queries with equal compared fields are scored once; of records with equal
     ones only the first ``k`` can be among the best.
+
+    A top-k join with upper bounds: records are grouped by their discrete fields
+    and, inside a group, by a grid over the ratios (so many steps that a cell has
+    about ``cell_rows`` records), and every cell keeps the range of each ratio.
+    A first pass scores a query against its best few cells of the two groups that
+    agree most; the ``k``-th best found is a floor.  The second pass scores it
+    against every cell whose bound reaches the floor and no other.  Both tables
+    are written once; nothing is collected or broadcast by hint.
     Output: (query_key, rank, record_key, similarity).
     """
-    q = queries.select(F.col(query_key).alias("_qid"), *COMPARED)
-    distinct = q.groupBy(*COMPARED).agg(F.min("_qid").alias("_rep"))
+    if min_similarity * 12 <= sum(w for w, _ in RATIOS.values()):
+        raise ValueError("min_similarity must be over 0.375, so that every match agrees on a discrete field")
+    checkpoint_dir(queries.sparkSession)
+    q = queries.select(F.col(query_key).alias("_qid"), *COMPARED).withColumn("_same", _text_key([F.col(c) for c in COMPARED])).checkpoint()
+    distinct = q.groupBy("_same").agg(*[F.first(c).alias(c) for c in COMPARED]).withColumn("_qg", _text_key([F.col(f) for f in DISCRETE]))
     r = records.select(F.col(record_key).alias("_rid"), F.col(order_col).alias("_ord"), *COMPARED)
-    r = top_k(r, COMPARED, [F.col("_ord"), F.col("_rid")], k, salt_key=F.xxhash64("_rid")).drop("rank")
-
-    def best(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or rs.empty:
-            return pd.DataFrame({"_rep": [], "_rid": [], "_ord": [], "similarity": []})
-        s = similarity_matrix(qs, rs)
-        s = np.where(s >= min_similarity, s, -np.inf)
-        kk = min(k, s.shape[1])
-        # ties: lower insertion order first
-        order = np.lexsort((np.broadcast_to(rs["_ord"].to_numpy(), s.shape), -s), axis=1)[:, :kk]
-        qi, ri = np.repeat(np.arange(len(qs)), kk), order.reshape(-1)
-        keep = np.isfinite(s[qi, ri])
-        qi, ri = qi[keep], ri[keep]
-        return pd.DataFrame({"_rep": qs["_rep"].to_numpy()[qi], "_rid": rs["_rid"].to_numpy()[ri],
-                             "_ord": rs["_ord"].to_numpy()[ri], "similarity": s[qi, ri]})
-
-    schema = T.StructType([
-        T.StructField("_rep", queries.schema[query_key].dataType), T.StructField("_rid", records.schema[record_key].dataType),
-        T.StructField("_ord", records.schema[order_col].dataType), T.StructField("similarity", T.DoubleType()),
-    ])
-    cand = block_pairs(distinct, r, "_rep", "_rid", best, schema, block_rows)
-    w = Window.partitionBy("_rep").orderBy(F.col("similarity").desc(), F.col("_ord"))  # at most k per block of records
-    ranked = cand.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).drop("_ord")
-    named = distinct.select("_rep", *[F.col(c).alias(f"_c_{c}") for c in COMPARED])
-    cond = F.lit(True)
-    for c in COMPARED:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-    return q.join(named, cond).select("_qid", "_rep").join(ranked, on="_rep").select(
-        F.col("_qid").alias(query_key), "rank", F.col("_rid").alias(record_key), "similarity")
+    r = top_k(r, COMPARED, [F.col("_ord"), F.col("_rid")], k, salt_key=F.xxhash64("_rid")).drop("rank").checkpoint()
+    n = r.count()
+    steps = min(64, max(1, math.ceil((n / cell_rows) ** (1 / 3))))
+    r = _cells(r, steps)
+    cells, groups = _cell_bounds(r), _group_pairs(distinct, r)
+    found = r.select("_cell", "_rid", "_ord", F.struct(*COMPARED).alias("_r"))
+
+    def scored(pairs: DataFrame, floor: str) -> DataFrame:
+        met = pairs.select("_same", floor, "_cell", F.struct(*COMPARED).alias("_q")).join(found, "_cell")
+        return met.select("_same", floor, "_rid", "_ord", similarity_expr("_q", "_r").alias("similarity")).filter(F.col("similarity") >= F.col(floor))
+
+    best = [F.col("similarity").desc(), F.col("_ord"), F.col("_rid")]
+    asked = distinct.withColumn("_floor", F.lit(float(min_similarity)))
+    if n > cell_rows:  # below that one cell's worth of records costs less than finding the floors
+        closest = groups.withColumn("_n", F.row_number().over(Window.partitionBy("_qg").orderBy(F.col("agree").desc(), "_rg"))).filter("_n <= 2").drop("_n")
+        first = bounded_pairs(asked, closest, cells, "_floor")
+        first = first.withColumn("_n", F.row_number().over(Window.partitionBy("_same").orderBy(F.col("bound").desc(), "_cell"))).filter("_n <= 4")
+        reached = top_k(scored(first, "_floor"), ["_same"], best, k, salt_key=F.xxhash64("_rid")).filter(F.col("rank") == k)
+        reached = reached.select("_same", F.col("similarity").alias("_kth"))
+        asked = asked.join(reached, "_same", "left").withColumn("_floor", F.coalesce("_kth", "_floor")).drop("_kth")
+    ranked = top_k(scored(bounded_pairs(asked, groups, cells, "_floor"), "_floor"), ["_same"], best, k, salt_key=F.xxhash64("_rid"))
+    return q.select("_qid", "_same").join(ranked, "_same").select(
+        F.col("_qid").alias(query_key), F.col("rank").cast("long").alias("rank"), F.col("_rid").alias(record_key), "similarity")
 
 
 # ------------------------------------------------------------------ votes and hints

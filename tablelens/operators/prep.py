@@ -34,71 +34,92 @@ def fit_means(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     return {c: row[c] for c in cols}
 
 
-def exact_order_stats(df: DataFrame, col: str, ranks: list[int], n: int, accuracy: int = 10_000,
-                      collect_limit: int = 200_000) -> dict[int, float]:
-    """Values at 0-based ``ranks`` of the non-missing ``col`` (exact, distributed).
-
-    Each round brackets the wanted rank with ``percentile_approx`` (two data
-    values lo <= hi) and counts, in one aggregate, the rows below, at and
-    between them.  If the rank falls on lo's or hi's run of equal values that
-    value is the answer; otherwise only the rows below lo, between lo and hi, or
-    above hi are kept.  Every round therefore ends or drops at least one row (the
-    bracket values are data values).  Once at most ``collect_limit`` rows remain,
-    they are ordered by one window.
+def fit_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000, pivots: int = 200) -> dict[str, float | None]:
+    """Exact median (mean of the two middle values when the count is even) of all columns in three scans.
+
+    Each scan is one aggregate over every column and both middle ranks:
+
+    1. values just below and above the middle (``percentile_approx``) bracket it;
+    2. the rows below, at and inside the bracket are counted, and ``pivots``
+       evenly spaced values inside cut it into narrower ones.  Where the middle
+       falls on an end's run of equal values, that end is the answer;
+    3. the distinct values of the narrow bracket that holds the middle are
+       counted (what lies below it, inside the first, counts as one value), and a
+       running sum finds the ranks.
+
+    About 20 / (accuracy * pivots) of the rows reach the last step as values.  A
+    column whose middle a bracket missed goes through again with open ends, so
+    the result never rests on the approximation.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    v = F.col("v")
-    out = {}
-    for k in ranks:
-        below, sub, size, found = 0, values, n, None
-        while size > collect_limit and found is None:
-            r = k - below  # rank inside ``sub``
-            p = r / max(size - 1, 1)
-            eps = 2.0 / accuracy
-            q = sub.agg(F.percentile_approx("v", [max(p - eps, 0.0), min(p + eps, 1.0)], accuracy).alias("q")).first()["q"]
-            lo, hi = float(q[0]), float(q[1])
-            c = sub.agg(
-                F.count(F.when(v < lo, 1)).alias("lt_lo"), F.count(F.when(v <= lo, 1)).alias("le_lo"),
-                F.count(F.when(v < hi, 1)).alias("lt_hi"), F.count(F.when(v <= hi, 1)).alias("le_hi"),
-            ).first()
-            if c["lt_lo"] <= r < c["le_lo"]:
-                found = lo
-            elif c["lt_hi"] <= r < c["le_hi"]:
-                found = hi
-            elif r < c["lt_lo"]:
-                sub, size = sub.filter(v < lo), c["lt_lo"]
-            elif r >= c["le_hi"]:
-                sub, size, below = sub.filter(v > hi), size - c["le_hi"], below + c["le_hi"]
-            else:
-                sub, size, below = sub.filter((v > lo) & (v < hi)), c["lt_hi"] - c["le_lo"], below + c["le_lo"]
-        if found is not None:
-            out[k] = found
-            continue
-        w = Window.orderBy("v")  # at most collect_limit rows reach this single-partition window
-        row = sub.withColumn("_r", F.row_number().over(w) - 1 + F.lit(below)).filter(F.col("_r") == k).first()
-        out[k] = float(row["v"])
+    v = {c: F.col(f"v{i}") for i, c in enumerate(cols)}
+    numbers = _numbers(df.select(*cols), cols)
+    values = nan_to_null(numbers.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]))
+    eps = min(10.0 / accuracy, 0.5)
+    aggs = [a for c in cols for a in (F.count(v[c]), F.percentile_approx(v[c], [0.5 - eps, 0.5 + eps], accuracy))]
+    row = values.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first() if cols else []
+    size = {c: row[2 * i] for i, c in enumerate(cols)}
+    everything = [float("-inf"), float("inf")]
+    # in a short column the bracket may lie between the two middle rows
+    ends = {c: row[2 * i + 1] if size[c] * eps >= 4 else everything for i, c in enumerate(cols) if size[c]}
+    out: dict[str, float | None] = {c: None for c in cols}
+    todo = list(ends)
+    while todo:
+        found, missed = _middle_values(values, {c: v[c] for c in todo}, {c: ends[c] for c in todo}, size, accuracy, pivots)
+        for c, (lo, hi) in found.items():
+            out[c] = (lo + hi) / 2.0
+        for c in missed:  # the bracket did not hold the middle: open it
+            ends[c] = everything
+        todo = missed
     return out
 
 
-def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact median (mean of the two middle values when the count is even)."""
-    def present(c):
-        keep = F.col(c).isNotNull()
-        if isinstance(df.schema[c].dataType, FLOAT_TYPES):
-            keep = keep & ~F.isnan(F.col(c))  # isnan(NULL) is false, so test NULL first
-        return keep
-
-    counts = df.agg(*[F.count(F.when(present(c), 1)).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        n = counts[c]
-        if not n:
-            out[c] = None
+def _middle_values(values: DataFrame, v: dict, ends: dict, size: dict, accuracy: int, pivots: int) -> tuple[dict, list]:
+    """Scans 2 and 3 of ``fit_medians``: both middle values of each column, and the columns whose bracket missed them."""
+    inside = {c: F.when((v[c] > ends[c][0]) & (v[c] < ends[c][1]), v[c]) for c in v}
+    grid = [j / pivots for j in range(pivots + 1)]
+    aggs = []
+    for c in v:
+        lo, hi = (F.lit(x) for x in ends[c])
+        aggs += [F.count(F.when(v[c] < lo, 1)), F.count(F.when(v[c] <= lo, 1)), F.count(F.when(v[c] < hi, 1)),
+                 F.count(F.when(v[c] <= hi, 1)), F.percentile_approx(inside[c], grid, accuracy)]
+    row = values.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
+    middle, missed, narrow, below = {}, [], {}, {}
+    for i, c in enumerate(v):
+        lt_lo, le_lo, lt_hi, le_hi, cuts = row[5 * i : 5 * i + 5]
+        ranks = [(size[c] - 1) // 2, size[c] // 2]
+        if ranks[0] < lt_lo or ranks[1] >= le_hi:
+            missed.append(c)
             continue
-        lo, hi = (n - 1) // 2, n // 2
-        vals = exact_order_stats(df, c, sorted({lo, hi}), n)
-        out[c] = (vals[lo] + vals[hi]) / 2.0
-    return out
+        middle[c] = [ends[c][0] if r < le_lo else ends[c][1] if r >= lt_hi else None for r in ranks]
+        open_ranks = [r for r, x in zip(ranks, middle[c], strict=True) if x is None]
+        if open_ranks:
+            n = lt_hi - le_lo  # rows inside; a pivot is off by n / accuracy ranks at most
+            first = max(0, int(((open_ranks[0] - le_lo) / n - 2 / accuracy) * pivots))
+            last = min(pivots, int(((open_ranks[-1] - le_lo) / n + 2 / accuracy) * pivots) + 1)
+            narrow[c], below[c] = (cuts[first], cuts[last]), le_lo
+    if narrow:
+        entry = [F.struct(F.lit(c).alias("c"), F.when(v[c] < narrow[c][0], F.lit(float("-inf"))).otherwise(v[c]).alias("x"),
+                          (inside[c] <= narrow[c][1]).alias("ok")) for c in narrow]
+        long = values.select(F.explode(F.filter(F.array(*entry), lambda e: e["ok"])).alias("e"))
+        counts = long.groupBy("e.c", "e.x").agg(F.count(F.lit(1)).alias("n"))
+        run = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("c").orderBy("x")))
+        wanted = F.lit(False)
+        for c in narrow:
+            for r in {r for r, x in zip([(size[c] - 1) // 2, size[c] // 2], middle[c], strict=True) if x is None}:
+                rank = r - below[c]
+                wanted = wanted | ((F.col("c") == c) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
+        rows: dict = {}
+        for r in run.filter(wanted).collect():  # at most two values a column
+            rows.setdefault(r["c"], []).append((r["upto"], r["x"]))
+        for c in narrow:
+            for i, r in enumerate([(size[c] - 1) // 2, size[c] // 2]):
+                if middle[c][i] is None:
+                    at = [x for upto, x in sorted(rows.get(c, [])) if upto > r - below[c]]
+                    if not at or at[0] == float("-inf"):
+                        missed.append(c)
+                        break
+                    middle[c][i] = at[0]
+    return {c: tuple(x) for c, x in middle.items() if c not in missed}, missed
 
 
 def fit_imputer(df: DataFrame, cols: list[str], max_missing_pct: float) -> dict[str, float | None]:

@@ -1,9 +1,10 @@
 """Seeded, partition-independent splits and folds.
 
-A row's place is decided by ``md5('<seed>:<key>')``: inside each class rows
-are ranked by that hash (``hash_rank`` - exact, never a whole class in one
-task) and the first ``round(test_size * n_class)`` go to test.  Unlike
-``randomSplit`` the result does not depend on partitioning or retries.
+A row's place is decided by ``md5('<seed>:<key>')``: inside each class the first
+``round(test_size * n_class)`` rows in the order of that hash go to test.  A split
+finds the hash at the cut of every class and decides each row in its scan; folds
+need every row's rank (``hash_rank`` - exact, never a whole class in one task).
+Unlike ``randomSplit`` the result does not depend on partitioning or retries.
 """
 
 from __future__ import annotations
@@ -11,7 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.functions.ranking import hash_rank
+from tablelens.functions.columns import seeded_md5
+from tablelens.functions.ranking import hash_cuts, hash_rank
+from tablelens.session import checkpoint_dir
+
+# Classes up to which the table of cuts (a hash and a key for each) is broadcast.
+BROADCAST_CLASSES = 100_000
 
 
 def min_class_count(df: DataFrame, label: str) -> int:
@@ -20,23 +26,42 @@ def min_class_count(df: DataFrame, label: str) -> int:
     return int(row["m"] or 0)
 
 
+def _cut_split(df: DataFrame, groups: list[str], key: str, size, seed, names) -> DataFrame:
+    """``split``: names[1] for the first ``size(n)`` rows of every group by hash, else names[0].
+
+    The place of each group's cut (``hash_cuts``) is one row, so all rows are
+    decided in their scan: no row but those of the cut's hash prefix is moved.
+    Rows with an equal key go the same way.
+    """
+    cuts = hash_cuts(df, groups, key, seed, size)
+    h = seeded_md5(seed, key)
+    least, here = F.lit(""), F.col(key).cast("string")
+    before = (h < F.col("cut_h")) | ((h == F.col("cut_h")) & (F.coalesce(here, least) <= F.coalesce(F.col("cut_key").cast("string"), least)))
+    split = F.when(F.coalesce(before, F.lit(False)), names[1]).otherwise(names[0])
+    if not groups:
+        cut = cuts.first()  # one row
+        if cut is None:
+            return df.withColumn("split", F.lit(names[0]))
+        row = df.withColumns({"cut_h": F.lit(cut["cut_h"]), "cut_key": F.lit(cut["cut_key"]).cast("string")})
+        return row.withColumn("split", split).drop("cut_h", "cut_key")
+    checkpoint_dir(df.sparkSession)
+    cuts = cuts.select(*[F.col(g).alias(f"_c{i}") for i, g in enumerate(groups)], "cut_h", "cut_key").checkpoint()
+    on = F.lit(True)
+    for i, g in enumerate(groups):
+        on = on & F.col(g).eqNullSafe(F.col(f"_c{i}"))
+    small = cuts.count() <= BROADCAST_CLASSES
+    return df.join(F.broadcast(cuts) if small else cuts, on).withColumn("split", split).drop("cut_h", "cut_key", *[f"_c{i}" for i in range(len(groups))])
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed=42,
                      names=("train", "test")) -> DataFrame:
     """Per class, the first round(test_size * n_c) rows by hash go to test."""
-    ranked = hash_rank(df, [label], key, seed, rank_col="_rk")
-    cut = F.round(F.lit(test_size) * F.col("group_n"))
-    return ranked.withColumn("split", F.when(F.col("_rk") <= cut, names[1]).otherwise(names[0])).drop(
-        "_rk", "group_n"
-    )
+    return _cut_split(df, [label], key, lambda n: F.round(F.lit(test_size) * n), seed, names)
 
 
 def plain_split(df: DataFrame, key: str, test_size: float = 0.2, seed=42, names=("train", "test")) -> DataFrame:
     """The first ceil(test_size * n) rows by hash go to test (no stratification)."""
-    ranked = hash_rank(df, [], key, seed, rank_col="_rk")
-    cut = F.ceil(F.lit(test_size) * F.col("group_n"))
-    return ranked.withColumn("split", F.when(F.col("_rk") <= cut, names[1]).otherwise(names[0])).drop(
-        "_rk", "group_n"
-    )
+    return _cut_split(df, [], key, lambda n: F.ceil(F.lit(test_size) * n), seed, names)
 
 
 def holdout_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed=42) -> tuple[DataFrame, bool]:
