@@ -1,6 +1,6 @@
 """Every row of one table against every row of another, in bounded blocks.
 
-Both sides are dealt into blocks by a hash of their key; each pair of blocks
+Both sides are dealt into blocks by a hash of the row; each pair of blocks
 meets in one task (an equi-join on the block numbers), which gives only its best
 rows on.  No side is collected or broadcast, and a task holds one block of each.
 """
@@ -17,14 +17,13 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 4096
 
 
-def block_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Union of ``fn(left block, right block)`` over all pairs of blocks (rows with equal keys share a block)."""
+def block_pairs(left: DataFrame, right: DataFrame, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema, rows: int = BLOCK_ROWS) -> DataFrame:
+    """Union of ``fn(left block, right block)`` over all pairs of blocks (only equal rows share a block for certain)."""
     n_left = max(1, math.ceil(left.count() / rows))
     n_right = max(1, math.ceil(right.count() / rows))
-    a = left.withColumn("_lb", F.pmod(F.xxhash64(left_key), F.lit(n_left).cast("long"))).withColumn(
+    a = left.withColumn("_lb", F.pmod(F.xxhash64(*left.columns), F.lit(n_left).cast("long"))).withColumn(
         "_rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_right - 1).cast("long"))))
-    b = right.withColumn("_rb", F.pmod(F.xxhash64(right_key), F.lit(n_right).cast("long"))).withColumn(
+    b = right.withColumn("_rb", F.pmod(F.xxhash64(*right.columns), F.lit(n_right).cast("long"))).withColumn(
         "_lb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_left - 1).cast("long"))))
 
     def pair(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:

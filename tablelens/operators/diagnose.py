@@ -7,6 +7,8 @@ expression, and ordered lists are ``array_distinct(array_compact(array(...)))``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +46,37 @@ ISSUE_TEXTS = {
 # Fixed value: the note a re-attempt leaves in the profile.
 REPLAN_NOTE = "Replan applied: strategy flags updated based on reflection root causes: "
 
+# Steps every re-attempt puts first, and causes that make one worth while.
 REPLAN_STEPS_FIXED = ["apply_replanned_strategy", "rebuild_preprocessor", "reselect_models"]
 BENEFIT_CAUSES = ["imbalance_handling", "preprocessing_mismatch", "overly_simple_models", "unstable_model_rankings"]
 
 
+def t_two_sided(t: Column, df: Column) -> Column:
+    """P(|T| >= |t|) of Student's t with a whole number of degrees of freedom, by its finite series.
+
+    With theta = atan(|t| / sqrt(df)) the middle holds sin(theta) * (1 + 1/2 cos^2 + 1*3/(2*4) cos^4 + ...) for an even
+    df, and 2/pi * (theta + sin(theta) * (cos + 2/3 cos^3 + 2*4/(3*5) cos^5 + ...)) for an odd one; both end at cos^(df-2).
+    """
+    n = df.cast("double")
+    theta = F.atan(F.abs(t) / F.sqrt(n))
+    cos2, sin = F.cos(theta) * F.cos(theta), F.sin(theta)
+    even = df % 2 == 0
+    steps = F.floor((df - F.when(even, 2).otherwise(3)) / 2).cast("int")  # factors after the first term
+    more = F.when(steps >= 1, F.sequence(F.lit(1), F.greatest(steps, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add(acc, k):
+        ratio = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
+        term = acc["term"] * ratio.cast("double") * cos2
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    series = F.aggregate(more, start, add, lambda acc: acc["sum"])
+    middle = F.when(even, sin * series).otherwise(F.lit(2.0 / math.pi) * (theta + F.when(df > 1, sin * F.cos(theta) * series).otherwise(0.0)))
+    return F.greatest(F.lit(1.0) - middle, F.lit(0.0))
+
+
 def _paired_t(a: Column, b: Column):
-    """X2 for three folds: t with 2 degrees of freedom has p = 1 - |t| / sqrt(2 + t^2)."""
+    """Paired two-sided t-test over three or more folds."""
     d = F.zip_with(a, b, lambda x, y: x - y)
     k = F.size(d)
     mean = F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x) / k
@@ -58,9 +85,9 @@ def _paired_t(a: Column, b: Column):
     t = mean / (sd / F.sqrt(k.cast("double")))
     available = a.isNotNull() & b.isNotNull() & (F.size(a) >= 3) & (F.size(a) == F.size(b))
     p = (
-        F.when(~available | (k != 3), F.lit(None))
+        F.when(~available, F.lit(None))
         .when(sd == 0, F.when(mean == 0, F.lit(None)).otherwise(F.lit(0.0)))
-        .otherwise(F.lit(1.0) - F.abs(t) / F.sqrt(F.lit(2.0) + t * t))
+        .otherwise(t_two_sided(t, k - 1))
     )
     mean_a = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / F.size(a)
     mean_b = F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x) / F.size(b)
@@ -68,6 +95,12 @@ def _paired_t(a: Column, b: Column):
     return available, p.cast("double"), gap
 
 
+def paired_t_test(df: DataFrame, a: str, b: str) -> DataFrame:
+    """X2 on any table: ttest_available, ttest_p_value and cv_mean_gap of two array columns of fold scores."""
+    available, p, gap = _paired_t(F.col(a), F.col(b))
+    return df.withColumns({"ttest_available": F.coalesce(available, F.lit(False)), "ttest_p_value": p, "cv_mean_gap": gap})
+
+
 def run_summary(board: DataFrame, run_cols=("run_id", "attempt")) -> DataFrame:
     """Per (run, attempt): winner, runner-up (2nd by balanced accuracy, F1), baseline and spread.
 

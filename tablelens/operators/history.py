@@ -9,7 +9,6 @@ with upper bounds over cells of like signatures (``similar_records``).
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,14 +79,14 @@ def latest_per_dataset(runs: DataFrame, cols: list[str], key: str = "fingerprint
     return runs.groupBy(key).agg(latest, F.count(F.lit(1)).alias("n_runs")).select(key, "latest.*", "n_runs")
 
 
-def append_runs(runs: DataFrame, path: str, batch: str | None = None) -> None:
+def append_runs(runs: DataFrame, path: str, batch: str) -> None:
     """Append runs to the history table, partitioned by batch and month (no rewrite of older files).
 
     Writing the same ``batch`` again replaces it, so a replayed batch counts
     once.  Rows are rebalanced by month: each task writes few files, and a month
     that holds most rows is split over several tasks.
     """
-    out = runs.withColumns({"run_batch": F.lit(batch or uuid.uuid4().hex), "run_month": F.date_format("ts", "yyyy-MM")})
+    out = runs.withColumns({"run_batch": F.lit(batch), "run_month": F.date_format("ts", "yyyy-MM")})
     out.hint("rebalance", "run_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("run_batch", "run_month").parquet(path)
 
@@ -339,6 +338,12 @@ def append_log(events: DataFrame, path: str, batch: str) -> None:
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_batch").parquet(path)
 
 
+def append_note(spark, path: str, run_id: str, ts, message: str) -> None:
+    """A note (run_id, ts, message) beside the history; a run's note replaces its earlier one."""
+    note = spark.createDataFrame([(run_id, ts, message)], "run_id string, ts timestamp, message string")
+    note.withColumn("run_batch", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_batch").parquet(path)
+
+
 def run_log_summary(log: DataFrame) -> DataFrame:
     """S6 read side: events and runs per stage."""
     return log.groupBy("stage").agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("run_id").alias("n_runs"))

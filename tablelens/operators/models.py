@@ -235,7 +235,7 @@ def knn_vote(train: DataFrame, test: DataFrame, key: str, vec: str, label: str,
     ])
     rows = {"rows": block_rows} if block_rows else {}
     cand = block_pairs(test.select(F.col(key).alias("_q"), F.col(vec).alias("_v")),
-                       train.select(F.col(key).alias("_k"), F.col(vec).alias("_v"), F.col(label).alias("_label")), "_q", "_k", nearest, schema, **rows)
+                       train.select(F.col(key).alias("_k"), F.col(vec).alias("_v"), F.col(label).alias("_label")), nearest, schema, **rows)
     w = Window.partitionBy("_q").orderBy("_d", "_k")  # k candidates per block of training rows
     top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     votes = top.groupBy("_q", "_label").agg(F.count(F.lit(1)).alias("_c"))

@@ -23,16 +23,25 @@ def known_name_target(columns: list[str]) -> str | None:
     return None
 
 
-def resolve_target(df: DataFrame, target: str) -> tuple[str, str]:
-    """P3/P5: 'auto' (trimmed, any case) infers; otherwise the named column with confidence 'high'."""
+def target_record(df: DataFrame, target: str) -> dict:
+    """How the target was found: target, confidence, method and the best candidates.
+
+    'auto' (trimmed, any case) infers; any other name must be a column and has method 'given' and confidence 'high'.
+    """
     if target.strip().lower() != "auto":
         if target not in df.columns:
             raise ValueError(f"the table has no column {target!r}")
-        return target, "high"
+        return {"target": target, "confidence": "high", "method": "given", "candidates": [target]}
     row = infer_target(df, "dataset").first()
     if row is None or row["target"] is None:
         raise ValueError("no column qualifies as the target; name one")
-    return row["target"], row["confidence"]
+    return {"target": row["target"], "confidence": row["confidence"], "method": row["method"], "candidates": row["candidates"].split("|")}
+
+
+def resolve_target(df: DataFrame, target: str) -> tuple[str, str]:
+    """The target and the confidence in it."""
+    found = target_record(df, target)
+    return found["target"], found["confidence"]
 
 
 def target_scores(df: DataFrame, dataset: str) -> DataFrame:

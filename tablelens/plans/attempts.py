@@ -44,6 +44,7 @@ class Attempt:
     failures: list = field(default_factory=list)
     split_info: dict = field(default_factory=dict)
     labels: list = field(default_factory=list)
+    notes: list = field(default_factory=list)
 
 
 def _profile_row(df: DataFrame, target: str, confidence: str, columns) -> tuple[DataFrame, dict]:
@@ -104,7 +105,7 @@ def run_attempt(df: DataFrame, target: str, key: str | None = None, run_id: str
     split, stratified = D.holdout_split(labelled, target, key, test_size, seed)
     split = split.checkpoint()
     train, test = split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
-    kinds = [(c, k) for c, k in P.feature_kinds(df, target) if c != key]
+    kinds = [(c, k) for c, k in P.feature_kinds(df, target) if c in names]  # a given key that repeats is no feature either
     numeric = [c for c, k in kinds if k == "numeric"]
     categorical = [c for c, k in kinds if k == "categorical"]
     group_rare = bool(rt["group_rare_categories"]) or prof["high_cardinality_count"] > 0
@@ -221,15 +222,21 @@ def run_attempt(df: DataFrame, target: str, key: str | None = None, run_id: str
     return Attempt(prof, plan, rt, candidates, pred, metrics, board, diag, failures, info, labels)
 
 
-def run(df: DataFrame, target: str, key: str | None = None, run_id: str = "run", max_replans: int = 1, **kw) -> list[Attempt]:
-    """Attempts until the diagnosis says stop; the step list grows, flags follow the causes."""
+def run(df: DataFrame, target: str, key: str | None = None, run_id: str = "run", max_replans: int = 1, on_attempt=None, **kw) -> list[Attempt]:
+    """Attempts until the diagnosis says stop; the step list grows, flags follow the causes, notes name them.
+
+    ``on_attempt(attempt)`` is called as each attempt ends.
+    """
     attempts: list[Attempt] = []
-    flags, plan = kw.pop("flags", None), None
+    flags, plan, notes = kw.pop("flags", None), None, []
     if key is None:
         df, key = with_row_key(df, None)  # the same keys, so the same split, in every attempt
     while True:
         a = run_attempt(df, target, key, run_id, len(attempts), flags=flags, plan=plan, **kw)
+        a.notes = [*(a.profile["notes"] or []), *notes]
         attempts.append(a)
+        if on_attempt is not None:
+            on_attempt(a)
         hist = attempts[0].diagnosis
         for prev in attempts[1:]:
             hist = hist.unionByName(prev.diagnosis)
@@ -243,5 +250,6 @@ def run(df: DataFrame, target: str, key: str | None = None, run_id: str = "run",
                                     "f struct<" + ",".join(f"{k}:boolean" for k in FLAG_NAMES) +
                                     ",replan_count:int>, c array<string>, p array<string>")
         new_flags = X.replan_flags(F.col("f"), F.col("c"), F.lit(a.profile["num_classes"]))
-        out = row.select(new_flags.alias("nf"), "p").withColumn("np", X.replan_steps(F.col("nf"), F.col("p"))).first()
+        out = row.select(new_flags.alias("nf"), "p", X.replan_note(F.col("c")).alias("note")).withColumn("np", X.replan_steps(F.col("nf"), F.col("p"))).first()
         flags, plan = out["nf"].asDict(), list(out["np"])
+        notes.append(out["note"])

@@ -125,7 +125,12 @@ SELECT CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderkey END AS row_key,
 FROM orders
 """
 
-FIXTURES = {"f9": F9, "f10": F10, "f11": F11, "f1": F1, "f2": F2, "f3": F3, "f4": F4, "f5": F5, "f6": F6, "f7": F7, "f8": F8}
+# Constant features: no candidate can beat the majority, so an attempt fails and another gains nothing.
+F12 = """
+SELECT s_suppkey AS row_key, 1.5 AS x1, 7 AS x2, CASE WHEN s_suppkey % 5 < 2 THEN 'yes' ELSE 'no' END AS label FROM supplier
+"""
+
+FIXTURES = {"f12": F12, "f9": F9, "f10": F10, "f11": F11, "f1": F1, "f2": F2, "f3": F3, "f4": F4, "f5": F5, "f6": F6, "f7": F7, "f8": F8}
 
 # Column order of each fixture (used where an operator needs the schema order).
 F3_COLUMNS = [
@@ -137,12 +142,12 @@ F3_COLUMNS = [
 # Tables each fixture reads (only these are registered for it).
 FIXTURE_TABLES = {
     "f1": ["documents", "labels"], "f2": ["orders", "customer"], "f3": ["lineitem"], "f4": ["embeddings"],
-    "f5": ["part"], "f6": ["lineitem"], "f7": ["lineitem"], "f8": ["orders"], "f9": ["customer"], "f10": ["customer"], "f11": ["orders"],
+    "f5": ["part"], "f6": ["lineitem"], "f7": ["lineitem"], "f8": ["orders"], "f9": ["customer"], "f10": ["customer"], "f11": ["orders"], "f12": ["supplier"],
 }
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Run fixture ``name`` ('f1'..'f11') over the tables in ``sf_dir``."""
+    """Run fixture ``name`` ('f1'..'f12') over the tables in ``sf_dir``."""
     register_tables(spark, sf_dir, FIXTURE_TABLES[name])
     return spark.sql(FIXTURES[name])
 

@@ -15,6 +15,7 @@ from tablelens.plans.suite_metrics import (
     F7M_CTE, RUN_MODEL, board_cte, class_stats_ctes, f7_board, run_context,
 )
 from tablelens.plans.suite_profile import _flags_sql
+from tablelens.sources.tables import read_table as table
 
 MAX_REPLANS = 2  # lets the second attempt reach the "no gain since last attempt" rule
 
@@ -54,6 +55,16 @@ def q_paired_t_test(spark, sf):
                     r6(F.col("ttest_mean_gap")).alias("ttest_mean_gap"))
 
 
+def q_paired_t_five_folds(spark, sf):
+    """X2 with five folds: discounts against taxes, averaged by supplier and fold (order number mod 5)."""
+    li = table(spark, sf, "lineitem")
+    fold = li.groupBy("l_suppkey", (F.col("l_orderkey") % 5).alias("fold")).agg(F.avg(F.col("l_discount").cast("double")).alias("a"), F.avg(F.col("l_tax").cast("double")).alias("b"))
+    rows = fold.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(F.struct("fold", "a", "b"))).alias("f"))  # five entries
+    rows = rows.select("l_suppkey", F.col("f.a").alias("a"), F.col("f.b").alias("b"))
+    t = X.paired_t_test(rows, "a", "b")
+    return t.select("l_suppkey", "ttest_available", r6(F.col("ttest_p_value")).alias("ttest_p_value"), r6(F.col("cv_mean_gap")).alias("cv_mean_gap"))
+
+
 def q_run_gaps(spark, sf):
     cols = ["dummy_gain_balanced_accuracy", "dummy_gain_macro_f1", "ranking_gap_to_runner_up",
             "train_test_gap_balanced_accuracy"]
@@ -148,6 +159,7 @@ def q_candidate_pool(spark, sf):
 QUERIES = {
     "model_spread": q_model_spread,
     "paired_t_test": q_paired_t_test,
+    "paired_t_five_folds": q_paired_t_five_folds,
     "run_gaps": q_run_gaps,
     "worst_class_recall": q_worst_class_recall,
     "run_issues": q_run_issues,
@@ -370,6 +382,10 @@ def _oracles():
     k = "run_id, attempt"
     o["model_spread"] = _diag(f"SELECT {k}, round(spread_best, 6) AS spread_best, round(spread_median, 6) AS spread_median, "
                               "round(spread_std, 6) AS spread_std, round(spread_range, 6) AS spread_range FROM dq")
+    o["paired_t_five_folds"] = """WITH f AS (SELECT l_suppkey, l_orderkey % 5 AS fold, avg(CAST(l_discount AS DOUBLE)) - avg(CAST(l_tax AS DOUBLE)) AS d FROM lineitem GROUP BY 1, 2),
+m AS (SELECT l_suppkey, avg(d) AS mean, avg(d) / (stddev_samp(d) / sqrt(5)) AS t FROM f GROUP BY 1),
+th AS (SELECT *, atan(abs(t) / 2) AS a FROM m)
+SELECT l_suppkey, true AS ttest_available, round(1 - sin(a) * (1 + cos(a) * cos(a) / 2), 6) AS ttest_p_value, round(mean, 6) AS cv_mean_gap FROM th"""
     o["paired_t_test"] = _diag(f"SELECT {k}, t_avail AS ttest_available, round(p_value, 6) AS ttest_p_value, "
                                "round(mean_gap, 6) AS ttest_mean_gap FROM dq")
     o["run_gaps"] = _diag(f"SELECT {k}, round(gain, 6) AS dummy_gain_balanced_accuracy, round(f1_gain, 6) AS dummy_gain_macro_f1, "

@@ -87,8 +87,8 @@ def q_history_append_latest(spark, sf):
     runs = _runs(spark, sf)
     path = _scratch(spark)
     cut = F.lit("1995-01-01").cast("timestamp_ntz")
-    H.append_runs(runs.filter(F.col("ts") < cut), path)
-    H.append_runs(runs.filter(F.col("ts") >= cut), path)
+    H.append_runs(runs.filter(F.col("ts") < cut), path, "older")
+    H.append_runs(runs.filter(F.col("ts") >= cut), path, "newer")
     hist = spark.read.parquet(path)
     return H.latest_per_dataset(hist, ["run_id", "best_model", "best_score"])
 

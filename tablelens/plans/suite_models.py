@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tablelens.operators import diagnose as X
 from tablelens.operators import history as H
 from tablelens.operators import models as MD
 from tablelens.operators import pool as PL
@@ -98,7 +99,7 @@ def _guided(spark, sf):
     at = (spark.sparkContext.applicationId, sf, "guided")
     if at not in _ATTEMPTS:
         path = f"{checkpoint_dir(spark).rstrip('/')}/guided-{uuid.uuid4().hex}"
-        run = GR.guided_run(fixture(spark, sf, "f9"), "auto", "row_key", path, run_id="f9", max_replans=0, seed=SEED)
+        run = GR.guided_run(fixture(spark, sf, "f9"), "auto", "row_key", path, run_id="f9", seed=SEED)
         _ATTEMPTS[at] = run, path
     return _ATTEMPTS[at]
 
@@ -124,7 +125,22 @@ def q_classification_attempt(spark, sf):
                               F.array_join("root_causes", "|").alias("root_causes"), "replan_recommended")
 
 
+def q_reattempts(spark, sf):
+    """Z2 on F12: a hopeless first attempt, changed flags, steps in front, a note, and the end because nothing was gained."""
+    tried = Z.run(fixture(spark, sf, "f12"), "label", "row_key", run_id="f12", max_replans=3, candidates=["DummyMostFrequent", "KNN", "LogisticRegression"], seed=SEED)
+    rows = None
+    for a in tried:
+        noted = [n for n in a.notes if n.startswith(X.REPLAN_NOTE)]
+        row = a.diagnosis.select(
+            "attempt", F.round("best_balanced_accuracy", 6).alias("best_balanced_accuracy"), "status", F.lit("|".join(a.plan[:3])).alias("first_steps"),
+            F.lit(a.flags["replan_count"]).cast("int").alias("replan_count"), F.lit(a.flags["expand_model_diversity"]).alias("expand_model_diversity"),
+            F.lit(len(noted)).alias("replan_notes"), F.lit(any("overly_simple_models" in n for n in noted)).alias("noted_simple_models"), F.lit(len(tried)).alias("attempts"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 QUERIES = {
+    "reattempts": q_reattempts,
     "model_settings": q_model_settings,
     "predict_majority": q_predict_majority,
     "knn_vote": q_knn_vote,
@@ -195,6 +211,11 @@ SELECT q AS row_key, label AS prediction FROM (
     o["run_history_after_attempt"] = with_fixtures(
         f"""SELECT 'f9' AS run_id, 'ExtraTrees' AS best_model, 1.0::DOUBLE AS best_score, 'ok' AS status, 'data_quality|unstable_model_rankings' AS root_causes,
   n AS rows, k AS num_classes FROM {seen} s""", "f9")
+    steps = X.REPLAN_STEPS_FIXED
+    o["reattempts"] = with_fixtures(
+        f"""SELECT CAST(i AS INTEGER) AS attempt, round(1.0 / k, 6)::DOUBLE AS best_balanced_accuracy, 'needs_attention' AS status,
+  CASE WHEN i = 1 THEN '{"|".join(steps)}' ELSE 'profile_dataset|validate_target|check_for_data_leakage' END AS first_steps, CAST(i AS INTEGER) AS replan_count, i = 1 AS expand_model_diversity,
+  CAST(i AS INTEGER) AS replan_notes, i = 1 AS noted_simple_models, 2 AS attempts FROM (SELECT count(DISTINCT label) AS k FROM f12) s, range(2) r(i)""", "f12")
     o["pool_results_rare_class"] = with_fixtures(
         f"""SELECT unnest(list_filter(['ExtraTrees', 'GradientBoosting', 'KNN', 'LinearSVC', 'LogisticRegression', 'RandomForest', 'SVC_RBF'],
     lambda m: (m <> 'KNN' OR n <= 6000) AND (m <> 'SVC_RBF' OR n <= 8000))) AS model,

@@ -4,8 +4,11 @@ import datetime
 import json
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from tablelens.plans.fixtures import fixture
-from tablelens.plans.guided_run import guided_run
+from tablelens.plans.guided_run import guided_run, read_results
 from tablelens.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
@@ -26,10 +29,45 @@ def test_second_run_uses_the_first(spark):
     assert [(r["run_id"], r["best_model"], r["best_score"]) for r in rows] == [(x, "LogisticRegression", 1.0) for x in ("one", "two", "three")]
     stages = [(r["run_id"], r["stage"]) for r in spark.read.parquet(f"{base}/log").orderBy("ts", "seq").collect()]
     assert ("one", "done") in stages and ("three", "memory") in stages
-    report = [json.loads(r["value"]) for r in spark.read.text(f"{base}/out/classification_report").collect()]
+    report = [json.loads(r["value"]) for r in spark.read.text(f"{base}/out/one/final/classification_report").collect()]
     assert any(r["class_label"] == "macro avg" and r["f1_score"] == 1.0 for r in report)
 
 
+def test_every_attempt_leaves_results_and_the_manifest_comes_last(spark, monkeypatch):
+    from tablelens.plans import attempts as Z
+
+    base = f"{checkpoint_dir(spark)}/sink-{uuid.uuid4().hex}"
+    df = fixture(spark, SF, "f12").unionByName(fixture(spark, SF, "f12").withColumn("row_key", F.col("row_key") + 1000))
+    args = dict(key="row_key", out_path=base, history_path=f"{base}/history", candidates=["DummyMostFrequent", "LogisticRegression"], with_cv=False)
+    run = guided_run(df, "auto", run_id="r", **args)
+    assert len(run.attempts) == 2 and run.inference["method"] == "known_name"
+    assert run.attempts[1].plan[:3] == ["apply_replanned_strategy", "rebuild_preprocessor", "reselect_models"]
+    assert run.attempts[1].flags["replan_count"] == 1 and not run.attempts[0].flags["replan_count"]
+    boards = [read_results(spark, base, "r", f"attempt-{k}/leaderboard") for k in (0, 1)]
+    assert all(b.count() == 2 for b in boards)
+    assert [r["reflection_status"] for r in read_results(spark, base, "r", "final/attempts").collect()] == ["needs_attention"] * 2
+    profile = read_results(spark, base, "r", "final/profile").first()
+    assert profile["target_target"] == "label" and "Replan applied" in profile["notes"]
+    with pytest.raises(LookupError):
+        read_results(spark, base, "r", "final/other")
+    # a run that dies in its second attempt shows nothing but its failure
+    calls, whole = [], Z.run_attempt
+
+    def dies(*a, **kw):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return whole(*a, **kw)
+
+    monkeypatch.setattr(Z, "run_attempt", dies)
+    with pytest.raises(RuntimeError):
+        guided_run(df, "auto", run_id="r", **args)
+    with pytest.raises(LookupError):
+        read_results(spark, base, "r", "attempt-0/leaderboard")
+    assert spark.read.json(f"{base}/r/error").first()["error"] == "RuntimeError: lost"
+    assert "lost" in spark.read.parquet(f"{base}/history-notes").first()["message"]
+
+
 def test_failed_run_leaves_its_log(spark):
     path = f"{checkpoint_dir(spark)}/failed-{uuid.uuid4().hex}"
     df = spark.createDataFrame([(i, 1.0, "only") for i in range(10)], "k long, x double, label string")

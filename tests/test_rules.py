@@ -134,3 +134,30 @@ def test_guards_and_split_fallback(spark):
     out, stratified = D.holdout_split(df, "y", "k", 0.2, 42)
     assert stratified is False
     assert out.filter(F.col("split") == "test").count() == math.ceil(40 * 0.2)
+
+
+def test_two_sided_t_by_integration(spark):
+    import math
+
+    import numpy as np
+
+    from tablelens.operators.diagnose import t_two_sided
+
+    points = [(t, df) for df in [*range(1, 31), 61, 200] for t in (0.0, 0.3, -1.0, 2.0, 5.0)]
+    got = spark.createDataFrame(points, "t double, df int").select("t", "df", t_two_sided(F.col("t"), F.col("df")).alias("p")).collect()
+    for r in got:
+        x = np.linspace(0, abs(r["t"]), 20001)
+        scale = math.exp(math.lgamma((r["df"] + 1) / 2) - math.lgamma(r["df"] / 2)) / math.sqrt(r["df"] * math.pi)
+        y = scale * (1 + x * x / r["df"]) ** (-(r["df"] + 1) / 2)
+        assert abs(r["p"] - (1 - 2 * np.trapezoid(y, x))) < 1e-8, r
+
+
+def test_target_record(spark):
+    from tablelens.operators.target import target_record
+
+    df = spark.createDataFrame([(i, i * 0.5, "ab"[i % 2]) for i in range(40)], "n long, x double, kind string")
+    assert target_record(df, "x") == {"target": "x", "confidence": "high", "method": "given", "candidates": ["x"]}
+    found = target_record(df, " AUTO ")
+    assert (found["target"], found["method"]) == ("kind", "heuristic_score") and len(found["candidates"]) == 3
+    # the first known name in priority order wins, in any case; of case variants the last column
+    assert target_record(df.selectExpr("n as Class", "x as LABEL", "kind as y", "n as label"), "auto")["target"] == "label"
