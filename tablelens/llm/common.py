@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -137,9 +136,9 @@ class KeySet:
     def column(self, key: Column) -> Column:
         """The same for a long column; only that column goes to Python."""
 
-        @F.pandas_udf("boolean")
-        def may_have(c: pd.Series) -> pd.Series:
-            return pd.Series(self.may_have(c.to_numpy(dtype=np.int64)))
+        @F.arrow_udf("boolean")
+        def may_have(c: pa.Array) -> pa.Array:
+            return pa.array(self.may_have(c.to_numpy(zero_copy_only=False).astype(np.int64)))
 
         return may_have(key)
 

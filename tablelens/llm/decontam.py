@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, numbered_once, prefix_hash, runs, span_hash, with_uid, words_of
+from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, numbered_once, prefix_hash, runs, span_hash, with_uid, without, words_of
 
 SPAN = 10
 GRAM = 5
@@ -163,8 +163,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     uid = fresh(docs, "_uid")
     numbered = numbered_once(docs, uid)
     hit = _judged(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), benchmark).filter("contaminated").select(F.col("_uid").alias(uid))
-    hit = materialise(hit, "contaminated")  # its size is known now: Spark sends few rows around instead of shuffling the texts
-    return numbered.join(hit, uid, "left_anti").drop(uid)
+    return without(numbered, uid, materialise(hit, "contaminated")).drop(uid)
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

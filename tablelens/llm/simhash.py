@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import connected_components, fresh, materialise, numbered_once
+from tablelens.llm.common import connected_components, fresh, materialise, numbered_once, without
 
 SHINGLE = 3
 RADIUS = 2
@@ -118,5 +118,9 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     base = materialise(fingerprints(numbered.select(F.col(uid).alias("_uid"), "doc_id", "text"), shingle, ("_uid", "doc_id")), "simhash")
     of, _ = _components(base, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_uid"))
-    kept = base.join(of, "fp").groupBy("component").agg(first.alias("k")).select(F.col("k._uid").alias(uid))
-    return numbered.join(kept, uid, "left_semi").drop(uid)
+    grouped = base.join(of, "fp")
+    kept = grouped.groupBy("component").agg(first.alias("k"), F.count(F.lit(1)).alias("n"))
+    several = kept.filter("n > 1").select("component", "k._uid")  # components of one row lose nothing
+    dropped = grouped.join(several.withColumnRenamed("_uid", "_first"), "component").filter(F.col("_uid") != F.col("_first")).select("_uid")
+    dropped = materialise(dropped, "dropped")
+    return without(numbered, uid, dropped).drop(uid)
