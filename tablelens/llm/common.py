@@ -144,9 +144,8 @@ class KeySet:
 
 
 def without(df: DataFrame, uid: str, dropped: DataFrame) -> DataFrame:
-    """The rows of a written table whose number is not in ``dropped`` (written, one column): only rows that may be meant are shuffled."""
-    meant = KeySet(dropped).column(F.col(uid))
-    return df.filter(~meant).unionByName(df.filter(meant).join(dropped.select(F.col(dropped.columns[0]).alias(uid)), uid, "left_anti"))
+    """The rows of df whose number is not in ``dropped`` (written, one column: its size is known, so Spark broadcasts it while it is small)."""
+    return df.join(dropped.select(F.col(dropped.columns[0]).alias(uid)), uid, "left_anti")
 
 
 # ---------------------------------------------------------------- prefix sums
