@@ -210,7 +210,9 @@ def _sort_shards(strings: DataFrame, width: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(uid, spans: unmerged covered byte spans) of the numbered texts (_uid, text) that have any; a written table."""
     counted = materialise(_scan(docs, width, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "grams")
-    rows = materialise(_scan(docs, width, gram, wanted=KeySet(counted)), "contexts")
+    repeated = KeySet(counted)
+    rows = materialise(_scan(docs, width, gram, wanted=repeated), "contexts")
+    repeated.data.unpersist()
     discard(counted)
     same = ["key", "content"]
     span = ["uid", F.col("first").alias("s"), (F.col("first") + F.col("windows") + width - 1).alias("e")]
