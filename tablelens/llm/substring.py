@@ -42,6 +42,7 @@ from tablelens.llm.common import CHUNK, CODES, KeySet, discard, fresh, materiali
 
 WIDTH = 200
 GRAM = 64
+BLOCK = CHUNK // 4  # bytes of text handled at a time: about 100 bytes of arrays stand for each
 SHARD_BYTES = 2 << 20
 GRAM_BYTES = SHARD_BYTES // 8  # of one gram's differing contexts; more are split
 QUEUE_MEMORY = 48 << 20  # of a shard's queues; the rest of them lies on disk
@@ -52,12 +53,12 @@ _POS = (1 << 24) - 1
 
 def _blocks(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first row, bytes, offsets, start inside the text): runs of whole texts, or overlapping pieces of a very long one."""
-    for first, last, data, offsets in runs(column):
-        if last - first > 1 or len(data) <= 4 * CHUNK:
+    for first, last, data, offsets in runs(column, BLOCK):
+        if last - first > 1 or len(data) <= 2 * BLOCK:
             yield first, data, offsets, 0
             continue
-        for at in range(0, len(data) - width + 1, CHUNK):
-            part = data[at : at + CHUNK + width - 1]
+        for at in range(0, len(data) - width + 1, BLOCK):
+            part = data[at : at + BLOCK + width - 1]
             yield first, part, np.array([0, len(part)]), at
 
 
@@ -272,16 +273,15 @@ def merge_spans(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _with_spans(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, str]:
-    """The documents' rows with their covered spans (array, null if none), and that column's name."""
+def _with_spans(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, DataFrame, str]:
+    """The documents' rows that may have covered spans, with these (array, null if none); the rows that have none; the spans' column."""
     uid, name = fresh(docs, "_uid"), fresh(docs, "_spans")
     numbered = numbered_once(docs, uid)
     spans = repeated_spans(numbered.select(F.col(uid).alias("_uid"), F.coalesce("text", F.lit("")).alias("text")), width, gram)
     # only texts that may have spans are shuffled to meet them
     meant = KeySet(spans.select("uid")).column(F.col(uid))
     per = spans.select(F.col("uid").alias(uid), F.col("spans").alias(name))
-    plain = numbered.filter(~meant).withColumn(name, F.lit(None).cast(per.schema[name].dataType))
-    return numbered.filter(meant).join(per, uid, "left").unionByName(plain).drop(uid), name
+    return numbered.filter(meant).join(per, uid, "left").drop(uid), numbered.filter(~meant).drop(uid), name
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -305,7 +305,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
                 digests.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(kept, pa.binary()), pa.array(digests)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    rows, _ = _with_spans(docs.select("doc_id", "text"), width, gram)
+    found, plain, name = _with_spans(docs.select("doc_id", "text"), width, gram)
+    rows = found.unionByName(plain.withColumn(name, F.lit(None).cast(found.schema[name].dataType)))
     return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
@@ -315,7 +316,7 @@ def digests(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
 def cut_texts(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """The documents with covered bytes cut from their text; a character that is covered in part stays; null texts stay null."""
-    rows, name = _with_spans(docs, width, gram)
+    rows, plain, name = _with_spans(docs, width, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,4 +338,5 @@ def cut_texts(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFram
                 texts.append(b"".join([*rest, raw[at:]]).decode())
             yield batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type)).drop_columns([name])
 
-    return rows.select(*docs.columns, name).mapInArrow(run, docs.schema)
+    # rows without spans keep their texts and never pass a Python worker
+    return rows.select(*docs.columns, name).mapInArrow(run, docs.schema).unionByName(plain.select(*docs.columns))
