@@ -1,10 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fitting: up to ``EXAMPLES`` labelled rows (least hash of the id; a documented
-bound) are the examples.  The terms are the words that tell the two classes of
-examples apart (log-odds z-score of at least ``MIN_Z``, in at least
-``MIN_EXAMPLES`` examples; at most ``MAX_TERMS`` by z).  Their document
-frequencies are counted over all documents.
+bound) are the examples.  The terms are all words whose share differs between
+the two classes of examples (root of the likelihood-ratio statistic of at least
+``MIN_Z``), however rare: a word of one class only needs few examples.  Their
+document frequencies are counted over all documents.
 
 Scoring: a block of examples has an upper bound for a text (sum over terms of
 query weight times the block's greatest weight).  The blocks with the greatest
@@ -33,8 +33,6 @@ from tablelens.llm.common import LETTERS, LOWER, fold, materialise, prefix_hash,
 
 EXAMPLES = 8000
 MIN_Z = 4.0
-MIN_EXAMPLES = 5
-MAX_TERMS = 20_000
 NEIGHBOURS = 15
 SOFTEN = 0.1
 BLOCK = 32
@@ -233,11 +231,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out:
     sizes = {r["_y"]: r["n"] for r in chosen.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     d = sample.mapInArrow(explode, "term long, y int").groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0"))
-    odds = lambda x, n: F.log((F.col(x) + 0.5) / F.greatest(F.lit(n) - F.col(x) + 0.5, F.lit(0.5)))
-    spread = F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5) + 1 / F.greatest(F.lit(n1) - F.col("d1") + 0.5, F.lit(0.5)) + 1 / F.greatest(F.lit(n0) - F.col("d0") + 0.5, F.lit(0.5)))
-    z = F.abs((odds("d1", n1) - odds("d0", n0)) / spread)
-    kept = d.filter(F.col("d1") + F.col("d0") >= MIN_EXAMPLES).withColumn("z", z).filter(F.col("z") >= MIN_Z)
-    vocabulary = np.array(sorted(r["term"] for r in kept.orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()), dtype=np.int64)
+    # 2 * (log-likelihood with a share for each class - with one share): exact where a word is rare, unlike a z-score of log-odds
+    part = lambda x, n: F.when(x > 0, x * F.log(x / n)).otherwise(F.lit(0.0))
+    whole = lambda x, n: part(x, F.lit(max(n, 1))) + part(F.lit(n) - x, F.lit(max(n, 1)))
+    ratio = 2 * (whole(F.col("d1"), n1) + whole(F.col("d0"), n0) - whole(F.col("d1") + F.col("d0"), n0 + n1))
+    kept = d.filter(ratio >= MIN_Z**2)
+    vocabulary = np.array(sorted(r["term"] for r in kept.select("term").collect()), dtype=np.int64)  # as many as tell the bounded examples apart
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
