@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import materialise
+from tablelens.llm.common import materialise, numbered_once
 
 PIECE = r"[^.!?\n]{1,240}[.!?]{0,4}|[.!?]{1,64}"
 BLOCKS_PER_PARTITION = 4
@@ -67,31 +67,56 @@ def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column)
     return F.when(root_a == root_b, F.lit(1.0)).when(either == 0, F.lit(0.0)).otherwise(both.cast("double") / either.cast("double"))
 
 
+def _in_place(rows: DataFrame, group: list[str], pos: str) -> DataFrame:
+    """Adds ``_same``: whether a node (columns side, node and its position) stands on both sides in the same order.
+
+    The n-th of equal nodes of one side is matched with the n-th of the other.  Of the matched nodes those stay in
+    place that come after all matched nodes before them on the other side too, or those that come before all after
+    them, whichever are more; the others have moved.
+    """
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*group, "side", "node").orderBy(pos)))
+    both = Window.partitionBy(*group, "node", "_nth")
+    for x in ("a", "b"):
+        rows = rows.withColumn(f"_at_{x}", F.max(F.when(F.col("side") == x, F.col(pos))).over(both))
+    matched = F.col("_at_a").isNotNull() & F.col("_at_b").isNotNull()
+    at_b = F.when(matched, F.col("_at_b"))
+    along = Window.partitionBy(*group, "side").orderBy("_at_a", "_at_b")
+    before, after = along.rowsBetween(Window.unboundedPreceding, Window.currentRow), along.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = rows.withColumn("_up", F.coalesce(at_b >= F.max(at_b).over(before), F.lit(False))).withColumn("_down", F.coalesce(at_b <= F.min(at_b).over(after), F.lit(False)))
+    whole = Window.partitionBy(*group, "side")
+    more = F.sum(F.col("_up").cast("long")).over(whole) >= F.sum(F.col("_down").cast("long")).over(whole)
+    return rows.withColumn("_same", F.when(more, F.col("_up")).otherwise(F.col("_down"))).drop("_nth", "_at_a", "_at_b", "_up", "_down")
+
+
 def differences(pairs: DataFrame, a: str = "text_a", b: str = "text_b", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Where two versions differ: keys, side (a or b), section, paragraph (0-based), text of the paragraph.
 
-    Top down: pairs with equal roots go first, then sections that the other
-    side has too, then paragraphs that the other side's differing sections have.
+    Top down: pairs with equal roots go first, then sections that stand in place on both sides, then paragraphs
+    that stand in place between the same two such sections.  What is left was removed (side a), added (side b) or
+    moved (both sides), repeats of equal paragraphs included: texts that differ always give a row.  Pairs are told
+    apart by a written row number, so keys may be null or repeat; a null text counts as empty.
     """
-    side = {}
-    for name, col in (("a", a), ("b", b)):
-        side[name] = section_lists(paragraph_nodes(paragraph_leaves(F.coalesce(F.col(col), F.lit("")))))
-    base = pairs.select(*keys, F.coalesce(F.col(a), F.lit("")).alias("_ta"), F.coalesce(F.col(b), F.lit("")).alias("_tb"), side["a"].alias("_sa"), side["b"].alias("_sb")).filter(root(F.col("_sa")) != root(F.col("_sb")))
-    out = None
-    for mine, other in (("a", "b"), ("b", "a")):
-        lines = F.split(F.col(f"_t{mine}"), "\n", -1)
-        sections = F.col(f"_s{mine}")
-        # the first paragraph's number of each section
-        rows = base.withColumn("_other", F.split(F.array_join(F.array_except(F.col(f"_s{other}"), sections), ","), ","))
-        rows = rows.select(*keys, lines.alias("_lines"), "_other", F.array_repeat(F.lit(0), 0).alias("_z"), F.col(f"_s{other}").alias("_so"), F.posexplode(sections).alias("section", "_sec"))
-        w = Window.partitionBy(*keys).orderBy("section").rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumn("_n", F.size(F.split("_sec", ","))).withColumn("_first", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-        rows = rows.filter(~F.array_contains("_so", F.col("_sec")))
-        rows = rows.select(*keys, F.lit(mine).alias("side"), "section", "_first", "_lines", "_other", F.posexplode(F.split("_sec", ",")).alias("_i", "_node"))
-        rows = rows.filter(~F.array_contains("_other", F.col("_node"))).withColumn("paragraph", (F.col("_first") + F.col("_i")).cast("int"))
-        rows = rows.select(*keys, "side", "section", "paragraph", F.element_at("_lines", F.col("paragraph") + 1).alias("text"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    text = {"a": F.coalesce(F.col(a), F.lit("")), "b": F.coalesce(F.col(b), F.lit(""))}
+    tree = {x: section_lists(paragraph_nodes(paragraph_leaves(t))) for x, t in text.items()}
+    rows = pairs.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[t.alias(f"_t{x}") for x, t in text.items()], *[t.alias(f"_s{x}") for x, t in tree.items()])
+    rows = numbered_once(rows.filter(root(F.col("_sa")) != root(F.col("_sb"))))
+
+    def sides(column, *more: str) -> DataFrame:
+        return rows.select("_uid", *more, F.explode(F.array(*[F.struct(F.lit(x).alias("side"), column(x).alias("list")) for x in "ab"])).alias("x")).select("_uid", *more, "x.side", F.col("x.list").alias("list"))
+
+    sections = sides(lambda x: F.col(f"_s{x}")).select("_uid", "side", F.posexplode("list").alias("section", "node"))
+    along = Window.partitionBy("_uid", "side").orderBy("section")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    placed = _in_place(sections, ["_uid"], "section")
+    placed = placed.withColumn("_first", F.coalesce(F.sum(F.size(F.split("node", ","))).over(earlier), F.lit(0)))
+    placed = placed.withColumn("_gap", F.sum(F.col("_same").cast("long")).over(along))  # between which sections in place
+    inner = placed.filter(~F.col("_same")).select("_uid", "side", "section", "_gap", "_first", F.posexplode(F.split("node", ",")).alias("_i", "node"))
+    inner = inner.withColumn("paragraph", (F.col("_first") + F.col("_i")).cast("int"))
+    found = _in_place(inner, ["_uid", "_gap"], "paragraph").filter(~F.col("_same")).select("_uid", "side", "section", "paragraph")
+    lines = sides(lambda x: F.split(f"_t{x}", "\n", -1), *[f"_key_{i}" for i in range(len(keys))])
+    lines = lines.select("_uid", "side", *[f"_key_{i}" for i in range(len(keys))], F.posexplode("list").alias("paragraph", "text"))
+    named = [F.col(f"_key_{i}").alias(k) for i, k in enumerate(keys)]
+    return found.join(lines, ["_uid", "side", "paragraph"]).select(*named, "side", "section", "paragraph", "text")
 
 
 def _cuts_below(value: Column, cuts: list[float]) -> Column:

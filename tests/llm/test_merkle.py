@@ -78,3 +78,33 @@ def test_fingerprint_tells_every_text_apart(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", merkle.fingerprint(F.col("t")).alias("f")).collect()
     assert len({r.f for r in rows}) == len(texts)
     assert all(r.f == tree(r.t)[0] for r in rows)
+
+
+def test_differences_tell_moved_and_repeated_lines(spark):
+    cases = [("a\nb", "b\na"), ("x\nx\ny", "x\ny"), ("p\nq\nr\ns\nt", "q\nr\ns\nt\np"), ("p\nq\nr\ns\nt", "t\np\nq\nr\ns"), ("same", "same"), ("", "\n")]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "doc_id long, text_a string, text_b string")
+    got = sorted((r.doc_id, r.side, r.paragraph, r.text) for r in merkle.differences(df).collect())
+    of = lambda i: [x[1:] for x in got if x[0] == i]
+    assert {x[2] for x in of(0)} in ({"a"}, {"b"}) and [x[0] for x in of(0)] == ["a", "b"]
+    assert of(1) == [("a", 1, "x")]
+    assert of(2) == [("a", 0, "p"), ("b", 4, "p")]
+    assert of(3) == [("a", 4, "t"), ("b", 0, "t")]
+    assert of(4) == [] and of(5) == [("b", 1, "")]
+
+
+def test_differences_leave_the_same_rest_on_both_sides(spark):
+    rnd = random.Random(8)
+    text = lambda: "\n".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(30)))
+    cases = [(text(), text()) for _ in range(60)]
+    df = spark.createDataFrame([(None if i < 2 else i // 2, i, *c) for i, c in enumerate(cases)], "doc_id long, n int, text_a string, text_b string")
+    gone = {}
+    for r in merkle.differences(df, keys=("doc_id", "n")).collect():
+        gone.setdefault((r.n, r.side), {})[r.paragraph] = r.text
+    for i, pair in enumerate(cases):
+        rest = []
+        for side, t in zip("ab", pair, strict=True):
+            lines, out = t.split("\n"), gone.get((i, side), {})
+            assert all(lines[k] == v for k, v in out.items())
+            rest.append([x for k, x in enumerate(lines) if k not in out])
+        assert rest[0] == rest[1]
+        assert (pair[0] != pair[1]) == bool(gone.get((i, "a")) or gone.get((i, "b")))
