@@ -82,3 +82,13 @@ def test_edge_cases_and_fold(spark, docs_of):
     index = toxicity.fit(df, labels, "toxic", 5, 0)
     left = toxicity.keep_clean(df, index)
     assert left.columns == df.columns and left.count() == sum(1 - r.predicted for r in rows)
+
+
+def test_rare_words_of_one_class_are_terms(spark, docs_of):
+    """100 of 1,500 texts are toxic, told only by 25 words that stand in four of them each."""
+    rnd = random.Random(5)
+    docs = [(i, " ".join(rnd.choice("abcdefghij") * 3 for _ in range(20)) + (f" vile{chr(97 + i // 15 % 25)}" if i % 15 == 0 else "")) for i in range(1500)]
+    labels = spark.createDataFrame([(i, int(i % 15 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    rows = toxicity.classify(docs_of(docs), labels).collect()
+    caught = sum(r.predicted for r in rows if r.doc_id % 15 == 0)
+    assert caught >= 70 and not any(r.predicted for r in rows if r.doc_id % 15)
