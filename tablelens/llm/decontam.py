@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, numbered_once, prefix_hash, runs, span_hash, with_uid, without, words_of
+from tablelens.llm.common import ALNUM, LOWER, fresh, materialise, mix, numbered_once, prefix_hash, runs, span_hash, tidy, with_uid, without, words_of
 
 SPAN = 10
 GRAM = 5
@@ -130,7 +130,7 @@ def _fingerprinted(df: DataFrame, keys: list[str], lengths: list[int], bitmap) -
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], pa.array(n_words, pa.int64()), pa.array(cands, _ARROW)], [*keys, "n_words", "cands"])
 
     types = dict(df.dtypes)
-    return df.select(*keys, "text").mapInArrow(run, ", ".join(f"`{k}` {types[k]}" for k in keys) + f", n_words long, cands array<struct<{_CAND.replace(' int', ':int').replace(' long', ':long').replace(' string', ':string').replace(' array', ':array')}>>")
+    return df.select(*keys, "text").mapInArrow(tidy(run), ", ".join(f"`{k}` {types[k]}" for k in keys) + f", n_words long, cands array<struct<{_CAND.replace(' int', ':int').replace(' long', ':long').replace(' string', ':string').replace(' array', ':array')}>>")
 
 
 def _bitmap(prints: DataFrame) -> bytes:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import connected_components, fresh, materialise, numbered_once, without
+from tablelens.llm.common import connected_components, fresh, materialise, numbered_once, tidy, without
 
 SHINGLE = 3
 RADIUS = 2
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(fps.view(np.int64), pa.int64())], [*keep, "fp"])
 
     types = dict(docs.dtypes)
-    return docs.select(*keep, "text").mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in keep) + ", fp long")
+    return docs.select(*keep, "text").mapInArrow(tidy(run), ", ".join(f"{c} {types[c]}" for c in keep) + ", fp long")
 
 
 def masks(radius: int = RADIUS) -> list[int]:

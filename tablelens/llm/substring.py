@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm import induced
-from tablelens.llm.common import CHUNK, CODES, KeySet, discard, fresh, materialise, mix, numbered_once, powers, prefix_hash, runs, span_hash
+from tablelens.llm.common import CHUNK, CODES, KeySet, discard, fresh, materialise, mix, numbered_once, powers, prefix_hash, runs, span_hash, tidy
 
 WIDTH = 200
 GRAM = 64
@@ -129,8 +129,8 @@ def _scan(docs: DataFrame, width: int, gram: int, wanted: KeySet | None = None,
                 yield pa.RecordBatch.from_arrays([*head, pa.array(place[keep], pa.int32()), pa.array(strings, pa.binary())], ["uid", "first", "place", "bytes"])
 
     if places is not None:
-        return docs.mapInArrow(run, "uid long, first long, place int, bytes binary")
-    return docs.mapInArrow(run, "key long" if wanted is None else "uid long, first long, windows int, key long, content long")
+        return docs.mapInArrow(tidy(run), "uid long, first long, place int, bytes binary")
+    return docs.mapInArrow(tidy(run), "key long" if wanted is None else "uid long, first long, windows int, key long, content long")
 
 
 def split_contexts(strings: DataFrame, size: int, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -174,7 +174,7 @@ def split_contexts(strings: DataFrame, size: int, width: int = WIDTH, gram: int
                     ["key", "content", "windows", "n", "uid", "first", "place", "bytes"],
                 )
 
-    return strings.select("key", "windows", "n", "uid", "first", "place", "bytes").mapInArrow(run, "key long, content long, windows int, n long, uid long, first long, place int, bytes binary")
+    return strings.select("key", "windows", "n", "uid", "first", "place", "bytes").mapInArrow(tidy(run), "key long, content long, windows int, n long, uid long, first long, place int, bytes binary")
 
 
 def _sort_shards(strings: DataFrame, width: int) -> DataFrame:
@@ -205,7 +205,7 @@ def _sort_shards(strings: DataFrame, width: int) -> DataFrame:
             ["key", "content", "s", "n"],
         )
 
-    return strings.mapInArrow(run, "key long, content long, s long, n long")
+    return strings.mapInArrow(tidy(run), "key long, content long, s long, n long")
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
 
     found, plain, name = _with_spans(docs.select("doc_id", "text"), width, gram)
     rows = found.unionByName(plain.withColumn(name, F.lit(None).cast(found.schema[name].dataType)))
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return rows.mapInArrow(tidy(run), f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def digests(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -339,4 +339,4 @@ def cut_texts(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFram
             yield batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type)).drop_columns([name])
 
     # rows without spans keep their texts and never pass a Python worker
-    return rows.select(*docs.columns, name).mapInArrow(run, docs.schema).unionByName(plain.select(*docs.columns))
+    return rows.select(*docs.columns, name).mapInArrow(tidy(run), docs.schema).unionByName(plain.select(*docs.columns))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import LETTERS, LOWER, fold, materialise, prefix_hash, runs, span_hash, words_of
+from tablelens.llm.common import LETTERS, LOWER, fold, materialise, prefix_hash, runs, span_hash, tidy, words_of
 
 EXAMPLES = 8000
 MIN_Z = 4.0
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out:
 
     sizes = {r["_y"]: r["n"] for r in chosen.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    d = sample.mapInArrow(explode, "term long, y int").groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0"))
+    d = sample.mapInArrow(tidy(explode), "term long, y int").groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0"))
     # 2 * (log-likelihood with a share for each class - with one share): exact where a word is rare, unlike a z-score of log-odds
     part = lambda x, n: F.when(x > 0, x * F.log(x / n)).otherwise(F.lit(0.0))
     whole = lambda x, n: part(x, F.lit(max(n, 1))) + part(F.lit(n) - x, F.lit(max(n, 1)))
@@ -250,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], ["term", "n"])
 
     df = np.zeros(len(vocabulary) + 1)
-    for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").mapInArrow(tidy(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         df[r["term"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
@@ -262,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out:
                 ["doc_id", "y", "terms", "counts"],
             )
 
-    rows = sample.mapInArrow(vectors, f"doc_id {dict(docs.dtypes)['doc_id']}, y int, terms array<long>, counts array<long>").dropDuplicates(["doc_id"]).collect()
+    rows = sample.mapInArrow(tidy(vectors), f"doc_id {dict(docs.dtypes)['doc_id']}, y int, terms array<long>, counts array<long>").dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: r["doc_id"])
     return Index(vocabulary, idf, [(r["doc_id"], r["y"], np.array(r["terms"], dtype=np.int64), np.array(r["counts"], dtype=np.int64)) for r in rows])
 
@@ -281,7 +281,7 @@ def score(docs: DataFrame, index: Index, keep: list[str] | None = None) -> DataF
 
     types = dict(docs.dtypes)
     columns = [*keep, *([] if "text" in keep else ["text"])]
-    return docs.select(*columns).mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double, evidence array<long>")
+    return docs.select(*columns).mapInArrow(tidy(run), ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double, evidence array<long>")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5, held_out: int = 0, threshold: float = THRESHOLD) -> DataFrame:
@@ -299,4 +299,4 @@ def keep_clean(docs: DataFrame, index: Index, threshold: float = THRESHOLD) -> D
             found = [(t, c) for _, t, c in _known(batch.column(batch.schema.get_field_index("text")), shared.value.vocabulary)]
             yield batch.filter(pa.array([s < threshold for s, _ in shared.value.score(found)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
