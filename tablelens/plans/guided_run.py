@@ -19,6 +19,7 @@ from tablelens.operators import metrics as K
 from tablelens.operators import profile as P
 from tablelens.operators import ranking as RK
 from tablelens.operators import steps as L
+from tablelens.operators.rollup import RolledHistory
 from tablelens.operators.profile_rules import FLAG_NAMES
 from tablelens.operators.target import target_record
 from tablelens.plans import attempts as Z
@@ -39,28 +40,39 @@ class GuidedRun:
     inference: dict
 
 
-def read_hint(history: DataFrame | None, profile: DataFrame) -> dict | None:
-    """H11, else H9 and H10, for a one-row profile: best_model, preferred, avoid, strategies, causes, source, similarity."""
+def read_hint(history: DataFrame | RolledHistory | None, profile: DataFrame) -> dict | None:
+    """H11, else H9 and H10, for a one-row profile: best_model, preferred, avoid, strategies, causes, source, similarity.
+
+    A rolled-up history answers from one bucket of its partials, or from its merged partials.
+    """
     if history is None:
         return None
     fp = profile.first()["profile_id"]
-    mine = history.filter(F.col("fingerprint") == fp)
-    best = H.latest_per_dataset(mine, ["best_model"]).first()
+    rolled = isinstance(history, RolledHistory)
+    mine = None if rolled else history.filter(F.col("fingerprint") == fp)
+    best = (history.latest_per_dataset(["best_model"], fp) if rolled else H.latest_per_dataset(mine, ["best_model"])).first()
     names = lambda rows, kind: [r["name"] for r in rows if r["kind"] == kind]
     if best is not None:
-        rows = sorted(H.exact_hint(H.model_outcomes(mine), H.strategy_outcomes(mine, FLAG_NAMES)).collect(), key=lambda r: r["position"])
+        outcomes = (history.model_outcomes(fp), history.strategy_outcomes(fp)) if rolled else (H.model_outcomes(mine), H.strategy_outcomes(mine, FLAG_NAMES))
+        rows = sorted(H.exact_hint(*outcomes).collect(), key=lambda r: r["position"])
         return {"source": "exact_fingerprint", "similarity": None, "matched_runs": best["n_runs"], "best_model": best["best_model"],
                 "preferred": names(rows, "preferred"), "scores": [(r["name"], r["n"]) for r in rows if r["kind"] == "preferred"],
                 "avoid": names(rows, "avoid"), "strategies": names(rows, "strategy"), "causes": []}
-    records = history.groupBy("fingerprint").agg(F.max_by(F.struct(*SIGNATURE), F.struct("ts", "run_id")).alias("s"),
-                                                 F.min(F.struct("ts", "run_id")).alias("_first")).select("fingerprint", "s.*", "_first")
+    newest = F.max_by(F.struct(*SIGNATURE), F.struct("ts", "run_id")).alias("s")
+    if rolled:  # the latest ``keep`` runs of a dataset stand for all: matched runs count up to 10
+        runs, counters = history.recent(), history.vote_counters()
+        records = runs.groupBy("fingerprint").agg(newest).join(history.first_runs().withColumnRenamed("first_seen", "_first"), "fingerprint")
+    else:
+        runs, counters = history, H.vote_counters(history, FLAG_NAMES, "root_causes")
+        records = runs.groupBy("fingerprint").agg(newest, F.min(F.struct("ts", "run_id")).alias("_first"))
+    records = records.select("fingerprint", "s.*", "_first")
     records = records.withColumn("_order", F.unix_micros(F.col("_first.ts")))
     matches = H.similar_records(H.profile_signature(profile, "profile_id"), records, "profile_id", "fingerprint", "_order")
-    top = H.similar_hint(matches, history, "profile_id").first()
+    top = H.similar_hint(matches, runs, "profile_id").first()
     if top is None:
         return None
     k = F.when(F.col("kind").isin("preferred", "strategy"), 5).otherwise(3)
-    votes = H.weighted_votes(matches, H.vote_counters(history, FLAG_NAMES, "root_causes"), "profile_id", "fingerprint", "name", "n", k, kind_col="kind")
+    votes = H.weighted_votes(matches, counters, "profile_id", "fingerprint", "name", "n", k, kind_col="kind")
     rows = sorted(votes.collect(), key=lambda r: r["position"])  # at most 16 rows
     return {"source": "similar_dataset", "similarity": top["similarity"], "matched_runs": top["matched_runs"], "best_model": top["best_model"],
             "preferred": names(rows, "preferred"), "scores": [(r["name"], r["score"]) for r in rows if r["kind"] == "preferred"],
@@ -162,9 +174,11 @@ def _read_history(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def guided_run(df: DataFrame, target: str = "auto", key: str | None = None, history_path: str | None = None, out_path: str | None = None,
-               log_path: str | None = None, run_id: str | None = None, ts: datetime.datetime | None = None, max_replans: int = 1, **kw) -> GuidedRun:
+               log_path: str | None = None, run_id: str | None = None, ts: datetime.datetime | None = None, max_replans: int = 1, rolled: bool = False, **kw) -> GuidedRun:
     """Resolve the target, profile, take the history's hint, attempt (again), write results, append the record.
 
+    With ``rolled`` the history at ``history_path`` is a ``RolledHistory`` (compact it from time to time).
+
     A run that fails leaves an error record among the results, an ``error`` event
     in its log and a note beside the history (``<history_path>-notes``); the error
     goes on to the caller.
@@ -188,7 +202,8 @@ def guided_run(df: DataFrame, target: str = "auto", key: str | None = None, hist
         names = [c for c in df.columns if c != key]
         profile = P.profile_dataset(df, target, target_confidence=confidence, columns=names)
         row = profile.first()
-        hint = read_hint(_read_history(spark, history_path), profile)
+        store = RolledHistory(spark, history_path, FLAG_NAMES, "root_causes") if rolled and history_path else None
+        hint = read_hint((store if store.exists() else None) if store else _read_history(spark, history_path), profile)
         flags = {k: bool(row["strategy_flags"][k]) for k in [*FLAG_NAMES]} | {"replan_count": row["strategy_flags"]["replan_count"]}
         if hint:
             say("memory", f"{hint['source']}: best model {hint['best_model']}")
@@ -203,7 +218,9 @@ def guided_run(df: DataFrame, target: str = "auto", key: str | None = None, hist
         say("replan", attempts[-1].notes[-1] if len(attempts) > 1 else "no further attempt")
         record = history_record(attempts[-1], profile, run_id, ts)
         run = GuidedRun(run_id, target, row["profile_id"], hint, attempts, record, events, inference)
-        if history_path:
+        if store:
+            store.append(spark.createDataFrame(record.collect(), record.schema), run_id)  # one row
+        elif history_path:
             H.append_runs(record, history_path, run_id)
         say("done", "finished")
         if sink:

@@ -13,6 +13,7 @@ from tablelens.operators import profile as P
 from tablelens.operators import ranking as RK
 from tablelens.operators import steps as L
 from tablelens.operators.profile_rules import FLAG_NAMES, facts_rules
+from tablelens.operators.rollup import RolledHistory
 from tablelens.plans.fixtures import fixture, with_fixtures
 from tablelens.plans.suite_diagnose import FR_CTES, PLAN_CTE, RT_CTE, f5_planned
 from tablelens.plans.suite_profile import F3_SEG_COLS, _profile_sql
@@ -54,6 +55,29 @@ def q_model_outcomes(spark, sf):
     return H.model_outcomes(_runs(spark, sf)).drop("first_seen")
 
 
+def _rolled(spark, sf):
+    """All runs in three batches, the first replayed with other rows after a compaction."""
+    runs = _runs(spark, sf)
+    part = F.pmod(F.xxhash64("run_id"), F.lit(4))
+    store = RolledHistory(spark, _scratch(spark), F8_FLAGS, F8_CAUSES)
+    store.append(runs.filter(part < 2), "first")
+    store.append(runs.filter(part == 1), "second")
+    store.compact()
+    store.append(runs.filter(part == 0), "first")
+    store.append(runs.filter(part > 1), "third")
+    return store
+
+
+def q_rolled_model_outcomes(spark, sf):
+    return _rolled(spark, sf).model_outcomes().drop("first_seen")
+
+
+def q_rolled_last_runs(spark, sf):
+    store = _rolled(spark, sf)
+    store.compact()
+    return store.last_runs(10).select("fingerprint", "run_id", "recency")
+
+
 def q_strategy_outcomes(spark, sf):
     return H.strategy_outcomes(_runs(spark, sf), F8_FLAGS).drop("first_seen")
 
@@ -235,6 +259,8 @@ def q_profile_as_json(spark, sf):
 
 QUERIES = {
     "model_outcomes": q_model_outcomes,
+    "rolled_model_outcomes": q_rolled_model_outcomes,
+    "rolled_last_runs": q_rolled_last_runs,
     "strategy_outcomes": q_strategy_outcomes,
     "root_cause_counts": q_root_cause_counts,
     "last_runs_per_dataset": q_last_runs_per_dataset,
@@ -328,6 +354,7 @@ def _oracles():
     o["last_runs_per_dataset"] = _f8(
         "SELECT fingerprint, run_id, recency FROM (SELECT fingerprint, run_id, "
         "row_number() OVER (PARTITION BY fingerprint ORDER BY ts DESC, run_id DESC) AS recency FROM f8) x WHERE recency <= 10")
+    o["rolled_model_outcomes"], o["rolled_last_runs"] = o["model_outcomes"], o["last_runs_per_dataset"]
     o["recent_runs"] = _f8("SELECT run_id, fingerprint, ts, best_model FROM f8 ORDER BY ts DESC, run_id DESC LIMIT 50")
     o["history_exact_lookup"] = with_fixtures(
         f"""{_OUTCOMES}

@@ -33,6 +33,27 @@ def test_second_run_uses_the_first(spark):
     assert any(r["class_label"] == "macro avg" and r["f1_score"] == 1.0 for r in report)
 
 
+def test_the_rolled_history_gives_the_same_hints(spark):
+    from tablelens.operators.profile import profile_dataset
+    from tablelens.operators.profile_rules import FLAG_NAMES
+    from tablelens.operators.rollup import RolledHistory
+    from tablelens.plans.guided_run import read_hint
+
+    base = f"{checkpoint_dir(spark)}/guided-{uuid.uuid4().hex}"
+    df = fixture(spark, SF, "f9")
+    args = dict(key="row_key", candidates=["DummyMostFrequent", "LogisticRegression"], max_replans=0, with_cv=False)
+    guided_run(df, "label", run_id="one", ts=datetime.datetime(2024, 1, 1), history_path=f"{base}/rolled", rolled=True, **args)
+    store = RolledHistory(spark, f"{base}/rolled", FLAG_NAMES, "root_causes")
+    store.compact()
+    second = guided_run(df, "label", run_id="two", ts=datetime.datetime(2024, 1, 2), history_path=f"{base}/rolled", rolled=True, **args)
+    assert second.hint["source"] == "exact_fingerprint" and second.hint["matched_runs"] == 1
+    plain = store.runs()
+    names = [c for c in df.columns if c != "row_key"]
+    for part in (df, df.filter("row_key % 10 < 9")):
+        profile = profile_dataset(part, "label", columns=names)
+        assert read_hint(store, profile) == read_hint(plain, profile)
+
+
 def test_every_attempt_leaves_results_and_the_manifest_comes_last(spark, monkeypatch):
     from tablelens.plans import attempts as Z
 
