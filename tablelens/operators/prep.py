@@ -305,6 +305,33 @@ def correlation_ranking(df: DataFrame, label: str, cols: list[str]) -> DataFrame
                           F.row_number().over(w).cast("long").alias("rank"))
 
 
+def information_ranking(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
+    """A4 for any feature: columns ranked by mutual information (nats) with the label, over rows where both are present.
+
+    (column, value, class) counts are a partial aggregate, so a column of millions
+    of values or one hot value stays spread; the entropies come from those counts
+    alone: MI = ln N + (sum n ln n over cells - over values - over classes) / N.
+    A column without such rows has NULL and comes last.
+    """
+    text = lambda c: F.when(~F.isnan(F.col(c)), F.col(c)).cast("string") if isinstance(df.schema[c].dataType, FLOAT_TYPES) else F.col(c).cast("string")
+    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("v")) for c in cols])
+    long = df.select(text(label).alias("y"), F.explode(entries).alias("e")).select("y", "e.*")
+    cells = long.filter(F.col("v").isNotNull() & F.col("y").isNotNull()).groupBy("column_name", "v", "y").agg(F.count(F.lit(1)).alias("n"))
+
+    def part(counts: DataFrame, sign: float, total: bool) -> DataFrame:
+        n = F.col("n").cast("double")
+        return counts.groupBy("column_name").agg((F.lit(sign) * F.sum(n * F.log(n))).alias("s"), (F.sum("n") if total else F.lit(0)).cast("double").alias("total"))
+
+    parts = part(cells, 1.0, True) \
+        .unionByName(part(cells.groupBy("column_name", "v").agg(F.sum("n").alias("n")), -1.0, False)) \
+        .unionByName(part(cells.groupBy("column_name", "y").agg(F.sum("n").alias("n")), -1.0, False))
+    sums = parts.groupBy("column_name").agg(F.sum("s").alias("s"), F.sum("total").alias("total"))
+    info = sums.select("column_name", r6(F.greatest(F.log("total") + F.col("s") / F.col("total"), F.lit(0.0))).alias("information"))
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    w = Window.orderBy(F.col("information").desc_nulls_last(), F.col("column_name"))  # one row per feature
+    return named.join(info, "column_name", "left").withColumn("rank", F.row_number().over(w).cast("long"))
+
+
 def regression_metrics(df: DataFrame, y: str, p: str, group_cols=()) -> DataFrame:
     """A5: RMSE and MAE."""
     err = F.col(y).cast("double") - F.col(p).cast("double")

@@ -23,6 +23,9 @@ from tablelens.functions.columns import FLOAT_TYPES, INTEGRAL_TYPES, NUMERIC_TYP
 from tablelens.operators import profile_rules as R
 
 
+RECORD_CLASSES = 10_000  # the most classes one profile record holds as a map
+
+
 def _family(dtype: T.DataType) -> str:
     if isinstance(dtype, INTEGRAL_TYPES):
         return "long"
@@ -146,18 +149,18 @@ def missing_stats(df: DataFrame, segment_cols=(), columns=None) -> DataFrame:
     )
 
 
-def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_idx: int) -> DataFrame:
+def _profile_stats(df: DataFrame, fields: list[T.StructField], segment_cols, t_idx: int, every: bool = False) -> DataFrame:
     """Per (segment, column) stats for the profile row.
 
     Missing counts for every column come from one wide partial aggregate.
     Distinct values are only counted where the profile reads them (categorical
     features for the high-cardinality rule, and the target), so numeric
-    columns never enter the (segment, column, value) shuffle.
+    columns never enter the (segment, column, value) shuffle, unless ``every``.
     """
     names = F.array(*[F.lit(f.name) for f in fields])
     kinds = F.array(*[F.lit(feature_kind(f.dataType)) for f in fields])
     per_col = _missing_long(df, fields, segment_cols)
-    counted = [i for i, f in enumerate(fields) if i == t_idx or feature_kind(f.dataType) == "categorical"]
+    counted = [i for i, f in enumerate(fields) if every or i == t_idx or feature_kind(f.dataType) == "categorical"]
     vc = value_counts(df, [fields[i] for i in counted], segment_cols)
     # value_counts numbers its columns 0..k-1; map them back to the profile ordinals
     remap = F.array(*[F.lit(i) for i in counted])
@@ -201,8 +204,13 @@ def profile_dataset(
     segment_cols=(),
     target_confidence: str | Column = "high",
     columns=None,
+    full: bool = False,
 ) -> DataFrame:
-    """One profile row per segment (one row overall without segments)."""
+    """One profile row per segment (one row overall without segments).
+
+    With ``full`` the row also has ``columns``: name, type, kind, missing % and
+    distinct count of every column in schema order (``profile_record``).
+    """
     segment_cols = list(segment_cols)
     fields = profiled_fields(df, segment_cols, columns)
     names = [f.name for f in fields]
@@ -215,7 +223,10 @@ def profile_dataset(
     n_cols = len(fields)
     feature_count = max(n_cols - 1, 1)
 
-    stats = _profile_stats(df, fields, segment_cols, t_idx)
+    stats = _profile_stats(df, fields, segment_cols, t_idx, full)
+    dtypes = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
+    described = F.struct("ci", F.col("column_name").alias("name"), F.element_at(dtypes, F.col("ci") + 1).alias("dtype"),
+                         "kind", "n_missing", "missing_pct", "n_unique")
     is_t = F.col("ci") == t_idx
     high_card = (
         (F.col("kind") == "categorical")
@@ -230,6 +241,7 @@ def profile_dataset(
         F.max(F.when(is_t, F.col("n_unique"))).alias("t_unique"),
         F.max(F.when(is_t, F.col("max_value_count"))).alias("t_max"),
         F.max(F.when(is_t, F.col("min_value_count"))).alias("t_min"),
+        *([F.sort_array(F.collect_list(described)).alias("columns")] if full else []),  # schema width
     )
     conf = target_confidence if isinstance(target_confidence, Column) else F.lit(target_confidence)
     rows = F.col("n_rows")
@@ -266,6 +278,7 @@ def profile_dataset(
         "t_max",
         "t_min",
         conf.alias("target_confidence"),
+        *([F.transform("columns", lambda c: c.dropFields("ci")).alias("columns")] if full else []),
     )
     clf = F.col("is_classification")
     two_plus = F.col("t_unique") >= 2
@@ -308,6 +321,47 @@ def profile_dataset(
     return out.drop("t_unique", "t_max", "t_min", "overall_raw", "imbalance_raw")
 
 
+def profile_record(df: DataFrame, target: str, segment_cols=(), inference: dict | None = None, columns=None) -> DataFrame:
+    """The whole profile of each segment as one nested row.
+
+    Beside ``profile_dataset``: ``columns`` (name, dtype, kind, n_missing,
+    missing_pct, n_unique in schema order), ``feature_types`` (numeric and
+    categorical names), ``class_counts`` (class -> rows, missing as 'nan'; NULL
+    where the target is no classification target) and ``target_inference``
+    (``target.target_record``'s method, confidence and candidates; a given target
+    where None).  A row holds at most ``RECORD_CLASSES`` classes; where a segment
+    has more its map is NULL and ``class_counts`` (the operator) has them as rows.
+    """
+    segment_cols = list(segment_cols)
+    inference = inference or {"method": "given", "confidence": "high", "candidates": [target]}
+    base = profile_dataset(df, target, segment_cols, inference["confidence"], columns, full=True)
+    named = lambda kind: F.array(*[F.lit(n) for n in _feature_names(df, target, segment_cols, columns, kind)]).cast("array<string>")
+    base = base.withColumns({
+        "feature_types": F.struct(named("numeric").alias("numeric"), named("categorical").alias("categorical")),
+        "target_inference": F.struct(F.lit(inference["method"]).alias("method"), F.lit(inference["confidence"]).alias("confidence"),
+                                     F.array(*[F.lit(c) for c in inference["candidates"]]).cast("array<string>").alias("candidates")),
+    })
+    held = base.filter(F.col("is_classification") & (F.col("num_classes") <= RECORD_CLASSES)).select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(segment_cols)], F.lit(1).alias("_one"))
+    same = lambda prefix: [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(segment_cols)]
+    on = F.lit(True)
+    for c in same("_s"):
+        on = on & c
+    counts = class_counts(df, target, segment_cols)
+    counts = counts.join(held, on, "left_semi") if segment_cols else counts.join(held.select(F.col("_one").alias("_h")), F.lit(1) == F.col("_h"), "left_semi")
+    maps = counts.groupBy(*segment_cols).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("class_label", "n")))).alias("class_counts"))
+    if not segment_cols:
+        maps = maps.filter(F.size("class_counts") > 0)
+    maps = maps.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(segment_cols)], "class_counts")
+    on = F.lit(True)
+    for c in same("_m"):
+        on = on & c
+    return base.join(maps, on, "left").drop(*[f"_m{i}" for i in range(len(segment_cols))])
+
+
+def _feature_names(df: DataFrame, target: str, segment_cols, columns, kind: str) -> list[str]:
+    return [f.name for f in profiled_fields(df, segment_cols, columns) if f.name != target and feature_kind(f.dataType) == kind]
+
+
 def flatten_profile(df: DataFrame, sep: str = "|") -> DataFrame:
     """Profile row with arrays joined by ``sep`` and flags lifted to columns (for reports/oracles)."""
     cols = []
@@ -331,6 +385,35 @@ def n_unique_approx(df: DataFrame, segment_cols=(), columns=None, rsd: float = 0
     ])).alias("e")).select(*segment_cols, "e.*")
 
 
+def distinct_sketches(df: DataFrame, segment_cols=(), columns=None, lg_k: int = 14) -> DataFrame:
+    """G5 as mergeable state: (segments..., column_name, sketch), one HyperLogLog sketch per segment and column.
+
+    Sketches of batches are united by ``merge_sketches``, so a profile grows
+    without rescanning.  Missing values (NULL, NaN) count nowhere; a column
+    without values has an empty sketch.
+    """
+    fields = profiled_fields(df, segment_cols, columns)
+    def hashed(f):
+        c = F.col(f.name)
+        if isinstance(f.dataType, FLOAT_TYPES):
+            c = F.when(~F.isnan(c), c + F.lit(0.0))  # -0.0 is 0.0
+        return F.when(c.isNotNull(), F.xxhash64(c))
+    agg = df.groupBy(*segment_cols).agg(*[F.hll_sketch_agg(hashed(f), lg_k).alias(f"s{i}") for i, f in enumerate(fields)])
+    return agg.select(*segment_cols, F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"s{i}").alias("sketch")) for i, f in enumerate(fields)
+    ])).alias("e")).select(*segment_cols, "e.*")
+
+
+def merge_sketches(sketches: DataFrame, segment_cols=()) -> DataFrame:
+    """The union of the sketches of each segment and column (segments may be fewer than the sketches have)."""
+    return sketches.groupBy(*segment_cols, "column_name").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_counts(sketches: DataFrame) -> DataFrame:
+    """The sketches' distinct counts (relative error about 1.04 / sqrt(2 ** lg_k))."""
+    return sketches.withColumn("n_unique_approx", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
 def class_counts(df: DataFrame, target: str, segment_cols=()) -> DataFrame:
     """Rows per class, missing included under the key 'nan'."""
     dtype = df.schema[target].dataType

@@ -125,6 +125,13 @@ def q_feature_selection(spark, sf):
     return E.correlation_ranking(fixture(spark, sf, "f1"), "label", F1_NUMERIC)
 
 
+INFO_COLS = ["l_returnflag", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_tax"]
+
+
+def q_feature_information(spark, sf):
+    return E.information_ranking(fixture(spark, sf, "f3"), "label", INFO_COLS)
+
+
 def q_regression_metrics(spark, sf):
     return E.regression_metrics(fixture(spark, sf, "f1"), "label", "score", ["lang"])
 
@@ -170,6 +177,7 @@ QUERIES = {
     "drop_high_missing": q_drop_high_missing,
     "leaky_columns": q_leaky_columns,
     "feature_selection": q_feature_selection,
+    "feature_information": q_feature_information,
     "regression_metrics": q_regression_metrics,
 }
 
@@ -321,6 +329,16 @@ HAVING max(CAST(mixed AS INTEGER)) = 0 AND count(*) < sum(n)""",
         f"SELECT column_name, round(a, 6) AS abs_corr, row_number() OVER (ORDER BY a DESC, column_name) AS rank FROM ({corr}) x",
         "f1",
     )
+    cells = "\n UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS v, label AS y FROM f3 WHERE label IS NOT NULL AND {c} IS NOT NULL"
+        + (f" AND NOT isnan({c})" if c in ("l_quantity", "l_tax") else "") for c in INFO_COLS)
+    o["feature_information"] = with_fixtures(f"""
+long AS ({cells}),
+joint AS (SELECT column_name, v, y, count(*) AS n FROM long GROUP BY 1, 2, 3),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY column_name, v) AS nv, sum(n) OVER (PARTITION BY column_name, y) AS ny,
+                sum(n) OVER (PARTITION BY column_name) AS total FROM joint),
+mi AS (SELECT column_name, round(greatest(sum(n * 1.0 / total * ln(n * 1.0 * total / (nv * 1.0 * ny))), 0.0), 6) AS information FROM sums GROUP BY column_name)
+SELECT column_name, information, row_number() OVER (ORDER BY information DESC, column_name) AS rank FROM mi""", "f3")
     o["regression_metrics"] = with_fixtures(
         "SELECT lang, round(sqrt(avg((label - score) * (label - score))), 6) AS rmse, round(avg(abs(label - score)), 6) AS mae "
         "FROM f1 GROUP BY lang",

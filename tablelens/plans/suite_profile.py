@@ -269,7 +269,35 @@ def q_n_unique_approx(spark, sf):
     return P.n_unique_approx(fixture(spark, sf, "f3"))
 
 
+def q_profile_record(spark, sf):
+    """The nested record of each supplier segment, its column list and class map as text."""
+    rec = P.profile_record(fixture(spark, sf, "f3"), "label", segment_cols=["l_suppkey"])
+    pct = lambda c: F.round(c["missing_pct"] * 100).cast("long").cast("string")
+    column = lambda c: F.concat_ws(":", c["name"], c["dtype"], pct(c), c["n_unique"].cast("string"))
+    return rec.select(
+        "l_suppkey", "profile_id", "n_rows", "num_classes",
+        F.array_join(F.transform("columns", column), "|").alias("columns"),
+        F.array_join("feature_types.numeric", "|").alias("numeric_features"),
+        F.array_join("feature_types.categorical", "|").alias("categorical_features"),
+        F.array_join(F.transform(F.array_sort(F.map_entries("class_counts")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), "|").alias("class_counts"),
+        F.col("target_inference.method").alias("method"))
+
+
+def q_n_unique_sketch(spark, sf):
+    """Sketches of two batches and all suppliers, united; each estimate within 3 standard errors of the exact count."""
+    f3 = fixture(spark, sf, "f3")
+    names = [c for c in f3.columns if c != "l_suppkey"]
+    halves = [P.distinct_sketches(f3.filter(F.col("l_orderkey") % 2 == i), ["l_suppkey"], names) for i in (0, 1)]
+    whole = P.sketch_counts(P.merge_sketches(halves[0].unionByName(halves[1])))
+    exact = P.column_stats(f3, columns=names).select("column_name", "n_unique")
+    error = 3 * 1.04 / 2 ** 7
+    return exact.join(whole, "column_name").select(
+        "column_name", "n_unique", (F.abs(F.col("n_unique_approx") - F.col("n_unique")) <= F.col("n_unique") * error).alias("within"))
+
+
 QUERIES = {
+    "profile_record": q_profile_record,
+    "n_unique_sketch": q_n_unique_sketch,
     "n_unique_approx": q_n_unique_approx,
     "profile_table": q_profile_table,
     "profile_by_segment": q_profile_by_segment,
@@ -360,6 +388,18 @@ FROM cs GROUP BY seg"""
     o["segment_size_bucket"] = (
         f"SELECT l_suppkey, n_rows, size_bucket, high_dimensional, feature_to_row_ratio FROM ({segp}) q"
     )
+    dtype = "CASE ci " + " ".join(f"WHEN {i} THEN '{c[3]}'" for i, c in enumerate(F3_SEG_COLS)) + " END"
+    feats = lambda kind: "|".join(c[0] for c in F3_SEG_COLS if c[1] == kind and c[0] != "label")
+    o["profile_record"] = f"""WITH prof AS ({segp}),
+cols AS (SELECT seg, string_agg(concat(column_name, ':', {dtype}, ':', CAST(CAST(round(round(100.0 * n_missing / n_rows, 2) * 100) AS BIGINT) AS VARCHAR),
+                                       ':', CAST(n_unique AS VARCHAR)), '|' ORDER BY ci) AS columns
+         FROM ({_colstats_sql("f3", F3_SEG_COLS, "SELECT * FROM cs", "l_suppkey")}) c GROUP BY seg),
+cc AS (SELECT seg, string_agg(concat(class_label, '=', CAST(n AS VARCHAR)), '|' ORDER BY class_label) AS class_counts
+       FROM ({with_fixtures("SELECT l_suppkey AS seg, coalesce(label, 'nan') AS class_label, count(*) AS n FROM f3 GROUP BY 1, 2", "f3")}) x GROUP BY seg)
+SELECT p.l_suppkey, p.profile_id, p.n_rows, p.num_classes, cols.columns, '{feats("numeric")}' AS numeric_features,
+       '{feats("categorical")}' AS categorical_features, cc.class_counts, 'given' AS method
+FROM prof p JOIN cols ON p.l_suppkey IS NOT DISTINCT FROM cols.seg JOIN cc ON p.l_suppkey IS NOT DISTINCT FROM cc.seg"""
+    o["n_unique_sketch"] = _colstats_sql("f3", F3_SEG_COLS, "SELECT column_name, n_unique, TRUE AS within FROM cs")
     part_sql = _profile_sql("part", PART_COLS, "p_size", None, fx_names=())
     o["high_cardinality_columns"] = (
         f"SELECT unnest(string_split(high_cardinality_features, '|')) AS column_name FROM ({part_sql}) q "

@@ -14,6 +14,7 @@ NAMES = [
     "profile_by_segment", "missing_pct_by_column", "target_inferred_top3", "split_stratified", "stratified_folds",
     "impute_median", "cap_categories", "threshold_sweep", "classification_report", "leaderboard",
     "selection_rationale", "diagnose_runs", "replan_steps", "plan_steps", "candidate_pool",
+    "profile_record", "n_unique_sketch", "feature_information", "rolled_model_outcomes", "rolled_last_runs",
     "similar_datasets_top3", "history_votes", "order_candidates", "knn_vote", "predict_majority",
 ]
 
