@@ -250,25 +250,88 @@ def _margin(df: DataFrame) -> DataFrame:
 
 
 def fit_platt(estimator, train: DataFrame, key: str):
-    """Logistic regression on SVM margins of held-out rows: each fold's margins come from a model of the other folds."""
+    """Logistic regression on SVM margins of held-out rows: each fold's margins come from a model of the other folds.
+
+    Where the other folds hold one class only, the fold's margins are that class's side (1 or -1), 0 where they are empty.
+    """
     fold = F.pmod(F.xxhash64(F.lit("calibrate"), F.col(key)), F.lit(CALIBRATION_FOLDS))
+    sides = {r["f"]: r["c"] for r in train.groupBy(fold.alias("f")).agg(F.collect_set("label_idx").alias("c")).collect()}  # two classes
     margins = None
-    for f in range(CALIBRATION_FOLDS):
+    for f in sides:
         rest, held = train.filter(fold != f), train.filter(fold == f)
-        if rest.select("label_idx").distinct().count() < 2:
-            continue
-        got = _margin(estimator.fit(rest).transform(held)).select("features", "label_idx")
+        left = {c for g, found in sides.items() if g != f for c in found}
+        if len(left) < 2:
+            side = {0.0: -1.0, 1.0: 1.0}[left.pop()] if left else 0.0
+            got = held.select(array_to_vector(F.array(F.lit(side))).alias("features"), "label_idx")
+        else:
+            got = _margin(estimator.fit(rest).transform(held)).select("features", "label_idx")
         margins = got if margins is None else margins.unionByName(got)
-    if margins is None:
-        margins = _margin(estimator.fit(train).transform(train)).select("features", "label_idx")
     return LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=100).fit(margins)
 
 
+def couple(r: np.ndarray) -> np.ndarray:
+    """Class probabilities (n, k) from pairwise ones r[:, i, j] = P(i given i or j) (Wu, Lin and Weng, 2004).
+
+    They minimise the sum of (r_ji p_i - r_ij p_j)^2 under a total of 1: one linear system a row.
+    """
+    n, k = r.shape[0], r.shape[1]
+    r = np.clip(r, 1e-7, 1 - 1e-7)
+    other = np.where(np.eye(k, dtype=bool), 0.0, r)
+    system = np.zeros((n, k + 1, k + 1))
+    system[:, :k, :k] = -other * other.transpose(0, 2, 1)
+    system[:, range(k), range(k)] = (other ** 2).sum(axis=1)
+    system[:, :k, k] = system[:, k, :k] = 1.0
+    right = np.zeros((n, k + 1, 1))
+    right[:, k] = 1.0
+    p = np.clip(np.linalg.solve(system, right)[:, :k, 0], 0.0, None)
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def fit_pairwise(name: str, train: DataFrame, tests: list, settings: dict, n_classes: int, key: str, weight_col: str | None, seed: int) -> list:
+    """M8/M9 above two classes: one calibrated SVM per pair of classes; votes predict (ties: smallest class), coupling gives ``probability``.
+
+    A class without training rows gets probability 0.
+    """
+    classes = sorted(r[0] for r in train.select("label_idx").distinct().collect())  # the rule allows five
+    pairs = [(i, j) for i in range(len(classes)) for j in range(i + 1, len(classes))]
+    weights, shifts, curves = [], [], []
+    for i, j in pairs:
+        two = train.filter(F.col("label_idx").isin(classes[i], classes[j])).withColumn("label_idx", (F.col("label_idx") == classes[i]).cast("double"))
+        est = make_estimator(name, settings, 2, weight_col, _weight_sum(two, weight_col), seed)
+        model, platt = est.fit(two), fit_platt(est, two, key)
+        weights.append(model.coefficients.toArray())
+        shifts.append(float(model.intercept))
+        curves.append((float(platt.coefficients[0]), float(platt.intercept)))
+    w, b, c = np.array(weights), np.array(shifts), np.array(curves)
+    k, places = len(classes), [int(v) for v in classes]
+
+    def score(x: pd.Series) -> pd.DataFrame:
+        n = len(x)
+        votes, r = np.zeros((n, k)), np.full((n, k, k), 0.5)
+        if n and pairs:
+            margin = np.stack(x.to_list()).astype(np.float64) @ w.T + b
+            p = 1.0 / (1.0 + np.exp(-np.clip(margin * c[:, 0] + c[:, 1], -500, 500)))
+            for m, (i, j) in enumerate(pairs):
+                votes[:, i] += margin[:, m] > 0
+                votes[:, j] += margin[:, m] <= 0
+                r[:, i, j], r[:, j, i] = p[:, m], 1.0 - p[:, m]
+        whole = np.zeros((n, n_classes))
+        whole[:, places] = couple(r) if k > 1 else 1.0
+        best = np.array(places, dtype=np.float64)[votes.argmax(axis=1)] if n else np.zeros(0)
+        return pd.DataFrame({"prediction": best, "probability": list(whole)})
+
+    scored = F.pandas_udf(score, "prediction double, probability array<double>")
+    return [t.withColumn("_s", scored(vector_to_array("features"))).select(
+        *t.columns, F.col("_s.prediction").alias("prediction"), array_to_vector("_s.probability").alias("probability"),
+        F.lit(None).cast("double").alias("score")) for t in tests]
+
+
 def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: int, key: str,
-                weight_col: str | None, seed: int = 42, threshold: float | None = None):
+                weight_col: str | None, seed: int = 42, threshold: float | None = None, probabilities: bool = False):
     """Fit one MLlib candidate once; score ``test`` (a DataFrame or a list of them).
 
-    Binary candidates get a positive-class ``score``; with ``threshold`` the
+    With ``probabilities`` the calibrated SVMs have class probabilities above two
+    classes too, from five fits a pair of classes (``fit_pairwise``).  Binary candidates get a positive-class ``score``; with ``threshold`` the
     prediction is ``score >= threshold`` (K2).
     """
     tests = test if isinstance(test, list) else [test]
@@ -279,6 +342,9 @@ def fit_predict(name: str, train: DataFrame, test, settings: dict, n_classes: in
         checkpoint_dir(train.sparkSession)
         train = rff_features(train, dim, seed=seed, var=var).checkpoint()  # the optimiser reads it every iteration
         tests = [rff_features(t, dim, seed=seed, var=var) for t in tests]
+    if probabilities and name in ("SVC_LinearProb", "SVC_RBF") and n_classes > 2:
+        outs = fit_pairwise(name, train, tests, settings, n_classes, key, weight_col, seed)
+        return outs if isinstance(test, list) else outs[0]
     est = make_estimator(name, settings, n_classes, weight_col, w_sum, seed)
     model = est.fit(train)
     platt = fit_platt(est, train, key) if name in ("SVC_LinearProb", "SVC_RBF") and n_classes <= 2 else None
