@@ -100,7 +100,8 @@ def q_should_replan(spark, sf):
 def _replanned(spark, sf):
     d = diagnosis(spark, sf)
     plans = f5_planned(spark, sf).select(F.col("dataset_id").alias("run_id"), "plan")
-    d = d.join(plans, on="run_id", how="left")
+    # a list of steps per run is many times its file's size, by which Spark would broadcast it
+    d = d.join(plans.hint("merge"), on="run_id", how="left")
     d = d.withColumn("new_flags", X.replan_flags(F.col("strategy_flags"), F.col("root_causes"), F.col("num_classes")))
     return d.withColumn("new_plan", X.replan_steps(F.col("new_flags"), F.col("plan")))
 
