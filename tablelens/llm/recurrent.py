@@ -13,9 +13,9 @@ probabilities of all outcomes add up to one.
 Training is truncated backpropagation: windows of ``WINDOW`` tokens in ``LANES``
 parallel streams, the state carried from window to window and cleared where a text
 starts.  A first task trains on about ``WARM_TOKENS`` tokens (a documented bound) to
-give all replicas one starting point.  Then, in each of ``ROUNDS`` rounds, every
-partition trains a replica on its part of ``SHARE`` of the training rows (another
-share each round, chosen by a hash of the row, so it grows with the input), and the
+give all replicas one starting point.  Then every training row takes part: in each
+of ``ROUNDS`` rounds, every partition trains a replica on its part of one share of
+the rows (chosen by a hash of the row; the shares together are all rows), and the
 replicas are averaged by their tokens, in groups of about the square root of their
 number.
 
@@ -50,9 +50,9 @@ from tablelens.llm.common import fold, materialise, pieces, with_uid
 STATE = 32
 HEAD, WIDTH, TAIL = 1024, 32, 64
 KNOWN, KNOWN_BYTES = 1 << 17, 64
-WINDOW, LANES = 16, 64
-WARM_TOKENS, WARM_RATE = 400_000, 0.01
-ROUNDS, SHARE, LEAST_TOKENS, RATE = 2, 1 / 32, 1_000_000, 0.002
+WINDOW, LANES = 16, 256
+WARM_TOKENS, WARM_RATE, WARM_LANES = 400_000, 0.01, 64
+ROUNDS, LEAST_TOKENS, RATE = 2, 1_000_000, 0.004  # tables of fewer tokens are read whole in every round
 CLIP = 1.0
 SCORE_WINDOW, SCORE_LANES, SCORE_CELLS = 256, 512, 8192  # longest window; texts side by side; tokens in a window of many texts
 FLUSH = 1 << 17  # distinct tokens held by a counting task before they are passed on
@@ -259,18 +259,19 @@ class Adam:
             w[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(w[k].dtype)
 
 
-def train(w: dict, texts: list[np.ndarray], optimiser: Adam) -> float:
-    """Train w in place on texts (codes); returns the loss per token."""
+def train(w: dict, texts: list[np.ndarray], optimiser: Adam, most: int | None = None) -> float:
+    """Train w in place on every token of texts (codes), in ``most`` (``LANES``) lanes at most; returns the loss per token."""
     stream = np.concatenate(texts)
     opens = np.zeros(len(stream), bool)
     opens[np.cumsum([0, *map(len, texts[:-1])])] = True
     into = np.empty_like(stream)
     into[1:] = stream[:-1]
     into[opens] = HEAD + TAIL
-    lanes = max(1, min(LANES, len(stream) // WINDOW))
-    steps = len(stream) // lanes
-    cut = lambda x: np.ascontiguousarray(x[: lanes * steps].reshape(lanes, steps).T)
-    into, code, opens = cut(into), cut(stream), cut(opens)
+    lanes = max(1, min(most or LANES, len(stream) // WINDOW))
+    steps = -(-len(stream) // lanes)
+    begin = np.arange(lanes) * (len(stream) - steps) // max(1, lanes - 1)  # lanes overlap by a few tokens and leave none out
+    at = np.arange(steps)[:, None] + begin
+    into, code, opens = into[at], stream[at], opens[at]
     h, loss = np.zeros((lanes, STATE), w["state"].dtype), 0.0
     for at in range(0, steps, WINDOW):
         part = slice(at, at + WINDOW)
@@ -325,7 +326,7 @@ def _unpacked(data: bytes, like: dict) -> dict:
     return out
 
 
-def _replicas(train_rows: DataFrame, w: dict, head: list[bytes], rate: float, name: str) -> DataFrame:
+def _replicas(train_rows: DataFrame, w: dict, head: list[bytes], rate: float, lanes: int, name: str) -> DataFrame:
     """(weights, tokens) of a replica for every partition with rows."""
     shared = train_rows.sparkSession.sparkContext.broadcast((w, head))
 
@@ -336,7 +337,7 @@ def _replicas(train_rows: DataFrame, w: dict, head: list[bytes], rate: float, na
         for batch in batches:
             texts = [codes.of(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column("text").cast(pa.binary())]
             if texts:
-                train(mine, texts, optimiser)
+                train(mine, texts, optimiser, lanes)
                 n += sum(map(len, texts))
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([_packed(mine)], pa.binary()), pa.array([n], pa.int64())], ["weights", "tokens"])
@@ -385,7 +386,7 @@ def _frequent(table: DataFrame) -> dict[bytes, int]:
 
 
 def fit(train_rows: DataFrame) -> Fitted:
-    """Counts over all of train_rows (doc_id, text) and the network trained on its shares."""
+    """Counts over all of train_rows (doc_id, text) and the network trained on all of them, share by share."""
     table = materialise(counts(train_rows), "counts")
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     known = _frequent(table)
@@ -401,12 +402,12 @@ def fit(train_rows: DataFrame) -> Fitted:
         place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
         rows = train_rows.select("text", place.alias("_place"))
         warm = rows.filter(F.col("_place") < min(1.0, WARM_TOKENS / total)).repartition(1)
-        w = _averaged(_replicas(warm, w, head, WARM_RATE, "warm"), w)
-        share = min(1.0, max(SHARE, LEAST_TOKENS / total))
+        w = _averaged(_replicas(warm, w, head, WARM_RATE, WARM_LANES, "warm"), w)
+        share = min(1.0, max(1 / ROUNDS, LEAST_TOKENS / total))
         for k in range(ROUNDS):
             lo = 1 - share * (k + 1) if share * (k + 1) <= 1 else 0.0
             part = rows.filter((F.col("_place") >= lo) & (F.col("_place") < lo + share))
-            w = _averaged(_replicas(part, w, head, RATE, f"round{k}"), w)
+            w = _averaged(_replicas(part, w, head, RATE, LANES, f"round{k}"), w)
     return Fitted(table, int(total), int(distinct), head, known, masses, w)
 
 

@@ -134,3 +134,25 @@ def test_empty_tables_and_no_training_rows(spark, docs_of):
     held = next(i for i in range(100) if fold(i) == 2)
     only = rec.score_all(docs_of([(held, "a b"), (held, None)])).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in only) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+
+
+def test_every_training_row_is_in_a_round(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(rec, "LEAST_TOKENS", 10)
+    read, whole = [], rec._replicas
+
+    def noted(rows, w, head, *rest):
+        read.append((rest[-1], [r.text for r in rows.select("text").collect()]))
+        return whole(rows, w, head, *rest)
+
+    monkeypatch.setattr(rec, "_replicas", noted)
+    texts = [f"t{i} a b c" for i in range(60)]
+    rec.fit(docs_of(texts))
+    assert sorted(t for name, got in read if name.startswith("round") for t in got) == sorted(texts)
+
+
+@pytest.mark.parametrize("n", [1, 5, 16, 63, 64, 65, 1000, 4097])
+def test_every_token_is_trained_on(monkeypatch, n):
+    seen, whole = set(), rec.window_gradients
+    monkeypatch.setattr(rec, "window_gradients", lambda w, into, code, *rest: seen.update(code.ravel().tolist()) or whole(w, into, code, *rest))
+    rec.train(rec.initial([50] * 200, [500] * rec.TAIL), [np.arange(n, dtype=np.int32) % 1080], rec.Adam(rec.initial([50] * 200, [500] * rec.TAIL), 0.01))
+    assert seen == set(range(min(n, 1080)))
