@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablelens.llm import recurrent as rec
@@ -156,3 +157,43 @@ def test_every_token_is_trained_on(monkeypatch, n):
     monkeypatch.setattr(rec, "window_gradients", lambda w, into, code, *rest: seen.update(code.ravel().tolist()) or whole(w, into, code, *rest))
     rec.train(rec.initial([50] * 200, [500] * rec.TAIL), [np.arange(n, dtype=np.int32) % 1080], rec.Adam(rec.initial([50] * 200, [500] * rec.TAIL), 0.01))
     assert seen == set(range(min(n, 1080)))
+
+
+@pytest.mark.parametrize("run", [5, 16, 1 << 23])
+def test_codes_equal_brute_force(monkeypatch, run):
+    monkeypatch.setattr(rec, "RUN", run)  # some texts, or all, are read in pieces
+    rnd = random.Random(run)
+    vocab = ["a", "B", "ab", "Élan", "É", "東京", "x\x1cy", "\x85", "\xa0z", "the", "THE", "w" * 40, "\u2003", "\0"]
+    gaps = [" ", "  ", "\t", "\n\x0b", "\x0c\r "]
+    text = lambda: "".join(rnd.choice(vocab) + rnd.choice(gaps) for _ in range(rnd.choice([1, 3, 40]))).strip(rnd.choice(["", " "]))
+    texts = [None, "", " ", " \n\t", *(text() for _ in range(40)), "", *(" " + text() for _ in range(5)), None]
+    head = [rec.END, b"the", "élan".encode(), "東京".encode()]
+    for t in (pa.array(texts), pa.array(["cut off", *texts]).slice(1)):
+        got = rec.Codes(head, [b"ab"]).of(t)
+        for x, codes in zip(texts, got, strict=True):
+            want = [*(w.encode() for w in words(x)), rec.END]
+            assert codes.tolist() == [head.index(w) if w in head else rec.HEAD + rec.tail_class(w) for w in want], x
+
+
+def test_scoring_keeps_the_lanes_full(monkeypatch):
+    monkeypatch.setattr(rec, "SCORE_LANES", 8)
+    steps, whole = [], rec.forward
+    monkeypatch.setattr(rec, "forward", lambda gates, into, *rest: steps.append(len(into)) or whole(gates, into, *rest))
+    rnd = np.random.default_rng(4)
+    texts = [rnd.integers(0, 1000, n).astype(np.int32) for n in (400, *rnd.integers(1, 300, 60))]
+    rec.log_likelihood(rec.initial([5] * 1024, [500] * rec.TAIL), texts)
+    assert sum(steps) <= 1.1 * sum(map(len, texts)) / 8  # a group of 8 texts at a time: the longest of each
+
+
+def test_biases_as_factors_give_the_same_gradients(small, monkeypatch):
+    rnd = np.random.default_rng(6)
+    into, code, starts = rnd.integers(0, 9, (5, 3)), rnd.choice([0, 1, 2, 3, 4, 6, 7], (5, 3)), rnd.random((5, 3)) < 0.3
+    h = rnd.uniform(-1, 1, (3, 3))
+    loss, grads, last = rec.window_gradients(small, into, code, starts, h)
+    monkeypatch.setattr(rec, "APART", 0.0)  # as for weights whose exponentials may overflow
+    loss2, grads2, last2 = rec.window_gradients(small, into, code, starts, h)
+    assert abs(loss - loss2) < 1e-9 and np.allclose(last, last2)
+    assert all(np.allclose(grads[k], grads2[k]) for k in grads)
+    small["classes"] *= 1e6
+    loss, grads, _ = rec.window_gradients(small, into, code, starts, h)
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in grads.values())
