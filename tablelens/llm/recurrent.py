@@ -276,9 +276,9 @@ def outputs(w: dict, h: np.ndarray, code: np.ndarray, room: Room, grads: dict |
         some, at = h[part], cls[part]
         p = np.matmul(classes.T, some.T, out=room("classes", h, classes.shape[1], len(at)))
         if apart:
-            picked = p[at, np.arange(len(at))]
+            picked = p[at, np.arange(len(at))].astype(np.float64) + np.log(scale, dtype=np.float64)[at]
             total = scale @ np.exp(p, out=p)
-            logp[part] = picked + bias[at] - np.log(total)
+            logp[part] = np.minimum(picked - np.log(total, dtype=np.float64), 0)  # near 0 the two nearly cancel
         else:
             p += bias[:, None]
             logp[part], total = _softmax(p, at)
